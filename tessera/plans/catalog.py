@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import ratings as R
+from tessera.operators import text as T
 from tessera.plans import bindings as B
 from tessera.plans import oracle as O
 
@@ -173,3 +174,107 @@ SELECT user_id, movie_id, rating, ts FROM b_ratings WHERE user_id % 2 = 1""")
 def q_union_ratings(spark, sf):
     r = B.ratings(spark, sf)
     return R.union_ratings(r.filter(F.col("user_id") % 2 == 0), r.filter(F.col("user_id") % 2 == 1))
+
+
+# ================================================================= text =====
+
+REV = O.with_(O.B_REVIEWS, O.B_TOKENS)
+_STOP = B.TEST_STOPWORDS
+
+
+@register("tokenize", O.with_(O.B_REVIEWS) + """
+SELECT id, CAST(unnest(range(1, len(arr) + 1)) AS INTEGER) AS pos, unnest(arr) AS token
+FROM (SELECT id, list_filter(
+        list_transform(regexp_split_to_array(lower(comment), '[ \\t\\n\\x0B\\f\\r[:punct:]]+'),
+                       lambda t: regexp_replace(t, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')),
+        lambda t: t <> '') AS arr
+      FROM b_reviews) s""")
+def q_tokenize(spark, sf):
+    return T.tokenize(B.reviews(spark, sf))
+
+
+@register("clean_text", O.with_(O.B_REVIEWS) + f"""
+SELECT id, array_to_string(list_filter(
+         list_transform(regexp_split_to_array(lower(comment), '[ \\t\\n\\x0B\\f\\r[:punct:]]+'),
+                        lambda t: regexp_replace(t, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')),
+         lambda t: t <> '' AND t NOT IN {O.STOPWORDS_SQL}), ' ') AS clean
+FROM b_reviews
+WHERE length(array_to_string(list_filter(
+         list_transform(regexp_split_to_array(lower(comment), '[ \\t\\n\\x0B\\f\\r[:punct:]]+'),
+                        lambda t: regexp_replace(t, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')),
+         lambda t: t <> '' AND t NOT IN {O.STOPWORDS_SQL}), ' ')) > 0""")
+def q_clean_text(spark, sf):
+    return T.clean_text(B.reviews(spark, sf), _STOP)
+
+
+@register("word_frequency", REV + f"""
+SELECT token AS word, count(*) AS n FROM b_tokens
+WHERE token NOT IN {O.STOPWORDS_SQL}
+GROUP BY token HAVING count(*) > 500""")
+def q_word_frequency(spark, sf):
+    return T.word_frequency(B.reviews(spark, sf), _STOP)
+
+
+_JTRIM = "regexp_replace({c}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
+@register("aspect_category_counts", O.with_(O.B_REVIEWS) + f"""
+SELECT 'ASPECT' AS kind, v AS value, count(*) AS n
+FROM (SELECT {_JTRIM.format(c='aspect')} AS v FROM b_reviews) a WHERE length(v) > 0 GROUP BY v
+UNION ALL
+SELECT 'CATEGORY' AS kind, v AS value, count(*) AS n
+FROM (SELECT {_JTRIM.format(c='category')} AS v FROM b_reviews) c WHERE length(v) > 0 GROUP BY v""")
+def q_aspect_category_counts(spark, sf):
+    return T.aspect_category_counts(B.reviews(spark, sf))
+
+
+_ASPECT_SENT = f"""
+SELECT aspect, count(*) FILTER (WHERE s = 'positive') AS positive,
+       count(*) FILTER (WHERE s = 'negative') AS negative
+FROM (SELECT {_JTRIM.format(c='aspect')} AS aspect, lower({_JTRIM.format(c='sentiment')}) AS s
+      FROM b_reviews) r
+WHERE length(aspect) > 0 AND s IN ('positive', 'negative')
+GROUP BY aspect"""
+
+
+@register("aspect_sentiment", O.with_(O.B_REVIEWS) + _ASPECT_SENT)
+def q_aspect_sentiment(spark, sf):
+    return T.aspect_sentiment(B.reviews(spark, sf))
+
+
+@register("aspect_extremes", O.with_(O.B_REVIEWS, "c AS (" + _ASPECT_SENT + ")") + """
+SELECT * FROM (SELECT 'most_negative' AS kind, aspect, negative AS n FROM c
+               ORDER BY negative DESC, aspect ASC LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT 'most_positive' AS kind, aspect, positive AS n FROM c
+               ORDER BY positive DESC, aspect ASC LIMIT 1)""")
+def q_aspect_extremes(spark, sf):
+    return T.aspect_extremes(B.reviews(spark, sf))
+
+
+@register("category_sentiment_top_words", REV + f""",
+c AS (SELECT {_JTRIM.format(c='category')} AS category, lower({_JTRIM.format(c='sentiment')}) AS sentiment,
+             token AS word, count(*) AS n
+      FROM b_tokens
+      WHERE length(token) > 1 AND token NOT IN {O.STOPWORDS_SQL}
+        AND length({_JTRIM.format(c='category')}) > 0
+        AND lower({_JTRIM.format(c='sentiment')}) IN ('positive', 'negative')
+      GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY category, sentiment ORDER BY n DESC, word ASC) AS rn FROM c)
+SELECT category, sentiment, string_agg(word || '(' || CAST(n AS VARCHAR) || ')', ' ' ORDER BY rn) AS top_words
+FROM r WHERE rn <= 5 GROUP BY category, sentiment""")
+def q_category_sentiment_top_words(spark, sf):
+    return T.category_sentiment_top_words(B.reviews(spark, sf), _STOP)
+
+
+@register("category_top_words", REV + f""",
+c AS (SELECT {_JTRIM.format(c='category')} AS category, token AS word, count(*) AS n
+      FROM b_tokens
+      WHERE length(token) > 1 AND token NOT IN {O.STOPWORDS_SQL}
+        AND length({_JTRIM.format(c='category')}) > 0
+      GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, word ASC) AS rn FROM c)
+SELECT category, string_agg(word || '(' || CAST(n AS VARCHAR) || ')', ' ' ORDER BY rn) AS top_words
+FROM r WHERE rn <= 5 GROUP BY category""")
+def q_category_top_words(spark, sf):
+    return T.category_top_words(B.reviews(spark, sf), _STOP)

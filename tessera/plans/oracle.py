@@ -79,8 +79,8 @@ B_TOKENS = """b_tokens AS (
   SELECT id, aspect, category, sentiment,
          unnest(list_filter(
            list_transform(regexp_split_to_array(lower(comment), '[ \\t\\n\\x0B\\f\\r[:punct:]]+'),
-                          t -> regexp_replace(t, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')),
-           t -> t <> '')) AS token
+                          lambda t: regexp_replace(t, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')),
+           lambda t: t <> '')) AS token
   FROM b_reviews)"""
 
 STOPWORDS_SQL = "('the', 'of', 'de', 'and', 'to', 'in', 'la', 'a', 'der', 'is')"
