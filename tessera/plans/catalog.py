@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import ratings as R
 from tessera.operators import text as T
+from tessera.operators import commerce as C
 from tessera.plans import bindings as B
 from tessera.plans import oracle as O
 
@@ -278,3 +279,92 @@ SELECT category, string_agg(word || '(' || CAST(n AS VARCHAR) || ')', ' ' ORDER
 FROM r WHERE rn <= 5 GROUP BY category""")
 def q_category_top_words(spark, sf):
     return T.category_top_words(B.reviews(spark, sf), _STOP)
+
+
+# ============================================================= commerce =====
+
+COM = O.with_(O.B_CUSTOMERS, O.B_ITEMS, O.B_SCORES, O.B_ORDERS, O.B_PRODUCTS)
+# The purchase year of the revenue report on the test tables (orders span
+# 1995-2001).
+REVENUE_YEAR = 1998
+
+
+@register("overall_stats", COM + """
+SELECT 'total_orders' AS metric, CAST(count(*) AS BIGINT) AS value FROM b_orders
+UNION ALL
+SELECT 'total_customers', CAST(count(DISTINCT subscriber_id) + max(CASE WHEN subscriber_id IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+FROM b_customers
+UNION ALL
+SELECT 'total_sellers', CAST(count(DISTINCT seller_id) + max(CASE WHEN seller_id IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+FROM b_items""")
+def q_overall_stats(spark, sf):
+    return C.overall_stats(B.orders(spark, sf), B.customers(spark, sf), B.order_items(spark, sf))
+
+
+@register("orders_by_country", COM + """
+SELECT c.customer_country, count(o.order_id) AS total_orders
+FROM b_customers c JOIN b_orders o ON c.customer_trx_id = o.customer_trx_id
+GROUP BY c.customer_country
+ORDER BY total_orders DESC, c.customer_country ASC NULLS FIRST LIMIT 10""")
+def q_orders_by_country(spark, sf):
+    return C.orders_by_country(B.orders(spark, sf), B.customers(spark, sf))
+
+
+@register("orders_by_month", COM + """
+SELECT year(order_purchase_timestamp) AS year, month(order_purchase_timestamp) AS month,
+       count(order_id) AS total_orders
+FROM b_orders GROUP BY 1, 2""")
+def q_orders_by_month(spark, sf):
+    return C.orders_by_month(B.orders(spark, sf))
+
+
+@register("review_score_mean", COM + """
+SELECT avg(review_score) AS avg_score FROM b_scores
+WHERE review_score IS NOT NULL AND review_score BETWEEN 1 AND 5""")
+def q_review_score_mean(spark, sf):
+    return C.review_score_mean(B.order_reviews(spark, sf))
+
+
+@register("review_score_histogram", COM + """
+SELECT review_score, count(review_id) AS n_reviews FROM b_scores
+WHERE review_score IS NOT NULL AND review_score BETWEEN 1 AND 5 GROUP BY review_score""")
+def q_review_score_histogram(spark, sf):
+    return C.review_score_histogram(B.order_reviews(spark, sf))
+
+
+@register("revenue_by_category", COM + f"""
+SELECT p.product_category_name,
+       CAST(sum(CAST(i.price + i.freight_value AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue
+FROM b_items i JOIN b_orders o ON i.order_id = o.order_id
+JOIN b_products p ON i.product_id = p.product_id
+WHERE year(o.order_purchase_timestamp) = {REVENUE_YEAR}
+GROUP BY p.product_category_name""")
+def q_revenue_by_category(spark, sf):
+    return C.revenue_by_category(
+        B.order_items(spark, sf), B.orders(spark, sf), B.products(spark, sf), REVENUE_YEAR
+    )
+
+
+@register("top_products", COM + """
+SELECT product_id, count(order_item_id) AS total_sold FROM b_items
+GROUP BY product_id ORDER BY total_sold DESC, product_id ASC NULLS FIRST LIMIT 5""")
+def q_top_products(spark, sf):
+    return C.top_products(B.order_items(spark, sf))
+
+
+@register("product_avg_review", COM + """
+SELECT i.product_id, avg(s.review_score) AS avg_review_score
+FROM b_items i JOIN b_scores s ON i.order_id = s.order_id
+WHERE s.review_score IS NOT NULL
+GROUP BY i.product_id""")
+def q_product_avg_review(spark, sf):
+    return C.product_avg_review(B.order_items(spark, sf), B.order_reviews(spark, sf))
+
+
+@register("delivery_diff_days", COM + """
+SELECT o.order_id, o.order_delivered_carrier_date, i.shipping_limit_date,
+       CAST(datediff('day', i.shipping_limit_date, o.order_delivered_carrier_date) AS INTEGER) AS delivery_diff_days
+FROM b_items i JOIN b_orders o ON i.order_id = o.order_id
+WHERE o.order_delivered_carrier_date IS NOT NULL AND i.shipping_limit_date IS NOT NULL""")
+def q_delivery_diff_days(spark, sf):
+    return C.delivery_diff_days(B.order_items(spark, sf), B.orders(spark, sf))
