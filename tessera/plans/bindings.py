@@ -161,7 +161,11 @@ def _synthetic_boxes(k: Column) -> Column:
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw detections, one row per frame: every box of the model with its
     class, before the person/confidence filter."""
-    e = table(spark, sf_dir, "events")
+    return detections_from_events(table(spark, sf_dir, "events"))
+
+
+def detections_from_events(e: DataFrame) -> DataFrame:
+    """The detection projection of ``events`` (works on a stream too)."""
     k = F.get_json_object("props", "$.k").cast("int")
     return e.select(
         F.col("event_id").alias("frame_id"),

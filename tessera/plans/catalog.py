@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from tessera.operators import ratings as R
 from tessera.operators import text as T
 from tessera.operators import commerce as C
+from tessera.operators import detections as D
+from tessera.sources import delimited as SRC
+from tessera.sources import special as S
+from tessera.sources.sinks import RESULTS_SCHEMA, read_results_csv, report_lines, write_results_csv
+from tessera.streaming import detections as SD
+from tessera.session import scratch_path
 from tessera.plans import bindings as B
 from tessera.plans import oracle as O
 
@@ -368,3 +374,192 @@ FROM b_items i JOIN b_orders o ON i.order_id = o.order_id
 WHERE o.order_delivered_carrier_date IS NOT NULL AND i.shipping_limit_date IS NOT NULL""")
 def q_delivery_diff_days(spark, sf):
     return C.delivery_diff_days(B.order_items(spark, sf), B.orders(spark, sf))
+
+
+# =========================================================== detections =====
+
+DET = O.with_(O.B_FRAMES, O.B_BOXES, O.B_PERSONS)
+# Local time zone of the results file on the test tables (the shipped file
+# was written at UTC+7).
+RESULTS_ZONE = "+07:00"
+# The flush rule on the test tables: events are sparse (about 14 per hour),
+# so the tick is one hour with batches of 5 rows.
+FLUSH_TICK_SECONDS = 3600
+
+_BOXES_JSON_SQL = """'[' || coalesce((SELECT string_agg('{"x1": ' || CAST(p.x1 AS VARCHAR) || ', "y1": ' || CAST(p.y1 AS VARCHAR)
+    || ', "x2": ' || CAST(p.x2 AS VARCHAR) || ', "y2": ' || CAST(p.y2 AS VARCHAR)
+    || ', "confidence": ' || CAST(p.confidence AS VARCHAR) || '}', ', ' ORDER BY p.i)
+  FROM b_persons p WHERE p.frame_id = f.frame_id), '') || ']'"""
+
+_PERSON_COUNT_SQL = DET + """
+SELECT f.frame_id, CAST((SELECT count(*) FROM b_persons p WHERE p.frame_id = f.frame_id) AS INTEGER) AS person_count
+FROM b_frames f"""
+
+_RESULTS_SQL = DET + f"""
+SELECT f.frame_id, epoch_us(f.ts) / 1000000.0 AS timestamp,
+       strftime(f.ts + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS datetime_str,
+       CAST((SELECT count(*) FROM b_persons p WHERE p.frame_id = f.frame_id) AS INTEGER) AS person_count,
+       coalesce(f.process_ms, 0.0) AS process_ms,
+       {_BOXES_JSON_SQL} AS boxes_json
+FROM b_frames f"""
+
+
+def _records(spark, sf):
+    return D.detection_records(B.detections(spark, sf))
+
+
+@register("person_boxes", DET + """
+SELECT frame_id, CAST(i AS INTEGER) AS box_index, x1, y1, x2, y2, confidence FROM b_persons""")
+def q_person_boxes(spark, sf):
+    return D.person_boxes(B.detections(spark, sf))
+
+
+@register("person_count", _PERSON_COUNT_SQL)
+def q_person_count(spark, sf):
+    return D.person_count(B.detections(spark, sf))
+
+
+@register("frame_datetime", DET + """
+SELECT frame_id, epoch_us(ts) / 1000000.0 AS timestamp,
+       strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS datetime_str
+FROM b_frames""")
+def q_frame_datetime(spark, sf):
+    return D.frame_datetime(_records(spark, sf), RESULTS_ZONE)
+
+
+@register("flush_batches", DET + f""",
+t AS (SELECT frame_id, ts,
+             CAST(floor((epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events)) / {FLUSH_TICK_SECONDS * 1_000_000}) AS BIGINT) AS tick
+      FROM b_frames),
+r AS (SELECT *, row_number() OVER (PARTITION BY tick ORDER BY ts, frame_id) AS rn FROM t)
+SELECT frame_id, tick, CAST((rn - 1) // 5 AS BIGINT) AS batch, CAST((rn - 1) % 5 AS INTEGER) AS row_in_batch
+FROM r""")
+def q_flush_batches(spark, sf):
+    rec = _records(spark, sf)
+    t0 = B.table(spark, sf, "events").select(F.min("ts")).scalar()
+    return D.flush_batches(rec, t0, interval_seconds=FLUSH_TICK_SECONDS, max_rows=D.FLUSH_ROWS)
+
+
+@register("frame_stats", DET + """
+SELECT count(*) AS n_frames, avg(c) AS avg_person_count, max(c) AS max_person_count
+FROM (SELECT f.frame_id, CAST((SELECT count(*) FROM b_persons p WHERE p.frame_id = f.frame_id) AS INTEGER) AS c
+      FROM b_frames f) s""")
+def q_frame_stats(spark, sf):
+    return D.frame_stats(_records(spark, sf))
+
+
+@register("latency_stats", DET + """,
+v AS (SELECT source, frame_id, process_ms FROM b_frames WHERE process_ms IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY process_ms, frame_id) AS rn,
+             count(*) OVER (PARTITION BY source) AS n FROM v)
+SELECT source, count(*) AS n_frames,
+       CAST(sum(CAST(process_ms AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_ms,
+       min(process_ms) AS min_ms, max(process_ms) AS max_ms,
+       max(CASE WHEN rn = greatest(1, CAST(ceil(n * 0.5) AS BIGINT)) THEN process_ms END) AS p50_ms,
+       max(CASE WHEN rn = greatest(1, CAST(ceil(n * 0.95) AS BIGINT)) THEN process_ms END) AS p95_ms
+FROM r GROUP BY source""")
+def q_latency_stats(spark, sf):
+    return D.latency_stats(_records(spark, sf), ["source"], (0.5, 0.95))
+
+
+@register("score_frames", """
+SELECT doc_id AS frame_id, CAST(strlen(text) % 5 AS INTEGER) AS person_count FROM documents""")
+def q_score_frames(spark, sf):
+    scored = D.score_frames(B.frames_as_bytes(spark, sf), D.byte_length_scorer)
+    return scored.select("frame_id", "person_count")
+
+
+@register("base64_roundtrip", """
+SELECT doc_id AS frame_id, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes,
+       to_base64(encode(text)) AS b64, from_base64(to_base64(encode(text))) = encode(text) AS roundtrip_ok
+FROM documents""")
+def q_base64_roundtrip(spark, sf):
+    return S.base64_roundtrip(B.frames_as_bytes(spark, sf))
+
+
+@register("results_csv_roundtrip", "SELECT *, person_count AS n_boxes FROM (" + _RESULTS_SQL + ") s")
+def q_results_csv_roundtrip(spark, sf):
+    path = scratch_path(spark, "results-csv")
+    write_results_csv(D.results_table(_records(spark, sf), RESULTS_ZONE), path, mode="overwrite")
+    back = read_results_csv(spark, path)
+    return back.select(*RESULTS_SCHEMA.fieldNames(), F.size("boxes").cast("int").alias("n_boxes"))
+
+
+# ============================================================ streaming =====
+
+def _staged_events(spark, sf):
+    """The events table written as several files: the stream's input."""
+    path = scratch_path(spark, "events-stream-input")
+    events = B.table(spark, sf, "events")
+    events.repartitionByRange(4, "event_id").write.parquet(path)
+    return SD.read_stream(spark, path, events.schema)
+
+
+@register("stream_person_counts", _PERSON_COUNT_SQL)
+def q_stream_person_counts(spark, sf):
+    stream = B.detections_from_events(_staged_events(spark, sf))
+    out, ckpt = SD.new_paths(spark, "stream-person-counts")
+    SD.run_to_end(SD.stream_person_counts(stream, out, ckpt))
+    return spark.read.parquet(out).select("frame_id", "person_count")
+
+
+@register("stream_running_total", """
+SELECT user_id AS source, count(*) AS total FROM events GROUP BY user_id""")
+def q_stream_running_total(spark, sf):
+    stream = _staged_events(spark, sf).withColumnRenamed("user_id", "source")
+    out, ckpt = SD.new_paths(spark, "stream-running-total")
+    SD.run_to_end(SD.stream_running_total(stream, out, ckpt, key="source"))
+    return SD.read_running_total(spark, out, key="source")
+
+
+@register("stream_results_sink", _RESULTS_SQL)
+def q_stream_results_sink(spark, sf):
+    stream = B.detections_from_events(_staged_events(spark, sf))
+    out, ckpt = SD.new_paths(spark, "stream-results")
+    SD.run_to_end(SD.stream_results_sink(stream, out, ckpt, RESULTS_ZONE, trigger=None))
+    return read_results_csv(spark, out, parse_boxes=False).select(*RESULTS_SCHEMA.fieldNames())
+
+
+# ============================================================== sources =====
+
+_CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer"
+_CUSTOMER_TYPES = {"c_custkey": "bigint", "c_nationkey": "int"}
+_CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+
+
+def _customer_lines(spark, sf):
+    """Customer rows as ``;`` lines with a trailing empty field (Java drops
+    it, so the arity is 4), plus the nation rows as 2-field lines that the
+    arity guard must skip."""
+    c = B.table(spark, sf, "customer")
+    n = B.table(spark, sf, "nation")
+    long_lines = c.select(
+        F.concat_ws(";", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.lit("")).alias("value")
+    )
+    short_lines = n.select(F.concat_ws(";", "n_nationkey", "n_name").alias("value"))
+    return long_lines.unionByName(short_lines)
+
+
+@register("parse_delimited", _CUSTOMER_SQL)
+def q_parse_delimited(spark, sf):
+    return SRC.parse_delimited(_customer_lines(spark, sf), _CUSTOMER_COLS, sep=";", types=_CUSTOMER_TYPES)
+
+
+_HEADER = "c_custkey;c_name;c_nationkey;c_mktsegment"
+
+
+@register("drop_header_lines", _CUSTOMER_SQL)
+def q_drop_header_lines(spark, sf):
+    header = spark.createDataFrame([(_HEADER,), (_HEADER,)], "value string")
+    lines = header.unionByName(_customer_lines(spark, sf))
+    kept = SRC.drop_header_lines(lines, _HEADER)
+    return SRC.parse_delimited(kept, _CUSTOMER_COLS, sep=";", types=_CUSTOMER_TYPES)
+
+
+@register("report_lines")
+def q_report_lines(spark, sf):
+    stats = R.gender_avg_long(B.ratings(spark, sf), B.users(spark, sf), B.movies(spark, sf))
+    return report_lines(
+        stats, [("title", 40), ("gender_label", 10)], "avg_rating",
+        [F.col("movie_id"), F.col("gender")], limit=30, title_col="title",
+    )
