@@ -26,6 +26,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-split input before CPU-heavy per-row work.
+
+    A table stored as fewer files than the cluster has cores (the test
+    tables are one file with one row group each) is scanned by that few
+    tasks; tokenizing whole texts there would leave the other cores idle.
+    Such input is round-robin repartitioned to the default parallelism. A
+    table of many files is left alone -- its scan is already parallel and a
+    shuffle of all its text would only cost I/O.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
+
+
 # ---------------------------------------------------------------- ratings ----
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +88,7 @@ def occupations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- reviews ----
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     sentiment = (
         F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative").otherwise("neutral")
@@ -178,6 +194,6 @@ def detections_from_events(e: DataFrame) -> DataFrame:
 
 def frames_as_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames for the scoring operator: document text as opaque bytes."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select(F.col("doc_id").alias("frame_id"), F.encode("text", "UTF-8").alias("image"))
 

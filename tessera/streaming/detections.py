@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.operators.detections import FLUSH_ROWS, FLUSH_SECONDS, detection_records, results_table
+from tessera.operators.detections import FLUSH_SECONDS, detection_records, results_table
 from tessera.session import scratch_path
 from tessera.sources.sinks import write_results_csv
 
@@ -104,25 +104,28 @@ def stream_results_sink(
     zone: str,
     replies: str | None = None,
     trigger: str | None = f"{FLUSH_SECONDS} seconds",
-    max_rows_per_file: int = FLUSH_ROWS,
+    max_rows_per_file: int | None = None,
 ) -> StreamingQuery:
     """Append the results CSV (``datetime_str`` and ``boxes_json`` added);
     optionally also write the per-frame reply records (two outputs from one
-    stream, the batch is persisted once for both)."""
+    stream, the batch is persisted once for both).
+
+    The reference flushes after 5 rows or 10 s to bound the delay of one
+    camera's rows. Here the trigger interval bounds the delay; a row cap per
+    file (``max_rows_per_file``, e.g. ``FLUSH_ROWS``) is available but off by
+    default, because at cluster rates it would write millions of tiny files.
+    Which rows the reference would have written together is computed
+    exactly by :func:`tessera.operators.detections.flush_batches`."""
     records = detection_records(stream)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             rows = results_table(batch, zone)
-            (
-                rows.write.mode("overwrite")
-                .option("header", True)
-                .option("quote", '"')
-                .option("escape", '"')
-                .option("maxRecordsPerFile", max_rows_per_file)
-                .csv(f"{out}/batch={batch_id}")
-            )
+            w = rows.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+            if max_rows_per_file:
+                w = w.option("maxRecordsPerFile", max_rows_per_file)
+            w.csv(f"{out}/batch={batch_id}")
             if replies:
                 batch.select("frame_id", "person_count", "boxes", "process_ms").write.mode("overwrite").json(
                     f"{replies}/batch={batch_id}"
