@@ -112,8 +112,9 @@ def pad_right(c: str | Column, width: int) -> Column:
 
 
 def fixed2(c: str | Column, na: str = "N/A") -> Column:
-    """``%.2f`` (HALF_UP), with ``na`` for null."""
-    return F.coalesce(F.format_string("%.2f", _col(c)), F.lit(na))
+    """``%.2f`` (HALF_UP), with ``na`` for null (Java would print "nu")."""
+    x = _col(c)
+    return F.when(x.isNull(), F.lit(na)).otherwise(F.format_string("%.2f", x))
 
 
 def boxes_json(boxes: str | Column) -> Column:

@@ -46,7 +46,11 @@ def java_split(c: str | Column, sep: str, limit: int = -1) -> Column:
     pattern = re.escape(sep)
     if limit > 0:
         return F.split(_col(c), pattern, limit)
-    return F.split(strip_trailing(c, sep), pattern)
+    stripped = strip_trailing(c, sep)
+    # A line made only of separators has no field at all in Java; the empty
+    # line itself has one (empty) field.
+    only_seps = (_col(c) != F.lit("")) & (stripped == F.lit(""))
+    return F.when(only_seps, F.array().cast("array<string>")).otherwise(F.split(stripped, pattern))
 
 
 def split_multi_value(c: str | Column, sep: str = "|") -> Column:

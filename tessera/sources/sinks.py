@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.scalars import ellipsis, pad_right, parse_boxes_json
+from tessera.functions.scalars import ellipsis, fixed2, pad_right, parse_boxes_json
 
 RESULTS_SCHEMA = T.StructType(
     [
@@ -61,7 +61,8 @@ def report_lines(
     limit: int | None = None,
     title_col: str | None = None,
 ) -> DataFrame:
-    """Console-table rows ``%-Ns | %-Ms | %.2f`` as one ``line`` column.
+    """Console-table rows ``%-Ns | %-Ms | %.2f`` as one ``line`` column
+    (a null value prints as ``N/A``).
 
     ``text_cols`` are (column, width) pairs padded on the right without
     truncation; ``title_col`` (if given) is first cut to 35 chars + '...'
@@ -74,7 +75,7 @@ def report_lines(
         if title_col == name:
             c = ellipsis(c)
         cells.append(pad_right(F.coalesce(c, F.lit("")), width))
-    value = F.format_string("%.2f", F.col(value_col))
+    value = fixed2(value_col)
     line = F.concat_ws(" | ", *cells, value)
     out = df.orderBy(*order)
     if limit is not None:

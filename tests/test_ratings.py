@@ -1,0 +1,130 @@
+"""Rating operators on hand-made tables: support, ties, buckets, years,
+defaults, duplicate dimensions (H12-H14, H16, A3-A11)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import ratings as R
+from tessera.operators.joins import checked_broadcast, unique_by_key
+from tests.conftest import rows
+
+RATINGS = "user_id long, movie_id long, rating double, ts long"
+USERS = "user_id long, gender string, age int, occupation_id int"
+MOVIES = "movie_id long, title string, genres string"
+
+
+@pytest.fixture()
+def small(spark):
+    ratings = spark.createDataFrame(
+        [(1, 10, 4.0, 0), (2, 10, 5.0, 0), (1, 11, 3.0, 0), (3, 11, 4.0, 0), (2, 12, 5.0, 0), (4, 10, 2.0, 0)],
+        RATINGS,
+    )
+    users = spark.createDataFrame(
+        [(1, "M", 17, 1), (2, "F", 30, 2), (3, "m", 60, 9)], USERS  # user 4 unknown
+    )
+    movies = spark.createDataFrame(
+        [(10, "Ten", "Drama|War"), (11, "Eleven", "Drama"), (13, "Unrated", "Comedy")], MOVIES  # 12 missing
+    )
+    return ratings, users, movies
+
+
+def test_movie_avg_rating_left_join_default(spark, small):
+    ratings, _, movies = small
+    got = rows(R.movie_avg_rating(ratings, movies))
+    assert got == [(10, "Ten", 11.0 / 3, 3), (11, "Eleven", 3.5, 2), (12, "Unknown", 5.0, 1)]
+
+
+def test_best_movie_nobody_qualifies(spark, small):
+    ratings, _, movies = small
+    assert R.best_movie(ratings, movies, min_support=5).count() == 0
+
+
+def test_best_movie_tie_goes_to_smallest_id(spark):
+    # Two movies with equal means; one global winner.
+    ratings = spark.createDataFrame(
+        [(1, 20, 4.0, 0), (2, 20, 4.0, 0), (1, 21, 4.0, 0), (2, 21, 4.0, 0), (1, 22, 1.0, 0), (2, 22, 2.0, 0)],
+        RATINGS,
+    ).repartition(3)
+    movies = spark.createDataFrame([(20, "A", "x"), (21, "B", "x")], MOVIES)
+    assert rows(R.best_movie(ratings, movies, min_support=2)) == [(20, "A", 4.0, 2)]
+
+
+def test_genre_explode_weighting(spark, small):
+    ratings, _, movies = small
+    got = {r["genre"]: (r["avg_rating"], r["n_ratings"]) for r in R.genre_avg_rating(ratings, movies).collect()}
+    # movie 10 counts once for Drama and once for War; movie 12 is unknown.
+    assert got == {"Drama": (18.0 / 5, 5), "War": (11.0 / 3, 3)}
+    total = sum(n for _, n in got.values())
+    assert total == 5 + 3  # exploded count = sum of genre-list sizes over matched ratings
+
+
+def test_gender_pivot_case_insensitive_and_na(spark, small):
+    ratings, users, movies = small
+    got = rows(R.gender_avg_pivot(ratings, users, movies))
+    # user 3 is "m" -> male; user 4 unknown -> dropped (inner join).
+    assert got == [(10, "Ten", 4.0, 5.0), (11, "Eleven", 3.5, None), (12, "Movie_12", None, 5.0)]
+
+
+def test_gender_long_labels(spark, small):
+    ratings, users, movies = small
+    got = rows(R.gender_avg_long(ratings, users, movies), "movie_id", "gender", "gender_label")
+    assert (11, "m", "m") in got and (10, "M", "Nam (M)") in got and (10, "F", "Nu (F)") in got
+
+
+def test_age_edges(spark):
+    ages = [17, 18, 24, 25, 34, 35, 36, 44, 45, 49, 50, 51, 55, 56]
+    users = spark.createDataFrame([(i, "M", a, 1) for i, a in enumerate(ages)], USERS)
+    got = {r["age"]: (r["age_group_4"], r["age_group_7"]) for r in R.age_buckets(users).collect()}
+    assert got == {
+        17: ("0-18", "Duoi 18"), 18: ("18-35", "18-24"), 24: ("18-35", "18-24"), 25: ("18-35", "25-34"),
+        34: ("18-35", "25-34"), 35: ("18-35", "35-44"), 36: ("35-50", "35-44"), 44: ("35-50", "35-44"),
+        45: ("35-50", "45-49"), 49: ("35-50", "45-49"), 50: ("35-50", "50-55"), 51: ("50+", "50-55"),
+        55: ("50+", "50-55"), 56: ("50+", "Tren 56"),
+    }
+
+
+def test_age_pivot_all_four_columns(spark, small):
+    ratings, users, movies = small
+    df = R.age_avg_pivot(ratings, users, movies)
+    assert df.columns == ["movie_id", "title", "avg_0_18", "avg_18_35", "avg_35_50", "avg_50_plus"]
+    got = {r["movie_id"]: tuple(r)[2:] for r in df.collect()}
+    assert got[11] == (3.0, None, None, 4.0)
+
+
+def test_year_edge_in_utc(spark):
+    ratings = spark.createDataFrame([(1, 1, 3.0, 1609459199), (1, 1, 5.0, 1609459200)], RATINGS)
+    assert rows(R.yearly_stats(ratings)) == [(2020, 3.0, 1), (2021, 5.0, 1)]
+
+
+def test_occupation_default_label(spark, small):
+    ratings, users, _ = small
+    occ = spark.createDataFrame([(1, "Student"), (2, "Artist")], "occupation_id int, name string")
+    got = rows(R.occupation_stats(ratings, users, occ), "occupation_id", "occupation", "n_ratings")
+    assert got == [(1, "Student", 2), (2, "Artist", 2), (9, "Unknown (9)", 1)]
+
+
+def test_duplicate_dimension_last_wins(spark):
+    # Two titles for one id must not double the ratings.
+    movies = spark.createDataFrame(
+        [(1, "Old title", "x", 1), (1, "New title", "x", 2)], "movie_id long, title string, genres string, v int"
+    )
+    uniq = unique_by_key(movies, "movie_id", "v").drop("v")
+    ratings = spark.createDataFrame([(1, 1, 4.0, 0)], RATINGS)
+    assert rows(R.movie_avg_rating(ratings, uniq)) == [(1, "New title", 4.0, 1)]
+
+
+def test_checked_broadcast_falls_back(spark):
+    small = spark.range(5)
+    big = spark.range(50)
+    assert checked_broadcast(big, max_rows=10) is big
+    assert checked_broadcast(small, max_rows=10) is not small
+
+
+def test_union_ratings_keeps_duplicates(spark, small):
+    ratings, _, _ = small
+    assert R.union_ratings(ratings, ratings).count() == 2 * ratings.count()
+
+
+def test_rating_count(spark, small):
+    ratings, _, _ = small
+    assert rows(R.rating_count(ratings)) == [(10, 3), (11, 2), (12, 1)]
