@@ -197,16 +197,25 @@ SCORED_SCHEMA = T.StructType(
 )
 
 
-def score_frames(frames: DataFrame, model_factory: Callable[[], Scorer], image_col: str = "image") -> DataFrame:
+def score_frames(
+    frames: DataFrame,
+    model_factory: Callable[[], Scorer],
+    image_col: str = "image",
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Run a detection model over ``frame_id, image`` rows.
 
     ``model_factory()`` builds the model once per Python worker (it is
     cached there) and the returned callable maps image bytes to a list of
     person boxes ``{x1, y1, x2, y2, confidence}``. Frames travel as Arrow
     batches (``mapInPandas``); the time per frame is measured around the
-    call and rounded to 0.01 ms.
+    call and rounded to 0.01 ms. Columns named in ``keep`` pass through.
     """
     key = id(model_factory)
+    keep = list(keep)
+    schema = T.StructType(
+        [SCORED_SCHEMA["frame_id"], *[frames.schema[c] for c in keep], *SCORED_SCHEMA.fields[1:]]
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _MODELS.get(key)
@@ -221,11 +230,13 @@ def score_frames(frames: DataFrame, model_factory: Callable[[], Scorer], image_c
                 boxes.append([{f: b[f] for f in BOX_FIELDS} for b in found])
                 counts.append(len(found))
                 millis.append(round(ms, 2))
-            yield pd.DataFrame(
-                {"frame_id": pdf["frame_id"], "person_count": counts, "boxes": boxes, "process_ms": millis}
-            )
+            out = {"frame_id": pdf["frame_id"]}
+            for c in keep:
+                out[c] = pdf[c]
+            out.update({"person_count": counts, "boxes": boxes, "process_ms": millis})
+            yield pd.DataFrame(out)
 
-    return frames.select("frame_id", image_col).mapInPandas(run, SCORED_SCHEMA)
+    return frames.select("frame_id", *keep, image_col).mapInPandas(run, schema)
 
 
 def byte_length_scorer() -> Scorer:

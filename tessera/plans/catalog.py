@@ -563,3 +563,19 @@ def q_report_lines(spark, sf):
         stats, [("title", 40), ("gender_label", 10)], "avg_rating",
         [F.col("movie_id"), F.col("gender")], limit=30, title_col="title",
     )
+
+
+@register("stream_score_frames", """
+SELECT doc_id AS frame_id, CAST(strlen(text) % 5 AS INTEGER) AS person_count FROM documents""")
+def q_stream_score_frames(spark, sf):
+    """Frames arrive as JSON lines {frame_id, timestamp, image_b64} (the
+    documents' text as the image bytes); the stream decodes and scores them."""
+    path = scratch_path(spark, "frames-json-input")
+    frames = B.frames_as_bytes(spark, sf).select(
+        # documents carry no capture time; the field is kept for the wire format
+        "frame_id", F.lit(0.0).alias("timestamp"), S.b64encode("image").alias("image_b64")
+    )
+    frames.repartitionByRange(4, "frame_id").write.json(path)
+    out, ckpt = SD.new_paths(spark, "stream-score-frames")
+    SD.run_to_end(SD.stream_score_frames(SD.read_frame_stream(spark, path), D.byte_length_scorer, out, ckpt))
+    return spark.read.parquet(out).select("frame_id", "person_count")

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.operators.detections import FLUSH_SECONDS, detection_records, results_table
+from tessera.operators.detections import FLUSH_SECONDS, Scorer, detection_records, results_table, score_frames
+from tessera.sources.special import b64decode
 from tessera.session import scratch_path
 from tessera.sources.sinks import write_results_csv
 
@@ -76,6 +77,36 @@ def stream_person_counts(
     return _run(writer, trigger)
 
 
+FRAME_SCHEMA = "frame_id long, timestamp double, image_b64 string"
+
+
+def read_frame_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """Camera frames as JSON lines ``{frame_id, timestamp, image_b64}``
+    (the reference's wire format), decoded to ``frame_id, timestamp,
+    image`` bytes."""
+    raw = read_stream(spark, path, FRAME_SCHEMA, fmt="json", files_per_trigger=files_per_trigger)
+    return raw.select("frame_id", "timestamp", b64decode("image_b64").alias("image"))
+
+
+def stream_score_frames(
+    frames: DataFrame,
+    model_factory: Callable[[], Scorer],
+    out: str,
+    checkpoint: str,
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """Score each frame of a stream with the caller's model (one model per
+    Python worker, Arrow batches) and append the detection records
+    ``frame_id, timestamp, person_count, boxes, process_ms``."""
+    scored = score_frames(frames, model_factory, keep=["timestamp"])
+    writer = (
+        scored.writeStream.foreachBatch(
+            _batch_writer(out, lambda b, p: b.write.mode("overwrite").parquet(p))
+        ).option("checkpointLocation", checkpoint)
+    )
+    return _run(writer, trigger)
+
+
 def stream_running_total(
     stream: DataFrame, out: str, checkpoint: str, key: str = "source", trigger: str | None = None
 ) -> StreamingQuery:

@@ -60,3 +60,33 @@ def test_read_stopwords(spark, tmp_path):
     assert stopword_list(sw) == ["bởi vì", "của", "và"]
     with pytest.raises(ValueError):
         stopword_list(sw, max_words=2)
+
+
+def test_multi_path_scan_is_one_table(spark, tmp_path):
+    # S3: textFile("a,b") reads both inputs as one table.
+    from tessera.sources.delimited import read_lines
+
+    (tmp_path / "a.txt").write_text("1,x\n2,y\n")
+    (tmp_path / "b.txt").write_text("3,z\n")
+    df = read_lines(spark, [str(tmp_path / "a.txt"), str(tmp_path / "b.txt")])
+    assert rows(parse_delimited(df, ["id", "v"], types={"id": "int"})) == [(1, "x"), (2, "y"), (3, "z")]
+
+
+def test_semicolon_csv_with_header_and_schema(spark, tmp_path):
+    from tessera.sources.delimited import read_semicolon_csv
+
+    p = tmp_path / "orders.csv"
+    p.write_text("Order_ID;Customer_Trx_ID;Order_Purchase_Timestamp\n"
+                 "o1;c1;2024-03-01 10:00:00\no2;c2;\n")
+    df = read_semicolon_csv(spark, str(p), "order_id string, customer_trx_id string, order_purchase_timestamp timestamp")
+    got = rows(df)
+    assert got[0][:2] == ("o1", "c1") and got[1] == ("o2", "c2", None)
+
+
+def test_tsv_sink_key_tab_value(spark, tmp_path):
+    from tessera.sources.sinks import write_tsv
+
+    df = spark.createDataFrame([("Toy Story (1995)", "AverageRating: 4.25 (TotalRatings: 2)")], "k string, v string")
+    write_tsv(df.coalesce(1), str(tmp_path / "out"))
+    text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+    assert text == "Toy Story (1995)\tAverageRating: 4.25 (TotalRatings: 2)\n"

@@ -57,3 +57,21 @@ def test_restart_resumes_without_loss_or_duplicates(spark, tmp_path):
     assert rows(back) == rows(expect)
     totals = rows(SD.read_running_total(spark, tot_out))
     assert totals == rows(ev.groupBy("user_id").count())
+
+
+def test_json_frame_stream_decodes_and_scores(spark, tmp_path):
+    # S10 + T2: JSON lines {frame_id, timestamp, image_b64} -> model.
+    import base64
+    import json
+
+    src = tmp_path / "frames"
+    src.mkdir()
+    payloads = [b"abc", b"", b"abcdefgh", bytes(range(256))]
+    for i, img in enumerate(payloads):
+        (src / f"f{i}.json").write_text(json.dumps(
+            {"frame_id": i, "timestamp": 1781673269.0 + i, "image_b64": base64.b64encode(img).decode()}) + "\n")
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    q = SD.stream_score_frames(SD.read_frame_stream(spark, str(src)), DET.byte_length_scorer, out, ckpt)
+    SD.run_to_end(q)
+    got = rows(spark.read.parquet(out), "frame_id", "timestamp", "person_count")
+    assert got == [(i, 1781673269.0 + i, len(p) % 5) for i, p in enumerate(payloads)]
