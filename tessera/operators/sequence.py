@@ -8,7 +8,7 @@ together from per-partition counts:
 
 1. range-partition and sort on ``(g, o)``; tag each row with its partition
    id and ``monotonically_increasing_id`` (consecutive inside a partition,
-   following the sort);
+   following the sort); checkpoint the tagged rows once;
 2. per (partition, group): row count and first id -- at most
    ``#groups + #partitions`` rows;
 3. per group, the rows it has in earlier partitions (a running sum over
@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
+
 
 def row_number_within(
     df: DataFrame,
@@ -48,11 +50,16 @@ def row_number_within(
     group_cols = list(group_cols)
     keys = [F.col(c) for c in group_cols] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
 
+    ensure_checkpoint_dir(spark)
+    # Materialised once (a reliable checkpoint in the shared folder): the
+    # stats and the join below read the very same partitions and ids, and a
+    # lost executor re-reads them instead of re-deriving them.
     tagged = (
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
     )
     stats = tagged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")

@@ -59,19 +59,23 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """Return the cluster's shared checkpoint folder, registered with the
+    SparkContext so that ``DataFrame.checkpoint()`` can use it.
 
     The folder named by ``spark.checkpoint.dir`` is used when the session
     has one. Only when it is unset (local runs and tests) a fresh local
     folder is made and registered.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    local = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
