@@ -117,6 +117,22 @@ def fixed2(c: str | Column, na: str = "N/A") -> Column:
     return F.when(x.isNull(), F.lit(na)).otherwise(F.format_string("%.2f", x))
 
 
+def round_half_even(c: str | Column, digits: int) -> Column:
+    """Python's ``round(x, n)`` (banker's rounding), e.g. for ``process_ms``."""
+    return F.bround(_col(c), digits)
+
+
+def truncate_int(c: str | Column) -> Column:
+    """Python's ``int(x)`` for a float coordinate: drop the fraction."""
+    return _col(c).cast("int")
+
+
+def json_field(c: str | Column, path: str, default: Column | None = None) -> Column:
+    """``json.loads(s).get(k, default)`` for one scalar field."""
+    v = F.get_json_object(_col(c), path)
+    return v if default is None else F.coalesce(v, default)
+
+
 def boxes_json(boxes: str | Column) -> Column:
     """Encode a box array the way Python's ``json.dumps`` writes it:
     ``[{"x1": 1, "y1": 2, "x2": 3, "y2": 4, "confidence": 0.5}]``."""

@@ -23,9 +23,16 @@ RESULTS_SCHEMA = T.StructType(
 )
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Key TAB value text output (one part file per task), no header."""
-    df.write.mode(mode).option("sep", "\t").option("header", False).csv(path)
+def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", sort_by: Sequence[str] | None = None) -> None:
+    """Key TAB value text output (one part file per task), no header.
+
+    ``sort_by`` gives the MapReduce output order: a range-partitioned sort,
+    so part files are in key order (binary UTF-8 order, as Hadoop's Text
+    keys) and each file is sorted.
+    """
+    if sort_by:
+        df = df.orderBy(*sort_by)
+    df.write.mode(mode).option("sep", "\t").option("header", False).option("quote", "").csv(path)
 
 
 def write_results_csv(df: DataFrame, path: str, mode: str = "append") -> None:
