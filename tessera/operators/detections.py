@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.scalars import BOX_FIELDS, BOXES_TYPE, boxes_json, epoch_seconds, local_datetime
 from tessera.operators.sequence import row_number_within
+from tessera.session import ship_package
 
 # ---- fixed values of the reference pipeline ---------------------------------
 MIN_CONFIDENCE = 0.40     # detections below this confidence are dropped
@@ -211,6 +212,7 @@ def score_frames(
     batches (``mapInPandas``); the time per frame is measured around the
     call and rounded to 0.01 ms. Columns named in ``keep`` pass through.
     """
+    ship_package(frames.sparkSession)
     key = id(model_factory)
     keep = list(keep)
     schema = T.StructType(

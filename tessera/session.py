@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -55,9 +56,34 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (what
+    ``--py-files`` does at submit time): the one Python path,
+    ``score_frames``, runs library code there. Done once per application.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tessera-pyfiles-"), "tessera.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, registered with the
     SparkContext so that ``DataFrame.checkpoint()`` can use it.
