@@ -488,11 +488,12 @@ def q_results_csv_roundtrip(spark, sf):
 # ============================================================ streaming =====
 
 def _staged_events(spark, sf):
-    """The events table written as several files: the stream's input."""
+    """The events table written as time-ordered chunks of files (the
+    stream's input, arriving in event order), read two files per trigger."""
     path = scratch_path(spark, "events-stream-input")
     events = B.table(spark, sf, "events")
-    events.repartitionByRange(4, "event_id").write.parquet(path)
-    return SD.read_stream(spark, path, events.schema)
+    SD.stage_in_order(events, path, "event_id", chunks=4, files_per_chunk=2)
+    return SD.read_stream(spark, path, events.schema, files_per_trigger=2)
 
 
 @register("stream_person_counts", _PERSON_COUNT_SQL)
@@ -579,3 +580,15 @@ def q_stream_score_frames(spark, sf):
     out, ckpt = SD.new_paths(spark, "stream-score-frames")
     SD.run_to_end(SD.stream_score_frames(SD.read_frame_stream(spark, path), D.byte_length_scorer, out, ckpt))
     return spark.read.parquet(out).select("frame_id", "person_count")
+
+
+@register("stream_flush_batches", ORACLE["flush_batches"])
+def q_stream_flush_batches(spark, sf):
+    """The flush rule as a stateful stream over the events (arrival order =
+    time order); must equal the batch closed form."""
+    t0 = B.table(spark, sf, "events").agg(F.unix_micros(F.to_timestamp(F.min("ts")))).first()[0]
+    stream = B.detections_from_events(_staged_events(spark, sf))
+    out, ckpt = SD.new_paths(spark, "stream-flush")
+    SD.run_to_end(SD.stream_flush_batches(
+        stream, t0, out, ckpt, interval_seconds=FLUSH_TICK_SECONDS, max_rows=D.FLUSH_ROWS))
+    return spark.read.parquet(out).select("frame_id", "tick", "batch", "row_in_batch")

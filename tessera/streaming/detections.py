@@ -9,7 +9,7 @@ same steps are one streaming query:
   ``maxFilesPerTrigger``;
 * per-record enrichment (:func:`tessera.operators.detections.detection_records`);
 * sinks through ``foreachBatch``: each micro-batch is written to its own
-  ``batch=<id>`` folder with ``overwrite``, so a batch replayed after a
+  ``microbatch=<id>`` folder with ``overwrite``, so a batch replayed after a
   failure replaces its own output -- exactly once with the checkpoint,
   where the reference was at most once;
 * "flush at 5 rows or every 10 s" is ``trigger(processingTime='10
@@ -20,13 +20,23 @@ Checkpoints and outputs live under the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-
-from tessera.operators.detections import FLUSH_SECONDS, Scorer, detection_records, results_table, score_frames
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tessera.operators.detections import (
+    FLUSH_ROWS,
+    FLUSH_SECONDS,
+    Scorer,
+    detection_records,
+    results_table,
+    score_frames,
+)
 from tessera.sources.special import b64decode
 from tessera.session import scratch_path
 from tessera.sources.sinks import write_results_csv
@@ -39,6 +49,26 @@ def stage_files(df: DataFrame, path: str, n_files: int = 4, fmt: str = "parquet"
     return path
 
 
+def stage_in_order(
+    df: DataFrame, path: str, order_col: str, chunks: int = 4, files_per_chunk: int = 2, fmt: str = "parquet"
+) -> str:
+    """Write ``df`` as ``chunks`` consecutive appends over equal-width
+    ranges of ``order_col``, so files that hold later rows are also newer:
+    a file stream (which takes the oldest files first) then sees the rows
+    in ``order_col`` order, as a camera delivers frames. Each chunk is
+    written by ``files_per_chunk`` parallel tasks."""
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        df.limit(0).write.mode("append").format(fmt).save(path)
+        return path
+    width = (hi - lo) // chunks + 1
+    for i in range(chunks):
+        a, b = lo + i * width, lo + (i + 1) * width
+        part = df.filter((F.col(order_col) >= a) & (F.col(order_col) < b))
+        part.repartitionByRange(files_per_chunk, order_col).write.mode("append").format(fmt).save(path)
+    return path
+
+
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1) -> DataFrame:
     return (
         spark.readStream.schema(schema)
@@ -58,7 +88,7 @@ def _run(writer, trigger: str | None) -> StreamingQuery:
 
 def _batch_writer(out: str, write: Callable[[DataFrame, str], None]):
     def each(batch: DataFrame, batch_id: int) -> None:
-        write(batch, f"{out}/batch={batch_id}")
+        write(batch, f"{out}/microbatch={batch_id}")
 
     return each
 
@@ -107,6 +137,70 @@ def stream_score_frames(
     return _run(writer, trigger)
 
 
+FLUSH_OUTPUT = "frame_id long, tick long, batch long, row_in_batch int"
+FLUSH_STATE = "seen long"
+
+
+def stream_flush_batches(
+    stream: DataFrame,
+    t0_micros: int,
+    out: str,
+    checkpoint: str,
+    interval_seconds: int = FLUSH_SECONDS,
+    max_rows: int = FLUSH_ROWS,
+    source_cols: Sequence[str] = (),
+    watermark: str = "1 hour",
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """The "5 rows or 10 s" flush as a stateful stream.
+
+    Rows are keyed by (source, tick); the state of a key is just the number
+    of rows it has seen, so a row's position in its tick is ``seen`` plus its
+    rank inside the micro-batch, and its write batch is ``(rn - 1) //
+    max_rows`` -- the same numbers as the batch closed form
+    :func:`tessera.operators.detections.flush_batches` when rows arrive in
+    time order. A key's state is dropped (event-time timeout) once the
+    watermark passes the end of its tick, so state stays one small row per
+    open tick. ``t0_micros`` is the timer start (epoch microseconds).
+    """
+    step = interval_seconds * 1_000_000
+    micros = F.unix_micros(F.to_timestamp("ts")) - F.lit(t0_micros)
+    keyed = stream.select(
+        *source_cols, "frame_id", F.to_timestamp("ts").alias("ts"),
+        F.floor(micros / F.lit(step)).cast("long").alias("tick"),
+    ).withWatermark("ts", watermark)
+
+    def assign(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "frame_id"], kind="stable")
+        seen = state.get[0] if state.exists else 0
+        rn = seen + np.arange(1, len(pdf) + 1, dtype=np.int64)
+        state.update((int(seen + len(pdf)),))
+        tick = int(key[-1])
+        tick_end_ms = (t0_micros + (tick + 1) * step) // 1000
+        state.setTimeoutTimestamp(max(tick_end_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(
+            {
+                "frame_id": pdf["frame_id"].to_numpy(),
+                "tick": np.full(len(pdf), tick, dtype=np.int64),
+                "batch": (rn - 1) // max_rows,
+                "row_in_batch": ((rn - 1) % max_rows).astype(np.int32),
+            }
+        )
+
+    assigned = keyed.groupBy(*source_cols, "tick").applyInPandasWithState(
+        assign, FLUSH_OUTPUT, FLUSH_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    writer = (
+        assigned.writeStream.outputMode("append")
+        .foreachBatch(_batch_writer(out, lambda b, p: b.write.mode("overwrite").parquet(p)))
+        .option("checkpointLocation", checkpoint)
+    )
+    return _run(writer, trigger)
+
+
 def stream_running_total(
     stream: DataFrame, out: str, checkpoint: str, key: str = "source", trigger: str | None = None
 ) -> StreamingQuery:
@@ -125,7 +219,7 @@ def stream_running_total(
 def read_running_total(spark: SparkSession, out: str, key: str = "source") -> DataFrame:
     """Current totals: per key, the value of the latest batch."""
     df = spark.read.parquet(out)
-    return df.groupBy(key).agg(F.max_by("total", "batch").alias("total"))
+    return df.groupBy(key).agg(F.max_by("total", "microbatch").alias("total"))
 
 
 def stream_results_sink(
@@ -156,10 +250,10 @@ def stream_results_sink(
             w = rows.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
             if max_rows_per_file:
                 w = w.option("maxRecordsPerFile", max_rows_per_file)
-            w.csv(f"{out}/batch={batch_id}")
+            w.csv(f"{out}/microbatch={batch_id}")
             if replies:
                 batch.select("frame_id", "person_count", "boxes", "process_ms").write.mode("overwrite").json(
-                    f"{replies}/batch={batch_id}"
+                    f"{replies}/microbatch={batch_id}"
                 )
         finally:
             batch.unpersist()
@@ -186,6 +280,7 @@ def new_paths(spark: SparkSession, name: str) -> tuple[str, str]:
 
 __all__ = [
     "stage_files",
+    "stage_in_order",
     "read_stream",
     "stream_person_counts",
     "stream_running_total",
