@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import java_trim, tokens, without_stopwords
@@ -27,10 +27,6 @@ TOP_WORDS = 5
 # -----------------------------------------------------------------------------
 
 
-def _known_sentiment(reviews: DataFrame) -> Column:
-    return F.lower(java_trim("sentiment")).isin(*SENTIMENTS)
-
-
 def tokenize(reviews: DataFrame) -> DataFrame:
     """One row per token: ``id, pos`` (1-based, after empty tokens are
     dropped) ``, token``."""
@@ -43,7 +39,11 @@ def clean_text(reviews: DataFrame, stopwords: Iterable[str]) -> DataFrame:
     """``id, clean``: surviving tokens joined by a space; reviews left with
     no token are dropped."""
     cleaned = F.array_join(without_stopwords(tokens("comment"), stopwords), " ")
-    return reviews.select("id", cleaned.alias("clean")).filter(F.length("clean") > 0)
+    # The emptiness test sits inside the generator: a plain filter on
+    # ``clean`` would be pushed below the projection, re-deriving the whole
+    # cleaned text (tokenize, filter, join) a second time in the filter.
+    kept = F.filter(F.array(cleaned), lambda c: F.length(c) > 0)
+    return reviews.select("id", F.explode(kept).alias("clean"))
 
 
 def _word_counts(reviews: DataFrame, stopwords: Iterable[str], group: list[str], min_length: int) -> DataFrame:

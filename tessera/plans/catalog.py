@@ -489,11 +489,12 @@ def q_results_csv_roundtrip(spark, sf):
 
 def _staged_events(spark, sf):
     """The events table written as time-ordered chunks of files (the
-    stream's input, arriving in event order), read two files per trigger."""
+    stream's input, arriving in event order): two micro-batches of four
+    files each."""
     path = scratch_path(spark, "events-stream-input")
     events = B.table(spark, sf, "events")
-    SD.stage_in_order(events, path, "event_id", chunks=4, files_per_chunk=2)
-    return SD.read_stream(spark, path, events.schema, files_per_trigger=2)
+    SD.stage_in_order(events, path, "event_id", chunks=2, files_per_chunk=4)
+    return SD.read_stream(spark, path, events.schema, files_per_trigger=4)
 
 
 @register("stream_person_counts", _PERSON_COUNT_SQL)
