@@ -52,9 +52,12 @@ def person_boxes(det: DataFrame, min_confidence: float = MIN_CONFIDENCE,
                  person_class: int = PERSON_CLASS) -> DataFrame:
     """One row per kept box: ``frame_id, box_index`` (position in the model
     output) ``, x1, y1, x2, y2, confidence``."""
+    # The outer form keeps Spark from inferring a "non-empty array" filter
+    # that it would push into the producer of raw_boxes and evaluate twice;
+    # the null row of an empty frame fails the person rule anyway.
     return (
-        det.select("frame_id", F.posexplode("raw_boxes").alias("box_index", "b"))
-        .filter(_is_person(F.col("b"), min_confidence, person_class))
+        det.select("frame_id", F.posexplode_outer("raw_boxes").alias("box_index", "b"))
+        .filter(F.col("b").isNotNull() & _is_person(F.col("b"), min_confidence, person_class))
         .select("frame_id", "box_index", *[F.col(f"b.{f}").alias(f) for f in BOX_FIELDS])
     )
 
