@@ -1,0 +1,75 @@
+"""Readers for the reference's input files, end to end into operators."""
+
+from tessera.operators import commerce as C
+from tessera.operators import ratings as R
+from tessera.operators import text as T
+from tessera.sources.datasets import (
+    REVIEW_MIN_FIELDS,
+    read_ecommerce,
+    read_movies,
+    read_occupations,
+    read_ratings,
+    read_reviews,
+    read_users,
+)
+from tests.conftest import rows
+
+
+def test_rating_files_end_to_end(spark, tmp_path):
+    (tmp_path / "movies.txt").write_text(
+        "movieId,title,genres\n1,Toy Story (1995),Animation|Comedy\n2,Heat (1995),Action|Crime\n"
+        "3,Good, Bad and Ugly (1966),Western\n")
+    (tmp_path / "ratings_1.txt").write_text("1,1,4.0,1609459199\n2,1,5.0,1609459200\n")
+    (tmp_path / "ratings_2.txt").write_text("1,2,3.0,1609459300\n3,3,2.5,1609459300\n")
+    (tmp_path / "users.txt").write_text("1,M,25,1\n2,F,40,2\n3,m,17,7\n")
+    (tmp_path / "occupation.txt").write_text("1,Student\n2,Artist\n")
+    movies = read_movies(spark, str(tmp_path / "movies.txt"), header="movieId,title,genres")
+    assert rows(movies, "movie_id", "title")[2] == ("3", "Good")
+    ratings = read_ratings(spark, [str(tmp_path / "ratings_1.txt"), str(tmp_path / "ratings_2.txt")])
+    users = read_users(spark, str(tmp_path / "users.txt"))
+    occ = read_occupations(spark, str(tmp_path / "occupation.txt"))
+    assert rows(R.movie_avg_rating(ratings, movies)) == [
+        ("1", "Toy Story (1995)", 4.5, 2), ("2", "Heat (1995)", 3.0, 1), ("3", "Good", 2.5, 1)]
+    assert rows(R.yearly_stats(ratings)) == [(2020, 4.0, 1), (2021, 3.5, 3)]
+    assert rows(R.gender_avg_pivot(ratings, users, movies), "movie_id", "male_avg", "female_avg") == [
+        ("1", 4.0, 5.0), ("2", 3.0, None), ("3", 2.5, None)]
+    assert rows(R.occupation_stats(ratings, users, occ), "occupation", "n_ratings") == [
+        ("Artist", 1), ("Student", 2), ("Unknown (7)", 1)]
+
+
+def test_review_file_arity_per_job(spark, tmp_path):
+    (tmp_path / "reviews.csv").write_text(
+        "1;Phòng sạch, nhân viên tốt;CLEANLINESS;HOTEL;positive\n"
+        "2;Ăn sáng dở;FOOD&DRINKS;FOOD;negative\n"
+        "3;Chỉ có aspect;SERVICE\n"
+        "4;Ba trường;SERVICE;HOTEL;;\n", encoding="utf-8")
+    path = str(tmp_path / "reviews.csv")
+    stats = read_reviews(spark, path, REVIEW_MIN_FIELDS["stats"])
+    counts = dict(((k, v), n) for k, v, n in rows(T.aspect_category_counts(stats)))
+    # line 3 has 3 fields (skipped); line 4 has 4 Java fields (counted)
+    assert counts == {("ASPECT", "CLEANLINESS"): 1, ("ASPECT", "FOOD&DRINKS"): 1, ("ASPECT", "SERVICE"): 1,
+                      ("CATEGORY", "HOTEL"): 2, ("CATEGORY", "FOOD"): 1}
+    senti = read_reviews(spark, path, REVIEW_MIN_FIELDS["sentiment"])
+    assert rows(T.aspect_sentiment(senti)) == [("CLEANLINESS", 1, 0), ("FOOD&DRINKS", 0, 1)]
+    clean = read_reviews(spark, path, REVIEW_MIN_FIELDS["clean"])
+    assert dict(rows(T.clean_text(clean, ["có"])))["3"] == "chỉ aspect"
+
+
+def test_ecommerce_csvs(spark, tmp_path):
+    (tmp_path / "Customer_List.csv").write_text(
+        "Customer_Trx_ID;Subscriber_ID;Customer_Country\nc1;s1;VN\nc2;;VN\nc3;s1;FR\n")
+    (tmp_path / "Orders.csv").write_text(
+        "Order_ID;Customer_Trx_ID;Order_Purchase_Timestamp;Order_Delivered_Carrier_Date\n"
+        "o1;c1;2024-03-01 10:00:00;2024-03-03 09:00:00\no2;c3;2024-04-02 11:00:00;\n")
+    (tmp_path / "Order_Items.csv").write_text(
+        "Order_ID;Order_Item_ID;Product_ID;Seller_ID;Price;Freight_Value;Shipping_Limit_Date\n"
+        "o1;1;p1;s9;10.5;1.25;2024-03-02 00:00:00\no2;1;p2;s8;3.0;0.5;2024-04-03 00:00:00\n")
+    (tmp_path / "Order_Reviews.csv").write_text("Review_ID;Order_ID;Review_Score\nr1;o1;5\nr2;o2;\n")
+    (tmp_path / "Products.csv").write_text("Product_ID;Product_Category_Name\np1;toys\np2;books\n")
+    t = read_ecommerce(spark, str(tmp_path))
+    assert dict(rows(C.overall_stats(t["orders"], t["customers"], t["items"]))) == {
+        "total_orders": 2, "total_customers": 2, "total_sellers": 2}
+    assert rows(C.revenue_by_category(t["items"], t["orders"], t["products"], 2024)) == [
+        ("books", 3.5), ("toys", 11.75)]
+    assert rows(C.delivery_diff_days(t["items"], t["orders"]), "order_id", "delivery_diff_days") == [("o1", 1)]
+    assert C.review_score_mean(t["reviews"]).first()[0] == 5.0
