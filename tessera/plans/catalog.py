@@ -160,7 +160,7 @@ def q_occupation_stats(spark, sf):
 
 
 @register("yearly_stats", RAT + """
-SELECT year(ts) AS year, avg(rating) AS avg_rating, count(*) AS n_ratings
+SELECT CAST(year(ts) AS INTEGER) AS year, avg(rating) AS avg_rating, count(*) AS n_ratings
 FROM b_ratings GROUP BY year(ts)""")
 def q_yearly_stats(spark, sf):
     return R.yearly_stats(B.ratings(spark, sf))
@@ -317,8 +317,8 @@ def q_orders_by_country(spark, sf):
 
 
 @register("orders_by_month", COM + """
-SELECT year(order_purchase_timestamp) AS year, month(order_purchase_timestamp) AS month,
-       count(order_id) AS total_orders
+SELECT CAST(year(order_purchase_timestamp) AS INTEGER) AS year,
+       CAST(month(order_purchase_timestamp) AS INTEGER) AS month, count(order_id) AS total_orders
 FROM b_orders GROUP BY 1, 2""")
 def q_orders_by_month(spark, sf):
     return C.orders_by_month(B.orders(spark, sf))

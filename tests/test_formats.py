@@ -55,3 +55,24 @@ def test_rounding_and_truncation(spark):
     r = df.select(round_half_even("b", 2), truncate_int("x"), json_field("j", "$.k"),
                   json_field("j", "$.missing", F.lit("0"))).first()
     assert tuple(r) == (0.12, 61, "5", "0")
+
+
+def test_fixed2_half_up_like_java(spark):
+    # H5: Java's %.2f rounds the decimal text half-up (1.005 -> 1.01,
+    # 2.675 -> 2.68); an empty class prints N/A.
+    from tessera.functions.scalars import fixed2
+
+    df = spark.createDataFrame([(4.125,), (2.675,), (1.005,), (None,)], "v double")
+    assert [r[0] for r in df.select(fixed2("v")).collect()] == ["4.13", "2.68", "1.01", "N/A"]
+
+
+def test_timestamp_ntz_epoch_and_year(spark):
+    # Parquet timestamps load as timestamp_ntz; epoch maths go through
+    # to_timestamp with the session zone pinned to UTC.
+    import datetime as dt
+
+    from tessera.functions.scalars import calendar_year, epoch_seconds
+
+    df = spark.createDataFrame([(dt.datetime(2021, 1, 1, 0, 0, 0),)], "ts timestamp_ntz")
+    r = df.select(epoch_seconds("ts"), calendar_year("ts", df.schema["ts"].dataType)).first()
+    assert tuple(r) == (1609459200.0, 2021)
