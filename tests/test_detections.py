@@ -188,3 +188,26 @@ def test_report_lines_hand_written(spark):
     assert got[0] == "A" * 35 + "..." + "  " + " | Nam (M)    | 4.13"
     assert got[1] == "Short" + " " * 35 + " | Nu (F)     | 2.68"
     assert got[2] == "Mid" + " " * 37 + " | F          | N/A"
+
+
+def test_hot_tick_is_spread_over_many_tasks(spark):
+    # A tick holding 40% of all rows: the numbering is still exact, and the
+    # hot tick's rows are cut over several range partitions (tasks) instead
+    # of sitting in one window partition.
+    t0 = dt.datetime(2024, 1, 1)
+    hot = [(i, t0 + dt.timedelta(seconds=1 + (i % 900) / 1000)) for i in range(4000)]
+    cold = [(4000 + i, t0 + dt.timedelta(seconds=10 * (1 + i // 7))) for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, "frame_id long, ts timestamp")
+    got = DET.flush_batches(df, F.lit(t0), interval_seconds=10, max_rows=5)
+    hot_rows = got.filter("tick = 0")
+    assert hot_rows.count() == 4000
+    # ranks 1..4000 inside the hot tick, in (ts, frame_id) order
+    w = Window.partitionBy("tick").orderBy("ts", "frame_id")
+    ref = (df.withColumn("tick", F.floor((F.unix_seconds(F.to_timestamp("ts")) - 1704067200) / 10).cast("long"))
+             .withColumn("rn", F.row_number().over(w)))
+    expect = ref.select("frame_id", "tick", F.floor((F.col("rn") - 1) / 5).cast("long").alias("batch"),
+                        ((F.col("rn") - 1) % 5).cast("int").alias("row_in_batch"))
+    assert rows(got) == rows(expect)
+    spread = (df.filter(F.col("frame_id") < 4000).repartitionByRange(16, "ts", "frame_id")
+                .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread > 4
