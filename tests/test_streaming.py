@@ -101,3 +101,17 @@ def test_stateful_flush_equals_closed_form_across_restart(spark, tmp_path):
     expect = DET.flush_batches(DET.detection_records(B.detections_from_events(ev)), t0_ts,
                                interval_seconds=3600, max_rows=5)
     assert rows(got) == rows(expect)
+
+
+def test_two_outputs_from_one_stream(spark, tmp_path):
+    # K5: each detection goes to the reply output and to the results store.
+    ev = _events(spark)
+    src = str(tmp_path / "in")
+    SD.stage_in_order(ev, src, "event_id", chunks=2, files_per_chunk=1)
+    out, ckpt, replies = str(tmp_path / "out"), str(tmp_path / "ckpt"), str(tmp_path / "replies")
+    stream = B.detections_from_events(SD.read_stream(spark, src, ev.schema))
+    SD.run_to_end(SD.stream_results_sink(stream, out, ckpt, "+07:00", replies=replies, trigger=None))
+    stored = read_results_csv(spark, out, parse_boxes=False)
+    sent = spark.read.json(replies)
+    assert stored.count() == sent.count() == ev.count()
+    assert rows(stored, "frame_id", "person_count") == rows(sent, "frame_id", "person_count")
