@@ -138,7 +138,7 @@ def stream_score_frames(
 
 
 FLUSH_OUTPUT = "frame_id long, tick long, batch long, row_in_batch int"
-FLUSH_STATE = "seen long"
+FLUSH_STATE = "ticks array<long>, seen array<long>"
 
 
 def stream_flush_batches(
@@ -150,24 +150,27 @@ def stream_flush_batches(
     max_rows: int = FLUSH_ROWS,
     source_cols: Sequence[str] = (),
     watermark: str = "1 hour",
+    ticks_per_key: int = 64,
     trigger: str | None = None,
 ) -> StreamingQuery:
     """The "5 rows or 10 s" flush as a stateful stream.
 
-    Rows are keyed by (source, tick); the state of a key is just the number
-    of rows it has seen, so a row's position in its tick is ``seen`` plus its
-    rank inside the micro-batch, and its write batch is ``(rn - 1) //
-    max_rows`` -- the same numbers as the batch closed form
+    A row's position in its tick is the number of rows the tick has already
+    seen plus its rank inside the micro-batch, and its write batch is
+    ``(rn - 1) // max_rows`` -- the same numbers as the batch closed form
     :func:`tessera.operators.detections.flush_batches` when rows arrive in
-    time order. A key's state is dropped (event-time timeout) once the
-    watermark passes the end of its tick, so state stays one small row per
-    open tick. ``t0_micros`` is the timer start (epoch microseconds).
+    time order. State is keyed by (source, span of ``ticks_per_key`` ticks)
+    and holds one count per tick of the span, so one Python call serves a
+    whole span; a key's state is dropped (event-time timeout) once the
+    watermark passes the end of its span. ``t0_micros`` is the timer start
+    (epoch microseconds).
     """
     step = interval_seconds * 1_000_000
     micros = F.unix_micros(F.to_timestamp("ts")) - F.lit(t0_micros)
+    tick = F.floor(micros / F.lit(step)).cast("long")
     keyed = stream.select(
-        *source_cols, "frame_id", F.to_timestamp("ts").alias("ts"),
-        F.floor(micros / F.lit(step)).cast("long").alias("tick"),
+        *source_cols, "frame_id", F.to_timestamp("ts").alias("ts"), tick.alias("tick"),
+        F.floor(tick / F.lit(ticks_per_key)).cast("long").alias("span"),
     ).withWatermark("ts", watermark)
 
     def assign(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -175,22 +178,25 @@ def stream_flush_batches(
             state.remove()
             return
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "frame_id"], kind="stable")
-        seen = state.get[0] if state.exists else 0
-        rn = seen + np.arange(1, len(pdf) + 1, dtype=np.int64)
-        state.update((int(seen + len(pdf)),))
-        tick = int(key[-1])
-        tick_end_ms = (t0_micros + (tick + 1) * step) // 1000
-        state.setTimeoutTimestamp(max(tick_end_ms, state.getCurrentWatermarkMs() + 1))
+        seen = dict(zip(*state.get)) if state.exists else {}
+        before = pdf["tick"].map(seen).fillna(0).to_numpy(dtype=np.int64)
+        rn = before + pdf.groupby("tick", sort=False).cumcount().to_numpy(dtype=np.int64) + 1
+        for t, n in pdf["tick"].value_counts().items():
+            seen[int(t)] = seen.get(int(t), 0) + int(n)
+        ticks = sorted(seen)
+        state.update((ticks, [seen[t] for t in ticks]))
+        span_end_ms = (t0_micros + (int(key[-1]) + 1) * ticks_per_key * step) // 1000
+        state.setTimeoutTimestamp(max(span_end_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(
             {
                 "frame_id": pdf["frame_id"].to_numpy(),
-                "tick": np.full(len(pdf), tick, dtype=np.int64),
+                "tick": pdf["tick"].to_numpy(dtype=np.int64),
                 "batch": (rn - 1) // max_rows,
                 "row_in_batch": ((rn - 1) % max_rows).astype(np.int32),
             }
         )
 
-    assigned = keyed.groupBy(*source_cols, "tick").applyInPandasWithState(
+    assigned = keyed.groupBy(*source_cols, "span").applyInPandasWithState(
         assign, FLUSH_OUTPUT, FLUSH_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     writer = (
