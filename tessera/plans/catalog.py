@@ -179,6 +179,8 @@ SELECT user_id, movie_id, rating, ts FROM b_ratings WHERE user_id % 2 = 0
 UNION ALL
 SELECT user_id, movie_id, rating, ts FROM b_ratings WHERE user_id % 2 = 1""")
 def q_union_ratings(spark, sf):
+    # The two "rating files" of the reference: the whole rating table cut
+    # in two by user parity and put back together; every row is kept.
     r = B.ratings(spark, sf)
     return R.union_ratings(r.filter(F.col("user_id") % 2 == 0), r.filter(F.col("user_id") % 2 == 1))
 
