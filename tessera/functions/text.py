@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 # so the pattern means exactly the same here.
 TOKEN_SEPARATORS = r"[\s\p{Punct}]+"
 
+# Largest stop-word list shipped inside the plan as literals.
+MAX_STOPWORDS = 10_000
+
 # Java String.trim() strips every char <= U+0020, not only spaces.
 _JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
@@ -85,6 +88,11 @@ def without_stopwords(tok: Column, stopwords: Iterable[str], min_length: int = 1
     most), so the check runs inside the task with no join and no shuffle.
     """
     stop = normalise_stopwords(stopwords)
+    if len(stop) > MAX_STOPWORDS:
+        raise ValueError(
+            f"{len(stop)} stop words: a literal list this long bloats every task's plan; "
+            "drop them with a left_anti join against a stop-word DataFrame instead"
+        )
 
     def keep(t: Column) -> Column:
         # isin over literals becomes a hash-set probe (InSet) past a few
