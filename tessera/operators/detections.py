@@ -172,16 +172,18 @@ def latency_stats(
         F.min("process_ms").alias("min_ms"),
         F.max("process_ms").alias("max_ms"),
     )
-    ranked = row_number_within(valued, group_cols, ["process_ms", "frame_id"])
+    ranked = row_number_within(valued, group_cols, ["process_ms", "frame_id"], size_output="_n")
     names = [f"p{int(round(p * 100)):02d}_ms" for p in percentiles]
-    targets = basic.select(
-        *group_cols,
-        *[F.greatest(F.lit(1), F.ceil(F.col("n_frames") * F.lit(p))).cast("long").alias(f"_r{i}")
-          for i, p in enumerate(percentiles)],
-    )
-    hits = ranked.join(targets, group_cols)
-    picked = hits.groupBy(*group_cols).agg(
-        *[F.max(F.when(F.col("rn") == F.col(f"_r{i}"), F.col("process_ms"))).alias(n) for i, n in enumerate(names)]
+    targets = [F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(p))).cast("long") for p in percentiles]
+    # Only the rows at a target rank survive the filter: at most one per
+    # percentile and group reach the final aggregate and the join.
+    is_target = targets[0] == F.col("rn")
+    for t in targets[1:]:
+        is_target = is_target | (t == F.col("rn"))
+    picked = (
+        ranked.filter(is_target)
+        .groupBy(*group_cols)
+        .agg(*[F.max(F.when(F.col("rn") == t, F.col("process_ms"))).alias(n) for t, n in zip(targets, names)])
     )
     return basic.join(picked, group_cols)
 

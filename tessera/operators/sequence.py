@@ -37,9 +37,11 @@ def row_number_within(
     order_cols: Sequence[str | Column],
     output: str = "rn",
     num_partitions: int | None = None,
+    size_output: str | None = None,
 ) -> DataFrame:
     """Add ``output``: the 1-based position of each row inside its group
-    when the group is ordered by ``order_cols``.
+    when the group is ordered by ``order_cols`` (and, with ``size_output``,
+    the number of rows of the group).
 
     ``order_cols`` must be a total order inside each group (end it with a
     unique column); then the numbering is deterministic and a re-run task
@@ -65,14 +67,19 @@ def row_number_within(
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")
     )
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group_cols)
     offsets = stats.select(
         "_pid", *[F.col(c).alias(f"_g_{c}") for c in group_cols], "_first",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+        F.sum("_cnt").over(whole).alias("_size"),
     )
     cond = F.col("_pid") == F.col("_o_pid")
     for c in group_cols:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
     joined = tagged.join(offsets.withColumnRenamed("_pid", "_o_pid"), cond)
-    return joined.withColumn(output, F.col("_off") + F.col("_mid") - F.col("_first") + 1).drop(
-        "_pid", "_o_pid", "_mid", "_first", "_off", *[f"_g_{c}" for c in group_cols]
+    out = joined.withColumn(output, F.col("_off") + F.col("_mid") - F.col("_first") + 1)
+    if size_output:
+        out = out.withColumnRenamed("_size", size_output)
+    return out.drop(
+        "_pid", "_o_pid", "_mid", "_first", "_off", "_size", *[f"_g_{c}" for c in group_cols]
     )
