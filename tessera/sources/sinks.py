@@ -60,31 +60,53 @@ def read_results_csv(spark: SparkSession, path: str, parse_boxes: bool = True) -
     return df
 
 
-def report_lines(
+def report_cells(
     df: DataFrame,
-    text_cols: Sequence[tuple[str, int]],
-    value_col: str,
+    cells: Sequence[tuple[str, str, int | None]],
     order: Sequence[Column],
     limit: int | None = None,
     title_col: str | None = None,
 ) -> DataFrame:
-    """Console-table rows ``%-Ns | %-Ms | %.2f`` as one ``line`` column
-    (a null value prints as ``N/A``).
-
-    ``text_cols`` are (column, width) pairs padded on the right without
-    truncation; ``title_col`` (if given) is first cut to 35 chars + '...'
-    when longer than 38. Rows are ordered by ``order`` (make it total) and
-    cut to ``limit`` -- the report's row count is the feature.
+    """Console-table rows as one ``line`` column, cells joined by `` | ``.
+
+    Each cell is ``(column, kind, width)``: kind ``"s"`` is ``%-Ns`` (pad
+    right, never truncate), ``"f2"`` is ``%.2f`` (``%-N.2f`` with a width),
+    ``"d"`` is ``%d`` (``%-Nd``). A null number prints ``N/A``. ``title_col``
+    is first cut to 35 chars + '...' when longer than 38. Rows are ordered
+    by ``order`` (make it total) and cut to ``limit`` -- the report's row
+    count is the feature.
     """
-    cells = []
-    for name, width in text_cols:
-        c = F.col(name).cast("string")
-        if title_col == name:
-            c = ellipsis(c)
-        cells.append(pad_right(F.coalesce(c, F.lit("")), width))
-    value = fixed2(value_col)
-    line = F.concat_ws(" | ", *cells, value)
+    out_cells = []
+    for name, kind, width in cells:
+        c = F.col(name)
+        if kind == "s":
+            text = c.cast("string")
+            if title_col == name:
+                text = ellipsis(text)
+            text = F.coalesce(text, F.lit(""))
+        elif kind == "f2":
+            text = fixed2(c)
+        elif kind == "d":
+            text = F.when(c.isNull(), F.lit("N/A")).otherwise(c.cast("long").cast("string"))
+        else:
+            raise ValueError(f"unknown cell kind {kind!r}")
+        out_cells.append(pad_right(text, width) if width else text)
+    line = F.concat_ws(" | ", *out_cells)
     out = df.orderBy(*order)
     if limit is not None:
         out = out.limit(limit)
     return out.select(line.alias("line"))
+
+
+def report_lines(
+    df: DataFrame,
+    text_cols: Sequence[tuple[str, int]],
+    value_col: str,
+    order: Sequence[Column],
+    limit: int | None = None,
+    title_col: str | None = None,
+) -> DataFrame:
+    """``%-Ns | %-Ms | %.2f`` rows (the gender and age reports): padded text
+    columns followed by one ``%.2f`` value. See :func:`report_cells`."""
+    cells = [(name, "s", width) for name, width in text_cols] + [(value_col, "f2", None)]
+    return report_cells(df, cells, order, limit=limit, title_col=title_col)

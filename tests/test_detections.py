@@ -211,3 +211,15 @@ def test_hot_tick_is_spread_over_many_tasks(spark):
     spread = (df.filter(F.col("frame_id") < 4000).repartitionByRange(16, "ts", "frame_id")
                 .select(F.spark_partition_id().alias("p")).distinct().count())
     assert spread > 4
+
+
+def test_report_cells_occupation_layout(spark):
+    # "%-25s | %-12.2f | %d": name, padded mean, count.
+    from tessera.sources.sinks import report_cells
+
+    df = spark.createDataFrame([("Student", 3.5, 2), ("Unknown (7)", 2.125, 1)],
+                               "occupation string, avg_rating double, n_ratings long")
+    got = [r[0] for r in report_cells(df, [("occupation", "s", 25), ("avg_rating", "f2", 12), ("n_ratings", "d", None)],
+                                      [F.col("occupation")]).collect()]
+    assert got == ["Student" + " " * 18 + " | 3.50         | 2",
+                   "Unknown (7)" + " " * 14 + " | 2.13         | 1"]
