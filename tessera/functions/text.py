@@ -63,21 +63,27 @@ def split_multi_value(c: str | Column, sep: str = "|") -> Column:
 
 # After splitting on TOKEN_SEPARATORS a token can only start or end with a
 # char that Java's trim() strips but \s does not match: the control chars
-# below. Texts without any of them skip the per-token trim.
+# below. Removing every run of them that touches a separator or an end of
+# the text -- once, on the whole text -- leaves exactly the trimmed tokens
+# (runs inside a token stay, as trim() keeps them).
 _TRIM_ONLY = r"[\x00-\x08\x0E-\x1F]"
+_EDGE_RUNS = (
+    r"(?<=^|[\s\p{Punct}])" + _TRIM_ONLY + r"+"
+    + r"|" + _TRIM_ONLY + r"+(?=[\s\p{Punct}]|$)"
+)
 
 
 def tokens(c: str | Column) -> Column:
     """Lower-case, split on whitespace/punctuation, trim, drop empty.
 
     Order and repeats are kept; this is the tokenizer every text operator
-    shares. The per-token trim runs only for texts that hold a control
-    character (one regex test per text instead of one rewrite per token).
+    shares. Built only from codegen-able functions (no lambda), so it runs
+    inside whole-stage code generation.
     """
-    text = _col(c)
-    parts = F.split(F.lower(text), TOKEN_SEPARATORS)
-    trimmed = F.when(text.rlike(_TRIM_ONLY), F.transform(parts, java_trim)).otherwise(parts)
-    return F.filter(trimmed, lambda t: t != F.lit(""))
+    low = F.lower(_col(c))
+    # Texts without any such control char (nearly all) skip the rewrite.
+    text = F.when(low.rlike(_TRIM_ONLY), F.regexp_replace(low, _EDGE_RUNS, "")).otherwise(low)
+    return F.array_remove(F.split(text, TOKEN_SEPARATORS), "")
 
 
 def without_stopwords(tok: Column, stopwords: Iterable[str], min_length: int = 1) -> Column:
@@ -119,6 +125,18 @@ def normalise_stopwords(stopwords: Iterable[str]) -> list[str]:
     return sorted(out)
 
 
+def is_kept_word(word: str | Column, stopwords: Iterable[str], min_length: int = 1) -> Column:
+    """Row-level form of :func:`without_stopwords` for exploded tokens."""
+    w = _col(word)
+    stop = normalise_stopwords(stopwords)
+    if len(stop) > MAX_STOPWORDS:
+        raise ValueError(f"{len(stop)} stop words: use a left_anti join against a stop-word DataFrame")
+    ok = ~w.isin(*stop) if stop else F.lit(True)
+    if min_length > 1:
+        ok = ok & (F.length(w) >= F.lit(min_length))
+    return ok
+
+
 def clean_text(c: str | Column, stopwords: Iterable[str]) -> Column:
     """Surviving tokens joined by one space (empty string when none)."""
     return F.array_join(without_stopwords(tokens(c), stopwords), " ")

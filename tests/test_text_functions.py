@@ -58,3 +58,31 @@ def test_stopwords_normalised_and_phrases_never_match(spark):
 def test_clean_text_keeps_order_and_repeats(spark):
     assert one(spark, clean_text("v", ["a"]), "B a b. A c b") == "b b c b"
     assert one(spark, clean_text("v", ["a"]), "a A, a!") == ""
+
+
+def _java_tokens(text):
+    """Reference model: lower, split on ASCII whitespace/punctuation runs,
+    trim chars <= U+0020 from each piece, drop empty pieces."""
+    import re
+    import string
+
+    seps = re.escape(" \t\n\x0b\f\r" + string.punctuation)
+    pieces = re.split(f"[{seps}]+", text.lower())
+    out = []
+    for p in pieces:
+        p = p.strip("".join(chr(i) for i in range(0x21)))
+        if p:
+            out.append(p)
+    return out
+
+
+def test_tokens_match_java_model_on_random_texts(spark):
+    import random
+
+    random.seed(11)
+    alphabet = ["a", "B", "é", "1", " ", "\t", "\n", "\x0b", "\x01", "\x08", "\x0e", "\x1f", ".", "_", ",", "“"]
+    texts = ["".join(random.choice(alphabet) for _ in range(random.randint(0, 12))) for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, v string")
+    got = {r["id"]: list(r["t"]) for r in df.select("id", tokens("v").alias("t")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == _java_tokens(t), repr(t)
