@@ -94,19 +94,33 @@ def occupations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- reviews ----
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Labels are two narrow columns; up to this many rows they are broadcast
+# (after a size check), so the review texts never move for the lookup.
+LABELS_BROADCAST_ROWS = 2_000_000
+
+
+def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True) -> DataFrame:
+    """Reviews from ``documents`` (+ sentiment from ``labels``).
+
+    ``labels`` has at most one row per ``doc_id``, so the left join never
+    changes the review rows; queries that do not read ``sentiment`` pass
+    ``with_sentiment=False`` and skip the join (and any movement of the
+    texts it would cause at scale).
+    """
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
-    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    sentiment = (
-        F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative").otherwise("neutral")
-    )
-    return d.join(lab, "doc_id", "left").select(
+    cols = [
         F.col("doc_id").alias("id"),
         F.col("text").alias("comment"),
         F.col("source").alias("aspect"),
         F.col("lang").alias("category"),
-        sentiment.alias("sentiment"),
+    ]
+    if not with_sentiment:
+        return d.select(*cols)
+    lab = checked_broadcast(table(spark, sf_dir, "labels").select("doc_id", "quality"), LABELS_BROADCAST_ROWS)
+    sentiment = (
+        F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative").otherwise("neutral")
     )
+    return d.join(lab, "doc_id", "left").select(*cols, sentiment.alias("sentiment"))
 
 
 # --------------------------------------------------------------- commerce ----

@@ -199,7 +199,7 @@ FROM (SELECT id, list_filter(
         lambda t: t <> '') AS arr
       FROM b_reviews) s""")
 def q_tokenize(spark, sf):
-    return T.tokenize(B.reviews(spark, sf))
+    return T.tokenize(B.reviews(spark, sf, with_sentiment=False))
 
 
 @register("clean_text", O.with_(O.B_REVIEWS) + f"""
@@ -213,7 +213,7 @@ WHERE length(array_to_string(list_filter(
                         lambda t: regexp_replace(t, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')),
          lambda t: t <> '' AND t NOT IN {O.STOPWORDS_SQL}), ' ')) > 0""")
 def q_clean_text(spark, sf):
-    return T.clean_text(B.reviews(spark, sf), _STOP)
+    return T.clean_text(B.reviews(spark, sf, with_sentiment=False), _STOP)
 
 
 @register("word_frequency", REV + f"""
@@ -221,7 +221,7 @@ SELECT token AS word, count(*) AS n FROM b_tokens
 WHERE token NOT IN {O.STOPWORDS_SQL}
 GROUP BY token HAVING count(*) > 500""")
 def q_word_frequency(spark, sf):
-    return T.word_frequency(B.reviews(spark, sf), _STOP)
+    return T.word_frequency(B.reviews(spark, sf, with_sentiment=False), _STOP)
 
 
 _JTRIM = "regexp_replace({c}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
@@ -234,7 +234,7 @@ UNION ALL
 SELECT 'CATEGORY' AS kind, v AS value, count(*) AS n
 FROM (SELECT {_JTRIM.format(c='category')} AS v FROM b_reviews) c WHERE length(v) > 0 GROUP BY v""")
 def q_aspect_category_counts(spark, sf):
-    return T.aspect_category_counts(B.reviews(spark, sf))
+    return T.aspect_category_counts(B.reviews(spark, sf, with_sentiment=False))
 
 
 _ASPECT_SENT = f"""
@@ -286,7 +286,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, word A
 SELECT category, string_agg(word || '(' || CAST(n AS VARCHAR) || ')', ' ' ORDER BY rn) AS top_words
 FROM r WHERE rn <= 5 GROUP BY category""")
 def q_category_top_words(spark, sf):
-    return T.category_top_words(B.reviews(spark, sf), _STOP)
+    return T.category_top_words(B.reviews(spark, sf, with_sentiment=False), _STOP)
 
 
 # ============================================================= commerce =====
