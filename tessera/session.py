@@ -67,15 +67,12 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers (what
-    ``--py-files`` does at submit time): the one Python path,
-    ``score_frames``, runs library code there. Done once per application,
-    and only for a local master, where the driver's temporary folder is on
-    the only machine. On a cluster the package is deployed with
-    ``spark-submit --py-files`` (or installed on the workers) instead.
+    """Make this package importable in the Python workers of any cluster:
+    the driver serves a zip of it to every executor, as ``--py-files`` does
+    at submit time. Done once per application.
     """
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED or not sc.master.startswith("local"):
+    if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
