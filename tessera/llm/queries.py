@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, langid, mixing, packing, simhash
+from tessera.llm import chat, exact_dedup, langid, mixing, packing, sharding, simhash, topk_search, url_rules, warc
 
 #: Shipped with the Python environment of every worker, like the tokenizer library.
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -28,10 +28,51 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_branch_and_bound_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk_search.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk_search.top_k(vectors.filter(topk_search.is_query(F.col("vec_id"))), vectors)
+
+
+def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The rules of the url filter: action, host, path.
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op4_rarest_token_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "action string, host string, path string")
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+def op5_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    sharded = sharding.shard_rows(docs).withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+    return sharded.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(table(spark, sf_dir, "documents")).withColumn("rate", F.round("rate", 9))
 
 
+def op7_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rendered = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    return rendered.withColumn("mask", F.array_join(spans, ","))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -48,14 +89,45 @@ def op10_block_naming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_branch_and_bound_topk": op2_branch_and_bound_topk,
+    "op3_warc_dictionary": op3_warc_dictionary,
+    "op4_rarest_token_rules": op4_rarest_token_rules,
+    "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_poisson_mix": op6_poisson_mix,
+    "op7_perspective_rotation": op7_perspective_rotation,
     "op8_language_id": op8_language_id,
     "op9_simhash_anchors": op9_simhash_anchors,
     "op10_block_naming_dedup": op10_block_naming_dedup,
 }
 
+_RULE_ROWS = ", ".join(str(r) for r in RULES)
+
+#: The same results in DuckDB's SQL, where it can express them.
 ORACLE: dict[str, str] = {
+    "op2_branch_and_bound_topk": """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+    "op3_warc_dictionary": """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first FROM p)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN first <> page_id THEN first END AS refers_to FROM f
+    """,
+    "op4_rarest_token_rules": f"""
+    WITH r(action, host, path) AS (VALUES {_RULE_ROWS}),
+    u AS (SELECT page_id, coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), '') AS h,
+            coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path FROM pages),
+    l AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM u),
+    b AS (SELECT l.page_id, max({{'n': length(r.host || r.path), 'rule': r.host || r.path, 'action': r.action}}) AS best
+          FROM l JOIN r ON (l.host = r.host OR ends_with(l.host, '.' || r.host)) AND starts_with(l.path, r.path) GROUP BY l.page_id)
+    SELECT l.page_id, l.host, l.path, b.best.rule AS rule, coalesce(b.best.action, 'allow') AS verdict FROM l LEFT JOIN b USING (page_id)
+    """,
     "op6_poisson_mix": mixing.oracle(),
+    "op7_perspective_rotation": chat.oracle(),
     "op10_block_naming_dedup": r"""
     WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
     SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
