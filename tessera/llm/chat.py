@@ -100,9 +100,9 @@ def oracle(block_turns: int = TURNS) -> str:
             '{START}' || CASE WHEN role IS NOT DISTINCT FROM perspective THEN 'assistant' WHEN role = '{SYSTEM}' THEN '{SYSTEM}'
               ELSE 'user name=' || coalesce(role, '{UNKNOWN}') END || chr(10) AS head FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.c),
     w AS (SELECT *, head || text || '{END[:-1]}' || chr(10) AS whole FROM h),
-    o AS (SELECT *, coalesce(sum(length(whole)) OVER (PARTITION BY conv_id, perspective ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM w)
-    SELECT conv_id, perspective, block, block * {block_turns} AS first_turn, count(*)::INT AS n_turns, min(at)::BIGINT AS offset,
+    o AS (SELECT *, coalesce(sum(length(whole)) OVER (PARTITION BY conv_id, perspective ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM w)
+    SELECT conv_id, perspective, block, block * {block_turns} AS first_turn, count(*)::INT AS n_turns, min(pos)::BIGINT AS offset,
       string_agg(whole, '' ORDER BY place) AS text,
-      coalesce(string_agg((at + length(head))::BIGINT || '-' || (at + length(head) + length(text) + {len(END) - 1})::BIGINT, ',' ORDER BY place) FILTER (WHERE own), '') AS mask
+      coalesce(string_agg((pos + length(head))::BIGINT || '-' || (pos + length(head) + length(text) + {len(END) - 1})::BIGINT, ',' ORDER BY place) FILTER (WHERE own), '') AS mask
     FROM o GROUP BY conv_id, perspective, block
     """

@@ -24,6 +24,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    """All columns of ``df`` but some, whatever characters their names have."""
+    return [df["`" + c.replace("`", "``") + "`"] for c in df.columns if c.lower() not in without]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it
     back: the lineage ends here, and a lost executor costs no recomputation
@@ -69,7 +74,7 @@ def rank_in_groups(df: DataFrame, groups: list[str], bucket: str, order: list, o
     ranked = df.withColumn("__t_rn", F.row_number().over(Window.partitionBy(*names).orderBy(*order)))
     on = same((ranked[c], offsets[f"__t_k{i}"]) for i, c in enumerate(names))
     return ranked.join(offsets, on).select(
-        *[ranked[c] for c in df.columns], (F.col("__t_off") + F.col("__t_rn") - 1).alias(out)
+        *columns(ranked, ("__t_rn",)), (F.col("__t_off") + F.col("__t_rn") - 1).alias(out)
     )
 
 
@@ -96,7 +101,7 @@ def skew_lookup(rows: DataFrame, table: DataFrame, keys: list[str], n: str, valu
     out = a.join(cold, on, "left")
     if how == "inner":
         out = out.filter(found.isNotNull())
-    return out.select(*[a[c] for c in rows.columns], *[found[v].alias(v) for v in values])
+    return out.select(*columns(a, ("__t_hv", "__t_salt", *(f"__t_hk{i}" for i in range(len(keys))))), *[found[v].alias(v) for v in values])
 
 
 def keep_rows(docs: DataFrame, chosen: DataFrame, identity: dict[str, Column]) -> DataFrame:
@@ -106,4 +111,4 @@ def keep_rows(docs: DataFrame, chosen: DataFrame, identity: dict[str, Column]) -
     tagged = docs.withColumns({temp[k]: e for k, e in identity.items()})
     keys = chosen.select(*[F.col(k).alias(f"__t_ch_{k}") for k in identity]).distinct()
     on = same((tagged[temp[k]], keys[f"__t_ch_{k}"]) for k in identity)
-    return tagged.join(keys, on, "left_semi").dropDuplicates(list(temp.values())).select(*docs.columns)
+    return tagged.join(keys, on, "left_semi").dropDuplicates(list(temp.values())).drop(*temp.values())

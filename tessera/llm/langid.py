@@ -232,4 +232,4 @@ def keep_identified(docs: DataFrame, model: LanguageModel | None = None) -> Data
     """The rows whose language is told with confidence, with all their columns."""
     model = model or fit(docs)
     tagged = docs.withColumn("__t_language", prediction(model, docs))
-    return tagged.filter(~F.col("__t_language.rejected")).select(*docs.columns)
+    return tagged.filter(~F.col("__t_language.rejected")).drop("__t_language")

@@ -18,7 +18,7 @@ Defined cases: rows with a null source are a source of their own; without
 given weights a source weighs the power ``alpha`` of its rows, with them a
 source that is not named weighs 0 and its rows go; repeated rows (same doc_id
 and text) draw alike; a null text draws like an empty one; an empty table
-gives an empty result; other columns stay as they are.
+gives an empty result; other columns stay.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, skew_lookup
+from tessera.llm.common import columns, materialize, skew_lookup
 
 PART = 16.0
 LONGEST = 80  # P(X > 80) with mean 16 is below 1e-27
@@ -102,14 +102,16 @@ def poisson_mix(
     details: bool = True,
 ) -> DataFrame:
     """The mixed and shuffled rows: the columns of ``docs`` and, with
-    ``details``, copy (from 1), copies and rate."""
+    ``details``, copy (from 1), copies and rate, in the place of columns with
+    these names."""
     drawn = draw(docs, rates(docs, weights, size, alpha), seed)
     drawn = drawn.filter(F.col("__t_mix.copies") > 0)
     copies = drawn.withColumn("__t_copy", F.explode(F.expr("sequence(1, int(__t_mix.copies))")))
     copies = copies.withColumn("__t_key", hashed(seed + 1, F.col("__t_me"), F.col("__t_copy").cast("string")))
     mixed = copies.repartition("__t_key").sortWithinPartitions("__t_key")
     extra = [F.col("__t_copy").alias("copy"), F.col("__t_mix.copies").alias("copies"), F.col("__t_mix.rate").alias("rate")]
-    return mixed.select(*docs.columns, *(extra if details else []))
+    own = columns(mixed, ("__t_me", "__t_mix", "__t_copy", "__t_key", *(("copy", "copies", "rate") if details else ())))
+    return mixed.select(*own, *(extra if details else []))
 
 
 def oracle(alpha: float = ALPHA, seed: int = SEED) -> str:

@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ROW, freeze, materialize, rank_in_groups, shuffle_width, unit
+from tessera.llm.common import ROW, columns, freeze, materialize, rank_in_groups, shuffle_width, unit
 
 SHARDS = 16
 SEED = 5
@@ -133,10 +133,11 @@ def communication_matrix(sizes: DataFrame, quotas: list[int], parts: int, seed:
 
 
 def shard_rows(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, parts: int | None = None) -> DataFrame:
-    """``rows`` with shard (int, from 0) and slot (long, gapless from 0 in the shard)."""
+    """``rows`` with shard (int, from 0) and slot (long, gapless from 0 in the
+    shard), in the place of columns with these names."""
     spark = rows.sparkSession
     parts = parts or shuffle_width(spark)
-    frozen = freeze(rows, "rows-to-shard")
+    frozen = freeze(rows.drop("shard", "slot"), "rows-to-shard")
     placed = frozen.withColumn("__t_part", F.pmod(F.xxhash64(F.lit(seed), ROW), F.lit(parts)).cast("int"))
     sizes = materialize(placed.groupBy(F.col("__t_part").alias("part")).agg(F.count(F.lit(1)).alias("n")), "part-sizes")
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -151,7 +152,7 @@ def shard_rows(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, parts: i
     cut = cut.withColumn("shard", F.size(F.filter("__t_ends", lambda e: e <= F.col("__t_local"))).cast("int"))
     again = unit(seed + 2, F.col(ROW))
     sub = F.floor(again * (4 * parts)).cast("int")
-    sent = materialize(cut.select(*frozen.columns, "shard", again.alias("__t_again"), sub.alias("__t_sub")), "sharded")
+    sent = materialize(cut.select(*columns(cut, ("__t_part", "__t_local", "__t_p", "__t_ends", "shard")), "shard", again.alias("__t_again"), sub.alias("__t_sub")), "sharded")
     out = rank_in_groups(sent, ["shard"], "__t_sub", [F.col("__t_again"), F.col(ROW)], "slot")
     return out.drop(ROW, "__t_again", "__t_sub")
 

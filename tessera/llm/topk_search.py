@@ -78,7 +78,7 @@ def blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
 
     dealt = vectors.select(F.pmod(F.xxhash64("vec_id"), F.lit(n)).alias("block"), "vec_id", "v")
     dealt = dealt.repartition("block").sortWithinPartitions("block", "vec_id")
-    packed = dealt.mapInArrow(run, "block long, ids binary, width int, data binary")
+    packed = dealt.mapInArrow(run, "block long, ids binary, width long, data binary")
     return materialize(packed.withColumn("block", F.monotonically_increasing_id()), f"{name}-blocks")
 
 

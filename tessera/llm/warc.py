@@ -163,7 +163,7 @@ def write_archives(records: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES
 
         def close() -> pa.RecordBatch:
             name = f"{uuid.uuid4().hex}.warc.zst"
-            with store.open_output_stream(f"{root}/{name}") as out:
+            with store.open_output_stream(f"{root}/{name}", compression=None) as out:
                 write_archive(out, held)
             return pa.RecordBatch.from_pydict({"file": [name], "records": [len(held)], "bytes": [size]})
 
