@@ -7,7 +7,7 @@ A detection record is one row per frame::
 
 ``raw_boxes`` is what a model returned for the frame before the person /
 confidence rule; :func:`person_boxes` applies it. Everything here is a
-built-in expression, an aggregate or the distributed row numbering of
+built-in expression, an aggregate or the distributed ranking of
 :mod:`tessera.operators.sequence`; model scoring (the only Python in the
 path) is in :func:`score_frames`.
 """
@@ -15,15 +15,25 @@ path) is in :func:`score_frames`.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.scalars import BOX_FIELDS, BOXES_TYPE, boxes_json, epoch_seconds, local_datetime
-from tessera.operators.sequence import row_number_within
+from tessera.functions.scalars import (
+    BOX_FIELDS,
+    BOXES_TYPE,
+    boxes_json,
+    epoch_seconds,
+    local_datetime,
+    round_half_even,
+    truncate_int,
+)
+from tessera.operators.model_cache import model
+from tessera.operators.sequence import rank_in_groups, same
 from tessera.session import ship_package
 
 # ---- fixed values of the reference pipeline ---------------------------------
@@ -31,6 +41,8 @@ MIN_CONFIDENCE = 0.40     # detections below this confidence are dropped
 PERSON_CLASS = 0          # class index of "person"
 FLUSH_ROWS = 5            # a batch is written when it holds 5 rows ...
 FLUSH_SECONDS = 10        # ... or when the 10 s timer fires
+CONFIDENCE_DIGITS = 4     # confidences are written with 4 digits ...
+MS_DIGITS = 2             # ... and times with 2
 RESULT_COLUMNS = ["frame_id", "timestamp", "datetime_str", "person_count", "process_ms", "boxes_json"]
 # -----------------------------------------------------------------------------
 
@@ -62,18 +74,24 @@ def person_boxes(det: DataFrame, min_confidence: float = MIN_CONFIDENCE,
     )
 
 
+def _written(b: Column) -> Column:
+    """A box as it is written: whole coordinates, a rounded confidence."""
+    corners = [truncate_int(b[f]).alias(f) for f in BOX_FIELDS[:4]]
+    return F.struct(*corners, round_half_even(b["confidence"], CONFIDENCE_DIGITS).alias("confidence"))
+
+
 def detection_records(det: DataFrame, min_confidence: float = MIN_CONFIDENCE,
                       person_class: int = PERSON_CLASS) -> DataFrame:
     """The record sent downstream per frame: ``frame_id, timestamp`` (epoch
     seconds) ``, person_count, boxes, process_ms`` -- the count is the number
-    of kept boxes."""
+    of kept boxes; confidences and times are rounded as the producer does."""
     kept = persons("raw_boxes", min_confidence, person_class)
     return det.select(
         "frame_id",
         epoch_seconds("ts").alias("timestamp"),
         F.size(kept).alias("person_count"),
-        kept.alias("boxes"),
-        "process_ms",
+        F.transform(kept, _written).alias("boxes"),
+        round_half_even("process_ms", MS_DIGITS).alias("process_ms"),
         "source",
         "ts",
     )
@@ -112,6 +130,9 @@ def frame_stats(records: DataFrame) -> DataFrame:
     )
 
 
+TICK_SLICES = 1024  # parts of a tick that are ranked side by side
+
+
 def flush_batches(
     records: DataFrame,
     t0: Column,
@@ -127,22 +148,24 @@ def flush_batches(
     the tick (ties by frame id), ``batch = floor((rn - 1) / max_rows)``. A row
     exactly on a tick belongs to the new tick. ``t0`` is the timer start
     (a timestamp column, e.g. a scalar subquery). The rank is computed
-    without sending a tick to one task (:func:`row_number_within`).
+    without sending a tick to one task: a tick is cut into ``TICK_SLICES``
+    slices of time (:func:`tessera.operators.sequence.rank_in_groups`).
 
     Output: ``frame_id, tick, batch, row_in_batch`` (+ ``source_cols``).
     """
     micros = F.unix_micros(F.to_timestamp("ts")) - F.unix_micros(F.to_timestamp(t0))
+    step = interval_seconds * 1_000_000
+    tick, within = F.floor(micros / F.lit(step)).cast("long"), F.pmod(micros, F.lit(step))
     ticked = records.select(
-        *source_cols, "frame_id", "ts",
-        F.floor(micros / F.lit(interval_seconds * 1_000_000)).cast("long").alias("tick"),
+        *source_cols, "frame_id", "ts", tick.alias("tick"), F.floor(within * TICK_SLICES / F.lit(step)).cast("int").alias("slice")
     )
-    ranked = row_number_within(ticked, [*source_cols, "tick"], ["ts", "frame_id"])
+    ranked = rank_in_groups(ticked, [*source_cols, "tick"], "slice", ["ts", "frame_id"], "rank")
     return ranked.select(
         *source_cols,
         "frame_id",
         "tick",
-        F.floor((F.col("rn") - 1) / max_rows).cast("long").alias("batch"),
-        ((F.col("rn") - 1) % max_rows).cast("int").alias("row_in_batch"),
+        F.floor(F.col("rank") / max_rows).cast("long").alias("batch"),
+        (F.col("rank") % max_rows).cast("int").alias("row_in_batch"),
     )
 
 
@@ -160,8 +183,9 @@ def latency_stats(
     so the mean is summed exactly as a decimal at that scale; it does not
     depend on the order in which partitions are added up.
 
-    Exact percentiles come from the distributed row numbering plus a
-    per-group count, not from collecting a group's values in one task.
+    Exact percentiles come from counts per distinct value, added up in value
+    order: rows are reduced by partial aggregation before anything moves, and
+    a group brings as many rows to a task as it has distinct values.
     """
     group_cols = list(group_cols)
     valued = records.filter(F.col("process_ms").isNotNull()).select(*group_cols, "frame_id", "process_ms")
@@ -172,26 +196,25 @@ def latency_stats(
         F.min("process_ms").alias("min_ms"),
         F.max("process_ms").alias("max_ms"),
     )
-    ranked = row_number_within(valued, group_cols, ["process_ms", "frame_id"], size_output="_n")
+    values = valued.groupBy(*group_cols, "process_ms").agg(F.count(F.lit(1)).alias("k"))
+    up_to = Window.partitionBy(*group_cols).orderBy("process_ms").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.withColumn("last", F.sum("k").over(up_to))
+    totals = basic.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "n_frames")
+    both = ranked.join(totals, same((ranked[c], totals[f"_g_{c}"]) for c in group_cols))
+    # The smallest value whose running count reaches the rank.
+    reached = lambda p: F.col("last") >= F.greatest(F.lit(1), F.ceil(F.col("n_frames") * F.lit(p)))
     names = [f"p{int(round(p * 100)):02d}_ms" for p in percentiles]
-    targets = [F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(p))).cast("long") for p in percentiles]
-    # Only the rows at a target rank survive the filter: at most one per
-    # percentile and group reach the final aggregate and the join.
-    is_target = targets[0] == F.col("rn")
-    for t in targets[1:]:
-        is_target = is_target | (t == F.col("rn"))
-    picked = (
-        ranked.filter(is_target)
-        .groupBy(*group_cols)
-        .agg(*[F.max(F.when(F.col("rn") == t, F.col("process_ms"))).alias(n) for t, n in zip(targets, names)])
+    picked = both.groupBy(*group_cols).agg(
+        *[F.min(F.when(reached(p), F.col("process_ms"))).alias(n) for p, n in zip(percentiles, names)]
     )
-    return basic.join(picked, group_cols)
+    picked = picked.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], *names)
+    joined = basic.join(picked, same((basic[c], picked[f"_g_{c}"]) for c in group_cols))
+    return joined.select(*basic.columns, *names)
 
 
 # ------------------------------------------------------------ model scoring --
 
-Scorer = Callable[[bytes], list[dict]]
-_MODELS: dict[int, Scorer] = {}
+Scorer = Callable[[list[bytes]], list[list[dict]]]
 
 SCORED_SCHEMA = T.StructType(
     [
@@ -208,49 +231,54 @@ def score_frames(
     model_factory: Callable[[], Scorer],
     image_col: str = "image",
     keep: Sequence[str] = (),
+    batch_size: int = 32,
+    model_key: str | None = None,
 ) -> DataFrame:
     """Run a detection model over ``frame_id, image`` rows.
 
-    ``model_factory()`` builds the model once per Python worker (it is
-    cached there) and the returned callable maps image bytes to a list of
-    person boxes ``{x1, y1, x2, y2, confidence}``. Frames travel as Arrow
-    batches (``mapInPandas``); the time per frame is measured around the
-    call and rounded to 0.01 ms. Columns named in ``keep`` pass through.
+    ``model_factory()`` builds the model once per Python worker; the model
+    maps a list of at most ``batch_size`` images (bytes) to a list of person
+    boxes ``{x1, y1, x2, y2, confidence}`` for each. ``process_ms`` is a
+    frame's share of its call. Coordinates lose their fractions, confidences
+    are rounded to 4 digits and times to 2. Columns named in ``keep`` pass
+    through. Calls that share a ``model_key`` share the workers' models.
     """
     ship_package(frames.sparkSession)
-    key = id(model_factory)
+    key = model_key or uuid.uuid4().hex
     keep = list(keep)
+    raw = "array<struct<x1:double,y1:double,x2:double,y2:double,confidence:double>>"
+    kept = [frames.schema[c] for c in keep]
     schema = T.StructType(
-        [SCORED_SCHEMA["frame_id"], *[frames.schema[c] for c in keep], *SCORED_SCHEMA.fields[1:]]
+        [SCORED_SCHEMA["frame_id"], *kept, T.StructField("boxes", T._parse_datatype_string(raw)), SCORED_SCHEMA["process_ms"]]
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _MODELS.get(key)
-        if model is None:
-            model = _MODELS[key] = model_factory()
+        score = model(key, model_factory)
         for pdf in batches:
-            boxes, counts, millis = [], [], []
-            for img in pdf[image_col]:
+            for at in range(0, len(pdf), batch_size):
+                part = pdf.iloc[at : at + batch_size]
+                images = [bytes(i) if i is not None else b"" for i in part[image_col]]
                 t0 = time.perf_counter()
-                found = model(bytes(img) if img is not None else b"")
-                ms = (time.perf_counter() - t0) * 1000
-                boxes.append([{f: b[f] for f in BOX_FIELDS} for b in found])
-                counts.append(len(found))
-                millis.append(round(ms, 2))
-            out = {"frame_id": pdf["frame_id"]}
-            for c in keep:
-                out[c] = pdf[c]
-            out.update({"person_count": counts, "boxes": boxes, "process_ms": millis})
-            yield pd.DataFrame(out)
-
-    return frames.select("frame_id", *keep, image_col).mapInPandas(run, schema)
+                found = score(images)
+                ms = (time.perf_counter() - t0) * 1000 / len(images)
+                out = {"frame_id": part["frame_id"].array, **{c: part[c].array for c in keep}}
+                out["boxes"] = [[{f: float(b[f]) for f in BOX_FIELDS} for b in boxes] for boxes in found]
+                yield pd.DataFrame(out | {"process_ms": ms})
+
+    scored = frames.select("frame_id", *keep, image_col).mapInPandas(run, schema)
+    return scored.select(
+        "frame_id",
+        *keep,
+        F.size("boxes").alias("person_count"),
+        F.transform("boxes", _written).alias("boxes"),
+        round_half_even("process_ms", MS_DIGITS).alias("process_ms"),
+    )
 
 
 def byte_length_scorer() -> Scorer:
     """A deterministic stand-in model for tests: ``len(image) % 5`` boxes."""
 
-    def score(image: bytes) -> list[dict]:
-        n = len(image) % 5
-        return [{"x1": j, "y1": j, "x2": j + 10, "y2": j + 10, "confidence": 0.5} for j in range(n)]
+    def score(images: list[bytes]) -> list[list[dict]]:
+        return [[{"x1": j, "y1": j, "x2": j + 10, "y2": j + 10, "confidence": 0.5} for j in range(len(i) % 5)] for i in images]
 
     return score

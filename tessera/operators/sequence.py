@@ -1,85 +1,50 @@
-"""Exact row numbers inside groups, without putting a group in one task.
-
-``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a
-group to one task; a group that holds a third of the data would stall the
-job. Here the rows are range-partitioned on ``(g, o)`` instead, so a hot
-group is spread over many balanced partitions, and its numbering is stitched
-together from per-partition counts:
-
-1. range-partition and sort on ``(g, o)``; tag each row with its partition
-   id and ``monotonically_increasing_id`` (consecutive inside a partition,
-   following the sort); checkpoint the tagged rows once;
-2. per (partition, group): row count and first id -- at most
-   ``#groups + #partitions`` rows;
-3. per group, the rows it has in earlier partitions (a running sum over
-   its at most ``#partitions`` entries);
-4. join back: ``rn = offset + id - first_id + 1``.
-
-The join back is keyed on (partition, group); every key holds at most one
-range partition's rows, so it has no hot key either. No broadcast is forced:
-AQE turns it into a broadcast join at run time only when the measured stats
-side is under ``spark.sql.autoBroadcastJoinThreshold``.
+"""Exact positions inside groups, without putting a group in one task.
+
+``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a group
+to one task; a group that holds a third of the data would stall the job. Here
+the caller names a bucket that cuts each group into parts in order (a slice of
+time, a hash if any order will do): rows are numbered inside (group, bucket)
+and shifted by the counts of the buckets before. The counts are one row per
+(group, bucket), so the window over them is small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
 
+def columns(df: DataFrame, without: Sequence[str] = ()) -> list[Column]:
+    """All columns of ``df`` but some, whatever characters their names have."""
+    return [df["`" + c.replace("`", "``") + "`"] for c in df.columns if c.lower() not in without]
 
-def row_number_within(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order_cols: Sequence[str | Column],
-    output: str = "rn",
-    num_partitions: int | None = None,
-    size_output: str | None = None,
-) -> DataFrame:
-    """Add ``output``: the 1-based position of each row inside its group
-    when the group is ordered by ``order_cols`` (and, with ``size_output``,
-    the number of rows of the group).
 
-    ``order_cols`` must be a total order inside each group (end it with a
-    unique column); then the numbering is deterministic and a re-run task
-    produces the same numbers.
-    """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    group_cols = list(group_cols)
-    keys = [F.col(c) for c in group_cols] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
+def same(pairs) -> Column:
+    """Null-safe equality of all pairs of columns."""
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs])
 
-    ensure_checkpoint_dir(spark)
-    # Materialised once (a reliable checkpoint in the shared folder): the
-    # stats and the join below read the very same partitions and ids, and a
-    # lost executor re-reads them instead of re-deriving them.
-    tagged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
-    stats = tagged.groupBy("_pid", *group_cols).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")
-    )
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group_cols)
-    offsets = stats.select(
-        "_pid", *[F.col(c).alias(f"_g_{c}") for c in group_cols], "_first",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(whole).alias("_size"),
+
+def rank_in_groups(df: DataFrame, groups: Sequence[str], bucket: str, order: Sequence[str | Column], out: str) -> DataFrame:
+    """Add ``out``, the position from 0 of each row in its group, the group
+    being ordered by (``bucket``, ``order``).
+
+    ``df`` is read twice, so an input that is expensive or not repeatable
+    should be written first. Pick ``bucket`` so that its parts of a group fit
+    a task.
+    """
+    names = [*groups, bucket]
+    before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        df.groupBy(*names)
+        .agg(F.count(F.lit(1)).alias("__t_n"))
+        .withColumn("__t_off", F.coalesce(F.sum("__t_n").over(before), F.lit(0)))
+        .select(*[F.col(c).alias(f"__t_k{i}") for i, c in enumerate(names)], "__t_off")
     )
-    cond = F.col("_pid") == F.col("_o_pid")
-    for c in group_cols:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    joined = tagged.join(offsets.withColumnRenamed("_pid", "_o_pid"), cond)
-    out = joined.withColumn(output, F.col("_off") + F.col("_mid") - F.col("_first") + 1)
-    if size_output:
-        out = out.withColumnRenamed("_size", size_output)
-    return out.drop(
-        "_pid", "_o_pid", "_mid", "_first", "_off", "_size", *[f"_g_{c}" for c in group_cols]
+    ranked = df.withColumn("__t_rn", F.row_number().over(Window.partitionBy(*names).orderBy(*order)))
+    on = same((ranked[c], offsets[f"__t_k{i}"]) for i, c in enumerate(names))
+    return ranked.join(offsets, on).select(
+        *columns(ranked, ("__t_rn",)), (F.col("__t_off") + F.col("__t_rn") - 1).alias(out)
     )
