@@ -1,30 +1,16 @@
-"""Join helpers: checked broadcast, lookups with defaults, unique dimensions."""
+"""Join helpers: lookups with defaults, unique dimensions.
+
+No side is broadcast by hint: Catalyst broadcasts a side whose files are below
+``spark.sql.autoBroadcastJoinThreshold``, AQE one whose measured shuffle output
+is, and a larger one is joined by shuffle with skewed partitions split.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows) we are willing to ship to every task with an
-# explicit hint. Above it the join is left to AQE, which broadcasts only when
-# the measured shuffle output is under spark.sql.autoBroadcastJoinThreshold
-# and otherwise runs a sort-merge join (with skew splitting).
-MAX_BROADCAST_ROWS = 100_000
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only after proving it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so
-    it stays cheap even when the side turns out to be large; then the plain
-    DataFrame is returned and the planner picks a shuffle join.
-    """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
-
-
-def unique_by_key(dim: DataFrame, key: str, order_col: str) -> DataFrame:
+def unique_by_key(dim: DataFrame, key: str, order_col: str | Column) -> DataFrame:
     """One row per ``key``: the one with the greatest ``order_col``.
 
     This is the table form of "last duplicate wins" of a driver-side map;
@@ -33,7 +19,8 @@ def unique_by_key(dim: DataFrame, key: str, order_col: str) -> DataFrame:
     that follows reuses that partitioning.
     """
     others = [c for c in dim.columns if c != key]
-    best = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_best")
+    order = F.col(order_col) if isinstance(order_col, str) else order_col
+    best = F.max_by(F.struct(*[F.col(c) for c in others]), order).alias("_best")
     return dim.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in others])
 
 
@@ -44,17 +31,13 @@ def lookup_with_default(
     value: str,
     default: Column,
     output: str | None = None,
-    broadcast: bool = False,
 ) -> DataFrame:
     """Left-join ``dim.value`` onto ``fact`` by ``key``; misses get ``default``.
 
     ``default`` is a column expression so it may depend on the key, e.g.
-    ``concat('Unknown (', key, ')')``. ``broadcast=True`` asks for a checked
-    broadcast of the (key, value) projection of ``dim``.
+    ``concat('Unknown (', key, ')')``.
     """
     out = output or value
     side = dim.select(F.col(key), F.col(value).alias("_lookup_value"))
-    if broadcast:
-        side = checked_broadcast(side)
     joined = fact.join(side, on=key, how="left")
     return joined.withColumn(out, F.coalesce(F.col("_lookup_value"), default)).drop("_lookup_value")

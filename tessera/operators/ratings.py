@@ -18,7 +18,7 @@ tie is broken on the key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import (
@@ -32,6 +32,9 @@ from tessera.functions.scalars import (
 from tessera.functions.text import split_multi_value
 from tessera.operators.joins import lookup_with_default
 
+# Ratings are summed at this scale.
+RATING = "decimal(18,6)"
+
 # ---- fixed values: defaults printed for a movie or occupation not found ----
 DEFAULT_TITLE = "Unknown"                 # MapReduce average job, RDD age job
 DEFAULT_TITLE_BEST = "Unknown Title"      # RDD best-movie job
@@ -62,11 +65,16 @@ def rating_count(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n_ratings"))
 
 
+def mean(value: str | Column) -> Column:
+    """Mean of non-null values, summed as decimals so that it does not depend
+    on the order in which partitions are added up."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.sum(c.cast(RATING)).cast("double") / F.count(c)
+
+
 def movie_stats(ratings: DataFrame) -> DataFrame:
     """Mean and count of ratings per movie."""
-    return ratings.groupBy("movie_id").agg(
-        F.avg("rating").alias("avg_rating"), F.count("rating").alias("n_ratings")
-    )
+    return ratings.groupBy("movie_id").agg(mean("rating").alias("avg_rating"), F.count("rating").alias("n_ratings"))
 
 
 def movie_avg_rating(ratings: DataFrame, movies: DataFrame, default: str = DEFAULT_TITLE) -> DataFrame:
@@ -81,21 +89,17 @@ def best_movie(
     ratings: DataFrame, movies: DataFrame, min_support: int = 5, default: str = DEFAULT_TITLE_BEST
 ) -> DataFrame:
     """The movie with the highest mean among those with at least
-    ``min_support`` ratings; ties go to the smallest id. One row, or none.
+    ``min_support`` ratings; ties go to the smallest id, whatever its type.
+    One row, or none.
 
-    The top-1 is a global ``max`` over a struct (partial aggregation, no
+    The top-1 is a global ``min`` over a struct (partial aggregation, no
     sort and no single-partition window); only the winner is joined with
     the titles.
     """
-    stats = movie_stats(ratings).filter(F.col("n_ratings") >= min_support)
-    best = stats.agg(
-        F.max(F.struct("avg_rating", (-F.col("movie_id")).alias("neg_id"), "n_ratings")).alias("b")
-    ).filter(F.col("b").isNotNull())
-    winner = best.select(
-        (-F.col("b.neg_id")).alias("movie_id"),
-        F.col("b.avg_rating").alias("avg_rating"),
-        F.col("b.n_ratings").alias("n_ratings"),
-    )
+    stats = movie_stats(ratings).filter((F.col("n_ratings") >= min_support) & F.col("avg_rating").isNotNull())
+    order = F.struct((-F.col("avg_rating")).alias("worse"), "movie_id", "avg_rating", "n_ratings")
+    best = stats.agg(F.min(order).alias("b")).filter(F.col("b").isNotNull())
+    winner = best.select("b.movie_id", "b.avg_rating", "b.n_ratings")
     return _with_title(winner, movies, F.lit(default)).select("movie_id", "title", "avg_rating", "n_ratings")
 
 
@@ -109,13 +113,13 @@ def genre_avg_rating(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     aggregation absorbs.
     """
     per_movie = ratings.groupBy("movie_id").agg(
-        F.sum("rating").alias("s"), F.count("rating").alias("n")
+        F.sum(F.col("rating").cast(RATING)).alias("s"), F.count("rating").alias("n")
     )
     genres = movies.select("movie_id", F.explode(split_multi_value("genres")).alias("genre"))
     return (
         per_movie.join(genres, "movie_id")
         .groupBy("genre")
-        .agg((F.sum("s") / F.sum("n")).alias("avg_rating"), F.sum("n").alias("n_ratings"))
+        .agg((F.sum("s").cast("double") / F.sum("n")).alias("avg_rating"), F.sum("n").alias("n_ratings"))
     )
 
 
@@ -145,8 +149,8 @@ def gender_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame) ->
     rated = _rated_by_users(ratings, users, "gender")
     male = is_male("gender")
     stats = rated.groupBy("movie_id").agg(
-        F.avg(F.when(male, F.col("rating"))).alias("male_avg"),
-        F.avg(F.when(~male | F.col("gender").isNull(), F.col("rating"))).alias("female_avg"),
+        mean(F.when(male, F.col("rating"))).alias("male_avg"),
+        mean(F.when(~male | F.col("gender").isNull(), F.col("rating"))).alias("female_avg"),
     )
     return _with_title(stats, movies, _prefixed_default()).select(
         "movie_id", "title", "male_avg", "female_avg"
@@ -156,7 +160,7 @@ def gender_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame) ->
 def gender_avg_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
     """Mean per (movie, raw gender value), with the display label."""
     rated = _rated_by_users(ratings, users, "gender")
-    stats = rated.groupBy("movie_id", "gender").agg(F.avg("rating").alias("avg_rating"))
+    stats = rated.groupBy("movie_id", "gender").agg(mean("rating").alias("avg_rating"))
     return _with_title(stats, movies, F.lit(DEFAULT_TITLE_GENDER)).select(
         "movie_id", "title", "gender", gender_label("gender").alias("gender_label"), "avg_rating"
     )
@@ -181,7 +185,7 @@ def age_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> Da
     """
     rated = _rated_by_users(ratings, users, "age").withColumn("grp", age_group_4("age"))
     aggs = [
-        F.avg(F.when(F.col("grp") == label, F.col("rating"))).alias(name)
+        mean(F.when(F.col("grp") == label, F.col("rating"))).alias(name)
         for label, name in zip(AGE_GROUPS_4, AGE_PIVOT_COLUMNS)
     ]
     stats = rated.groupBy("movie_id").agg(*aggs)
@@ -191,25 +195,21 @@ def age_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> Da
 def age_avg_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
     """Mean per (movie, seven-way age group)."""
     rated = _rated_by_users(ratings, users, "age").withColumn("age_group", age_group_7("age"))
-    stats = rated.groupBy("movie_id", "age_group").agg(F.avg("rating").alias("avg_rating"))
+    stats = rated.groupBy("movie_id", "age_group").agg(mean("rating").alias("avg_rating"))
     return _with_title(stats, movies, F.lit(DEFAULT_TITLE)).select("movie_id", "title", "age_group", "avg_rating")
 
 
 def occupation_stats(ratings: DataFrame, users: DataFrame, occupations: DataFrame) -> DataFrame:
     """Mean and count per occupation of the rating user, with the
-    occupation's name (``Unknown (<id>)`` when it has none).
-
-    The occupation table is a small code list; it is broadcast after a
-    size check.
-    """
+    occupation's name (``Unknown (<id>)`` when it has none)."""
     rated = _rated_by_users(ratings, users, "occupation_id")
     stats = rated.groupBy("occupation_id").agg(
-        F.avg("rating").alias("avg_rating"), F.count("rating").alias("n_ratings")
+        mean("rating").alias("avg_rating"), F.count("rating").alias("n_ratings")
     )
     pre, post = DEFAULT_OCCUPATION
     default = F.concat(F.lit(pre), F.col("occupation_id").cast("string"), F.lit(post))
     return lookup_with_default(
-        stats, occupations, "occupation_id", "name", default, output="occupation", broadcast=True
+        stats, occupations, "occupation_id", "name", default, output="occupation"
     ).select("occupation_id", "occupation", "avg_rating", "n_ratings")
 
 
@@ -218,7 +218,7 @@ def yearly_stats(ratings: DataFrame) -> DataFrame:
     year = calendar_year("ts", ratings.schema["ts"].dataType).alias("year")
     return (
         ratings.groupBy(year)
-        .agg(F.avg("rating").alias("avg_rating"), F.count("rating").alias("n_ratings"))
+        .agg(mean("rating").alias("avg_rating"), F.count("rating").alias("n_ratings"))
         .orderBy("year")
     )
 
@@ -229,5 +229,5 @@ def user_occupations(users: DataFrame, occupations: DataFrame) -> DataFrame:
     default = F.concat(F.lit(pre), F.col("occupation_id").cast("string"), F.lit(post))
     return lookup_with_default(
         users.select("user_id", "occupation_id"), occupations, "occupation_id", "name", default,
-        output="occupation", broadcast=True,
+        output="occupation",
     ).select("user_id", "occupation_id", "occupation")

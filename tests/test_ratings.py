@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import ratings as R
-from tessera.operators.joins import checked_broadcast, unique_by_key
+from tessera.operators.joins import unique_by_key
 from tests.conftest import rows
 
 RATINGS = "user_id long, movie_id long, rating double, ts long"
@@ -113,11 +113,21 @@ def test_duplicate_dimension_last_wins(spark):
     assert rows(R.movie_avg_rating(ratings, uniq)) == [(1, "New title", 4.0, 1)]
 
 
-def test_checked_broadcast_falls_back(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert checked_broadcast(big, max_rows=10) is big
-    assert checked_broadcast(small, max_rows=10) is not small
+def test_best_movie_with_text_ids(spark):
+    ids = ["tt1", "007", "7", "12345678901234567"]
+    movies = spark.createDataFrame([(i, f"title {i}", "x") for i in ids], "movie_id string, title string, genres string")
+    best = lambda data: rows(R.best_movie(spark.createDataFrame(data, "user_id int, movie_id string, rating double, ts long"), movies, 1))
+    for i in ids:
+        assert best([(1, i, 5.0, 0), *[(1, j, 4.0, 0) for j in ids if j != i]]) == [(i, f"title {i}", 5.0, 1)]
+    assert best([(1, i, 4.5, 0) for i in ids]) == [("007", "title 007", 4.5, 1)]  # a tie: the smallest id
+    assert best([(1, "007", None, 0)]) == []
+
+
+def test_means_do_not_depend_on_the_order_of_sums(spark):
+    values = [0.1, 0.2, 0.3, 1e9 + 0.7, -1e9, 3.3] * 50
+    frames = [spark.createDataFrame([(1, 1, v, 0) for v in vs], RATINGS).repartition(n) for vs, n in ((values, 1), (values[::-1], 7))]
+    a, b = (rows(R.movie_stats(f)) for f in frames)
+    assert a == b
 
 
 def test_union_ratings_keeps_duplicates(spark, small):
