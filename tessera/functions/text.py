@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 # so the pattern means exactly the same here.
 TOKEN_SEPARATORS = r"[\s\p{Punct}]+"
 
-# Largest stop-word list shipped inside the plan as literals.
-MAX_STOPWORDS = 10_000
-
 # Java String.trim() strips every char <= U+0020, not only spaces.
 _JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
@@ -57,8 +54,9 @@ def java_split(c: str | Column, sep: str, limit: int = -1) -> Column:
 
 
 def split_multi_value(c: str | Column, sep: str = "|") -> Column:
-    """Split a ``a|b|c`` field into its non-empty values."""
-    return F.filter(java_split(c, sep), lambda v: v != F.lit(""))
+    """Split a ``a|b|c`` field into its values: trailing empty ones are
+    dropped, others are values like any other, as ``String.split`` has it."""
+    return java_split(c, sep)
 
 
 # After splitting on TOKEN_SEPARATORS a token can only start or end with a
@@ -90,15 +88,11 @@ def without_stopwords(tok: Column, stopwords: Iterable[str], min_length: int = 1
     """Filter a token array: drop stop words and tokens shorter than
     ``min_length`` characters.
 
-    The stop-word list is a bounded literal array (a few hundred words at
-    most), so the check runs inside the task with no join and no shuffle.
+    The words become literals of the plan, so the check runs inside the task
+    with no join and no shuffle. For a list that is a table, see
+    :func:`tessera.operators.text.clean_text`.
     """
     stop = normalise_stopwords(stopwords)
-    if len(stop) > MAX_STOPWORDS:
-        raise ValueError(
-            f"{len(stop)} stop words: a literal list this long bloats every task's plan; "
-            "drop them with a left_anti join against a stop-word DataFrame instead"
-        )
 
     def keep(t: Column) -> Column:
         # isin over literals becomes a hash-set probe (InSet) past a few
@@ -125,18 +119,6 @@ def normalise_stopwords(stopwords: Iterable[str]) -> list[str]:
     return sorted(out)
 
 
-def is_kept_word(word: str | Column, stopwords: Iterable[str], min_length: int = 1) -> Column:
-    """Row-level form of :func:`without_stopwords` for exploded tokens."""
-    w = _col(word)
-    stop = normalise_stopwords(stopwords)
-    if len(stop) > MAX_STOPWORDS:
-        raise ValueError(f"{len(stop)} stop words: use a left_anti join against a stop-word DataFrame")
-    ok = ~w.isin(*stop) if stop else F.lit(True)
-    if min_length > 1:
-        ok = ok & (F.length(w) >= F.lit(min_length))
-    return ok
-
-
 def clean_text(c: str | Column, stopwords: Iterable[str]) -> Column:
     """Surviving tokens joined by one space (empty string when none)."""
     return F.array_join(without_stopwords(tokens(c), stopwords), " ")

@@ -3,8 +3,10 @@
 Input: a reviews DataFrame ``id, comment, aspect, category, sentiment``.
 The tokenizer and the stop-word filter are built-in column expressions
 (:mod:`tessera.functions.text`), so texts are processed whole, inside the
-scan's task, with no Python in the loop. Counts are partial-aggregated
-before any shuffle; heavy words and the few aspect / category values are
+scan's task, with no Python in the loop. Stop words are a list or a table of
+any size (column ``word``); word counts drop them by an anti join of the
+counted words, not of every token. Counts are partial-aggregated before any
+shuffle; heavy words and the few aspect / category values are
 absorbed by that map-side combine.
 """
 
@@ -12,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import is_kept_word, java_trim, tokens, without_stopwords
+from tessera.functions.text import java_trim, normalise_stopwords, tokens, without_stopwords
 from tessera.operators.topk import ranked_text, top_k_per_group
 
 # ---- fixed values of the reference jobs -----------------------------------
@@ -35,9 +37,31 @@ def tokenize(reviews: DataFrame) -> DataFrame:
     )
 
 
-def clean_text(reviews: DataFrame, stopwords: Iterable[str]) -> DataFrame:
+Stopwords = Iterable[str] | DataFrame
+
+
+def stopword_table(spark: SparkSession, stopwords: Stopwords) -> DataFrame:
+    """Stop words as a table ``word``: trimmed, lower-cased, each once."""
+    if not isinstance(stopwords, DataFrame):
+        return spark.createDataFrame([(w,) for w in normalise_stopwords(stopwords)], "word string")
+    word = F.lower(java_trim("word"))
+    return stopwords.select(word.alias("word")).filter(F.length("word") > 0).distinct()
+
+
+def clean_text(reviews: DataFrame, stopwords: Stopwords) -> DataFrame:
     """``id, clean``: surviving tokens joined by a space; reviews left with
-    no token are dropped."""
+    no token are dropped.
+
+    A list of stop words is checked inside the task; a table is anti-joined
+    with the tokens, which are then put back together in their order.
+    """
+    if isinstance(stopwords, DataFrame):
+        stop = stopword_table(reviews.sparkSession, stopwords)
+        rows = reviews.select("id", F.monotonically_increasing_id().alias("row"), "comment")
+        each = rows.select("id", "row", F.posexplode(tokens("comment")).alias("pos", "word"))
+        kept = each.join(stop, "word", "left_anti").groupBy("id", "row")
+        parts = F.array_sort(F.collect_list(F.struct("pos", "word")))  # the tokens of one review
+        return kept.agg(parts.alias("t")).select("id", F.array_join("t.word", " ").alias("clean"))
     cleaned = F.array_join(without_stopwords(tokens("comment"), stopwords), " ")
     # The emptiness test sits inside the generator: a plain filter on
     # ``clean`` would be pushed below the projection, re-deriving the whole
@@ -46,19 +70,15 @@ def clean_text(reviews: DataFrame, stopwords: Iterable[str]) -> DataFrame:
     return reviews.select("id", F.explode(kept).alias("clean"))
 
 
-def _word_counts(reviews: DataFrame, stopwords: Iterable[str], group: list[str], min_length: int) -> DataFrame:
-    # Stop words and short tokens are dropped as rows after the explode: a
-    # plain filter that stays in the generated code of the scan stage.
-    return (
-        reviews.select(*group, F.explode(tokens("comment")).alias("word"))
-        .filter(is_kept_word("word", stopwords, min_length))
-        .groupBy(*group, "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def _word_counts(reviews: DataFrame, stopwords: Stopwords, group: list[str], min_length: int) -> DataFrame:
+    words = reviews.select(*group, F.explode(tokens("comment")).alias("word"))
+    counts = words.filter(F.length("word") >= min_length).groupBy(*group, "word").agg(F.count(F.lit(1)).alias("n"))
+    # The anti join sees each counted word once, not every occurrence.
+    return counts.join(stopword_table(reviews.sparkSession, stopwords), "word", "left_anti")
 
 
 def word_frequency(
-    reviews: DataFrame, stopwords: Iterable[str], threshold: int = WORD_FREQUENCY_THRESHOLD
+    reviews: DataFrame, stopwords: Stopwords, threshold: int = WORD_FREQUENCY_THRESHOLD
 ) -> DataFrame:
     """Words (not stop words, any length) occurring more than ``threshold``
     times over all reviews."""
@@ -127,20 +147,33 @@ def _top_words(counts: DataFrame, group: list[str], k: int) -> DataFrame:
 
 
 def category_sentiment_top_words(
-    reviews: DataFrame, stopwords: Iterable[str], k: int = TOP_WORDS
+    reviews: DataFrame, stopwords: Stopwords, k: int = TOP_WORDS, sentiments: DataFrame | None = None
 ) -> DataFrame:
     """Per (category, positive|negative): the k most frequent words longer
-    than one character, as ``w(n) w(n) ...`` (ties by word)."""
-    base = reviews.select(
-        java_trim("category").alias("category"),
-        F.lower(java_trim("sentiment")).alias("sentiment"),
-        "comment",
-    ).filter((F.length("category") > 0) & F.col("sentiment").isin(*SENTIMENTS))
+    than one character, as ``w(n) w(n) ...`` (ties by word).
+
+    ``sentiments`` (``id, sentiment``) gives the sentiments where the reviews
+    have none of their own. Words are then counted per review first, so the
+    texts themselves never move for the join.
+    """
+    category = java_trim("category").alias("category")
+    wanted = F.lower(java_trim("sentiment"))
+    if sentiments is not None:
+        labelled = sentiments.select("id", wanted.alias("sentiment")).filter(F.col("sentiment").isin(*SENTIMENTS))
+        base = reviews.select("id", category, "comment").filter(F.length("category") > 0)
+        words = base.select("id", "category", F.explode(tokens("comment")).alias("word")).filter(F.length("word") > 1)
+        each = words.groupBy("id", "category", "word").agg(F.count(F.lit(1)).alias("n"))
+        counts = each.join(labelled, "id").groupBy("category", "sentiment", "word").agg(F.sum("n").alias("n"))
+        counts = counts.join(stopword_table(reviews.sparkSession, stopwords), "word", "left_anti")
+        return _top_words(counts, ["category", "sentiment"], k)
+    base = reviews.select(category, wanted.alias("sentiment"), "comment").filter(
+        (F.length("category") > 0) & F.col("sentiment").isin(*SENTIMENTS)
+    )
     counts = _word_counts(base, stopwords, ["category", "sentiment"], 2)
     return _top_words(counts, ["category", "sentiment"], k)
 
 
-def category_top_words(reviews: DataFrame, stopwords: Iterable[str], k: int = TOP_WORDS) -> DataFrame:
+def category_top_words(reviews: DataFrame, stopwords: Stopwords, k: int = TOP_WORDS) -> DataFrame:
     """Per category (any sentiment): the k most frequent words longer than
     one character, as ``w(n) w(n) ...``."""
     base = reviews.select(java_trim("category").alias("category"), "comment").filter(

@@ -49,3 +49,21 @@ def test_same_answer_with_1_4_16_shuffle_partitions(spark, key):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2]
+
+
+def test_stop_words_as_a_long_table(spark):
+    # A list of any size, as a table or in the plan, gives the same words.
+    r = B.reviews(spark, SF_SMALL, with_sentiment=False)
+    words = [f"stop{i}" for i in range(10_001)] + B.TEST_STOPWORDS
+    table = spark.createDataFrame([(f" {w.upper()}",) for w in words], "word string")
+    assert rows(T.clean_text(r, table)) == rows(T.clean_text(r, words))
+    assert rows(T.word_frequency(r, table, 50)) == rows(T.word_frequency(r, words, 50))
+    kept = {w for w, _ in rows(T.word_frequency(r, table, 0))}
+    assert kept and not kept & set(words)
+
+
+def test_sentiments_given_apart_count_the_same_words(spark):
+    whole = T.category_sentiment_top_words(B.reviews(spark, SF_SMALL), B.TEST_STOPWORDS)
+    apart = T.category_sentiment_top_words(
+        B.reviews(spark, SF_SMALL, with_sentiment=False), B.TEST_STOPWORDS, sentiments=B.sentiments(spark, SF_SMALL))
+    assert rows(whole) == rows(apart)
