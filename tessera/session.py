@@ -9,7 +9,10 @@ cluster.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -91,9 +94,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, registered with the
     SparkContext so that ``DataFrame.checkpoint()`` can use it.
 
-    The folder named by ``spark.checkpoint.dir`` is used when the session
-    has one. Only when it is unset (local runs and tests) a fresh local
-    folder is made and registered.
+    The folder named by ``spark.checkpoint.dir`` is used. Only a local master,
+    whose tasks all run on this machine, may leave it unset; it then gets a
+    folder that goes when the driver exits.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -101,17 +104,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: dict[str, list[str]] = {}  # by application
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder.
 
-    Stream checkpoints, staged inputs and written intermediate tables go
-    here, so that a lost executor or a restarted driver finds them.
+    Stream checkpoints and written intermediate tables go here, so that a
+    lost executor or a restarted driver finds them. They are read when the
+    results are, so they stay until :func:`clear_scratch`.
     """
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any file system that Spark can reach."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate data, once the results that
+    were made from it have been written or read."""
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        delete_path(spark, path)

@@ -13,7 +13,8 @@ same steps are one streaming query:
   failure replaces its own output -- exactly once with the checkpoint,
   where the reference was at most once;
 * "flush at 5 rows or every 10 s" is ``trigger(processingTime='10
-  seconds')`` plus ``maxRecordsPerFile=5``; tests use ``availableNow``.
+  seconds')``, with ``maxRecordsPerFile`` on request; tests use
+  ``availableNow``.
 
 Checkpoints and outputs live under the cluster's shared checkpoint folder.
 """
@@ -38,35 +39,7 @@ from tessera.operators.detections import (
     score_frames,
 )
 from tessera.sources.special import b64decode
-from tessera.session import scratch_path
-from tessera.sources.sinks import write_results_csv
-
-
-def stage_files(df: DataFrame, path: str, n_files: int = 4, fmt: str = "parquet") -> str:
-    """Write ``df`` as ``n_files`` files ordered by ``frame_id`` ranges, the
-    input a file stream picks up one file per trigger."""
-    df.repartitionByRange(n_files, "frame_id").write.mode("overwrite").format(fmt).save(path)
-    return path
-
-
-def stage_in_order(
-    df: DataFrame, path: str, order_col: str, chunks: int = 4, files_per_chunk: int = 2, fmt: str = "parquet"
-) -> str:
-    """Write ``df`` as ``chunks`` consecutive appends over equal-width
-    ranges of ``order_col``, so files that hold later rows are also newer:
-    a file stream (which takes the oldest files first) then sees the rows
-    in ``order_col`` order, as a camera delivers frames. Each chunk is
-    written by ``files_per_chunk`` parallel tasks."""
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    if lo is None:
-        df.limit(0).write.mode("append").format(fmt).save(path)
-        return path
-    width = (hi - lo) // chunks + 1
-    for i in range(chunks):
-        a, b = lo + i * width, lo + (i + 1) * width
-        part = df.filter((F.col(order_col) >= a) & (F.col(order_col) < b))
-        part.repartitionByRange(files_per_chunk, order_col).write.mode("append").format(fmt).save(path)
-    return path
+from tessera.session import delete_path, scratch_path
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1) -> DataFrame:
@@ -137,7 +110,6 @@ def stream_score_frames(
     return _run(writer, trigger)
 
 
-FLUSH_OUTPUT = "frame_id long, tick long, batch long, row_in_batch int"
 FLUSH_STATE = "ticks array<long>, seen array<long>"
 
 
@@ -149,21 +121,19 @@ def stream_flush_batches(
     interval_seconds: int = FLUSH_SECONDS,
     max_rows: int = FLUSH_ROWS,
     source_cols: Sequence[str] = (),
-    watermark: str = "1 hour",
     ticks_per_key: int = 64,
     trigger: str | None = None,
 ) -> StreamingQuery:
-    """The "5 rows or 10 s" flush as a stateful stream.
+    """The "5 rows or 10 s" flush of every source as a stateful stream.
 
-    A row's position in its tick is the number of rows the tick has already
-    seen plus its rank inside the micro-batch, and its write batch is
+    A row's position in its tick is the number of rows the source's tick has
+    already seen plus its rank inside the micro-batch, and its write batch is
     ``(rn - 1) // max_rows`` -- the same numbers as the batch closed form
     :func:`tessera.operators.detections.flush_batches` when rows arrive in
-    time order. State is keyed by (source, span of ``ticks_per_key`` ticks)
-    and holds one count per tick of the span, so one Python call serves a
-    whole span; a key's state is dropped (event-time timeout) once the
-    watermark passes the end of its span. ``t0_micros`` is the timer start
-    (epoch microseconds).
+    time order. Every row is numbered: a late one goes on counting where its
+    tick stopped. State is keyed by (source, span of ``ticks_per_key`` ticks),
+    one count per tick, and is kept, as a late row may need it.
+    ``t0_micros`` is the timer start (epoch microseconds).
     """
     step = interval_seconds * 1_000_000
     micros = F.unix_micros(F.to_timestamp("ts")) - F.lit(t0_micros)
@@ -171,12 +141,9 @@ def stream_flush_batches(
     keyed = stream.select(
         *source_cols, "frame_id", F.to_timestamp("ts").alias("ts"), tick.alias("tick"),
         F.floor(tick / F.lit(ticks_per_key)).cast("long").alias("span"),
-    ).withWatermark("ts", watermark)
+    )
 
     def assign(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "frame_id"], kind="stable")
         seen = dict(zip(*state.get)) if state.exists else {}
         before = pdf["tick"].map(seen).fillna(0).to_numpy(dtype=np.int64)
@@ -185,10 +152,9 @@ def stream_flush_batches(
             seen[int(t)] = seen.get(int(t), 0) + int(n)
         ticks = sorted(seen)
         state.update((ticks, [seen[t] for t in ticks]))
-        span_end_ms = (t0_micros + (int(key[-1]) + 1) * ticks_per_key * step) // 1000
-        state.setTimeoutTimestamp(max(span_end_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(
             {
+                **{c: pdf[c].array for c in source_cols},
                 "frame_id": pdf["frame_id"].to_numpy(),
                 "tick": pdf["tick"].to_numpy(dtype=np.int64),
                 "batch": (rn - 1) // max_rows,
@@ -196,8 +162,9 @@ def stream_flush_batches(
             }
         )
 
+    sources = "".join(f"`{c}` {stream.schema[c].dataType.simpleString()}, " for c in source_cols)
     assigned = keyed.groupBy(*source_cols, "span").applyInPandasWithState(
-        assign, FLUSH_OUTPUT, FLUSH_STATE, "append", GroupStateTimeout.EventTimeTimeout
+        assign, f"{sources}frame_id long, tick long, batch long, row_in_batch int", FLUSH_STATE, "append", GroupStateTimeout.NoTimeout
     )
     writer = (
         assigned.writeStream.outputMode("append")
@@ -211,21 +178,24 @@ def stream_running_total(
     stream: DataFrame, out: str, checkpoint: str, key: str = "source", trigger: str | None = None
 ) -> StreamingQuery:
     """Running number of records per source (stateful ``count``). Each
-    micro-batch emits the updated keys; the latest batch that mentions a key
-    holds its total."""
+    micro-batch writes the current totals as a new version of the table and
+    deletes the one before the last, so readers see one row per source
+    however old the stream is."""
     counts = stream.groupBy(key).agg(F.count(F.lit(1)).alias("total"))
-    writer = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(_batch_writer(out, lambda b, p: b.write.mode("overwrite").parquet(p)))
-        .option("checkpointLocation", checkpoint)
-    )
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
+        delete_path(batch.sparkSession, f"{out}/version={batch_id - 2}")
+
+    writer = counts.writeStream.outputMode("complete").foreachBatch(each).option("checkpointLocation", checkpoint)
     return _run(writer, trigger)
 
 
 def read_running_total(spark: SparkSession, out: str, key: str = "source") -> DataFrame:
-    """Current totals: per key, the value of the latest batch."""
-    df = spark.read.parquet(out)
-    return df.groupBy(key).agg(F.max_by("total", "microbatch").alias("total"))
+    """Current totals: the latest version of the table."""
+    versions = spark.read.parquet(out)
+    latest = versions.agg(F.max("version")).first()[0]
+    return versions.filter(F.col("version") == latest).select(key, "total")
 
 
 def stream_results_sink(
@@ -268,12 +238,10 @@ def stream_results_sink(
     return _run(writer, trigger)
 
 
-def run_to_end(query: StreamingQuery, timeout_s: float = 600) -> None:
-    """Wait for an ``availableNow`` query and surface its failure."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("stream did not finish")
+def run_to_end(query: StreamingQuery) -> None:
+    """Wait for an ``availableNow`` query, however long it takes, and surface
+    its failure."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
@@ -285,8 +253,6 @@ def new_paths(spark: SparkSession, name: str) -> tuple[str, str]:
 
 
 __all__ = [
-    "stage_files",
-    "stage_in_order",
     "read_stream",
     "stream_person_counts",
     "stream_running_total",
@@ -294,5 +260,4 @@ __all__ = [
     "stream_results_sink",
     "run_to_end",
     "new_paths",
-    "write_results_csv",
 ]

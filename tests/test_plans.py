@@ -37,4 +37,22 @@ def test_global_top1_needs_no_window_or_sort(spark):
 
 def test_scans_read_only_needed_columns(spark):
     p = plan(spark, "rating_count")
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in p
+    assert "ReadSchema: struct<l_partkey:bigint>" in p
+
+
+def test_ranks_and_percentiles_read_no_checkpoint(spark):
+    for key in ("flush_batches", "latency_stats"):
+        assert "ExistingRDD" not in plan(spark, key)
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    import types
+
+    import pytest
+
+    from tessera.session import ensure_checkpoint_dir
+
+    context = types.SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = types.SimpleNamespace(sparkContext=context, conf={})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
