@@ -12,8 +12,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import checked_broadcast
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -28,47 +26,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an under-split input before CPU-heavy per-row work.
+# ---------------------------------------------------------------- ratings ----
 
-    A table stored as fewer files than the cluster has cores (the test
-    tables are one file with one row group each) is scanned by that few
-    tasks; tokenizing whole texts there would leave the other cores idle.
-    Such input is round-robin repartitioned to the default parallelism. A
-    table of many files is left alone -- its scan is already parallel and a
-    shuffle of all its text would only cost I/O.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
+def ratings(spark: SparkSession, sf_dir: str, with_user: bool = True) -> DataFrame:
+    """Ratings from ``lineitem``; the rating user comes from ``orders``.
 
+    Every line has its order, so queries that do not read ``user_id`` pass
+    ``with_user=False`` and skip the join of two fact tables.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    cols = [F.col("l_partkey").alias("movie_id"), F.col("l_quantity").alias("rating"), F.col("l_shipdate").alias("ts")]
+    if not with_user:
+        return li.select(*cols)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("o_custkey").alias("user_id"), *cols)
 
-# ---------------------------------------------------------------- ratings ----
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("o_custkey").alias("user_id"),
-        F.col("l_partkey").alias("movie_id"),
-        F.col("l_quantity").alias("rating"),
-        F.col("l_shipdate").alias("ts"),
+def event_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second rating input: one rating per event."""
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        "user_id", F.col("event_id").alias("movie_id"), F.col("value").alias("rating"), F.to_timestamp("ts").alias("ts")
     )
 
 
-# The ``% 11`` / ``% 10`` / ``<> 3`` filters below are part of the binding
-# (FIXTURES.md B.1): they leave some users, movies and occupations without a
-# dimension row, so the inner-join drop and the lookup defaults are
-# exercised. They do not thin the fact tables; every rating is read.
-
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     seg = F.col("c_mktsegment")
     gender = (
         F.when(seg == "BUILDING", "M").when(seg == "MACHINERY", "m").when(seg == "HOUSEHOLD", "F").otherwise(seg)
     )
-    return c.filter(F.col("c_custkey") % 11 != 0).select(
+    return c.select(
         F.col("c_custkey").alias("user_id"),
         gender.alias("gender"),
         (F.lit(10) + F.col("c_custkey") % 60).alias("age"),
@@ -78,7 +66,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return p.filter(F.col("p_partkey") % 10 != 0).select(
+    return p.select(
         F.col("p_partkey").alias("movie_id"),
         F.col("p_name").alias("title"),
         F.concat(F.col("p_type"), F.lit("|"), F.col("p_brand")).alias("genres"),
@@ -87,40 +75,39 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def occupations(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
-    return n.filter(F.col("n_nationkey") != 3).select(
-        F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("name")
-    )
+    return n.select(F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("name"))
 
 
 # ---------------------------------------------------------------- reviews ----
 
-# Labels are two narrow columns; up to this many rows they are broadcast
-# (after a size check), so the review texts never move for the lookup.
-LABELS_BROADCAST_ROWS = 2_000_000
-
-
-def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True, with_comment: bool = True) -> DataFrame:
     """Reviews from ``documents`` (+ sentiment from ``labels``).
 
     ``labels`` has at most one row per ``doc_id``, so the left join never
-    changes the review rows; queries that do not read ``sentiment`` pass
-    ``with_sentiment=False`` and skip the join (and any movement of the
-    texts it would cause at scale).
+    changes the review rows; queries that do not read ``sentiment`` or
+    ``comment`` leave them out, and the latter's join moves narrow rows only.
     """
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
-    cols = [
-        F.col("doc_id").alias("id"),
-        F.col("text").alias("comment"),
-        F.col("source").alias("aspect"),
-        F.col("lang").alias("category"),
-    ]
+    text = ["text"] if with_comment else []
+    d = table(spark, sf_dir, "documents").select("doc_id", *text, "source", "lang")
+    cols = [F.col("doc_id").alias("id"), *[F.col(t).alias("comment") for t in text]]
+    cols += [F.col("source").alias("aspect"), F.col("lang").alias("category")]
     if not with_sentiment:
         return d.select(*cols)
-    lab = checked_broadcast(table(spark, sf_dir, "labels").select("doc_id", "quality"), LABELS_BROADCAST_ROWS)
-    sentiment = (
-        F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative").otherwise("neutral")
-    )
-    return d.join(lab, "doc_id", "left").select(*cols, sentiment.alias("sentiment"))
+    return d.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left").select(*cols, _sentiment())
+
+
+def sentiments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, sentiment`` of the labelled reviews."""
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), _sentiment())
+
+
+def stopwords(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(w,) for w in TEST_STOPWORDS], "word string")
+
+
+def _sentiment() -> Column:
+    by_quality = F.when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative")
+    return by_quality.otherwise("neutral").alias("sentiment")
 
 
 # --------------------------------------------------------------- commerce ----
@@ -129,7 +116,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     sub = F.when(F.col("c_custkey") % 100 != 0, F.col("c_custkey") % 100)
-    return c.join(checked_broadcast(n), c.c_nationkey == n.n_nationkey).select(
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
         F.col("c_custkey").alias("customer_trx_id"),
         sub.alias("subscriber_id"),
         F.col("n_name").alias("customer_country"),
@@ -217,6 +204,6 @@ def detections_from_events(e: DataFrame) -> DataFrame:
 
 def frames_as_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames for the scoring operator: document text as opaque bytes."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select(F.col("doc_id").alias("frame_id"), F.encode("text", "UTF-8").alias("image"))
 

@@ -18,7 +18,17 @@ from tessera.operators import commerce as C
 from tessera.operators import detections as D
 from tessera.sources import delimited as SRC
 from tessera.sources import special as S
-from tessera.sources.sinks import RESULTS_SCHEMA, read_results_csv, report_lines, write_results_csv
+from tessera.functions import formats as FM
+from tessera.sources import datasets as DS
+from tessera.sources.datasets import ECOMMERCE_SCHEMAS
+from tessera.sources.sinks import (
+    RESULTS_SCHEMA,
+    read_results_csv,
+    read_tsv,
+    report_lines,
+    write_results_csv,
+    write_tsv,
+)
 from tessera.streaming import detections as SD
 from tessera.session import scratch_path
 from tessera.plans import bindings as B
@@ -45,50 +55,49 @@ BEST_MOVIE_SUPPORT = 30
 
 # ================================================================ ratings ====
 
-RAT = O.with_(O.B_RATINGS, O.B_USERS, O.B_MOVIES, O.B_OCC)
+RAT = O.with_(O.B_RATINGS, O.B_EVENT_RATINGS, O.B_USERS, O.B_MOVIES, O.B_OCC)
 
 
 @register("rating_count", RAT + """
 SELECT movie_id, count(*) AS n_ratings FROM b_ratings GROUP BY movie_id""")
 def q_rating_count(spark, sf):
-    return R.rating_count(B.ratings(spark, sf))
+    return R.rating_count(B.ratings(spark, sf, with_user=False))
 
 
 @register("movie_avg_rating", RAT + """
 SELECT r.movie_id, coalesce(m.title, 'Unknown') AS title, avg(r.rating) AS avg_rating,
-       count(*) AS n_ratings
+       count(r.rating) AS n_ratings
 FROM b_ratings r LEFT JOIN b_movies m ON r.movie_id = m.movie_id
 GROUP BY r.movie_id, m.title""")
 def q_movie_avg_rating(spark, sf):
-    return R.movie_avg_rating(B.ratings(spark, sf), B.movies(spark, sf))
+    return R.movie_avg_rating(B.ratings(spark, sf, with_user=False), B.movies(spark, sf))
 
 
 @register("best_movie", RAT + f"""
 SELECT s.movie_id, coalesce(m.title, 'Unknown Title') AS title, s.avg_rating, s.n_ratings
-FROM (SELECT movie_id, avg(rating) AS avg_rating, count(*) AS n_ratings
-      FROM b_ratings GROUP BY movie_id HAVING count(*) >= {BEST_MOVIE_SUPPORT}
+FROM (SELECT movie_id, avg(rating) AS avg_rating, count(rating) AS n_ratings
+      FROM b_ratings GROUP BY movie_id HAVING count(rating) >= {BEST_MOVIE_SUPPORT}
       ORDER BY avg_rating DESC, movie_id ASC LIMIT 1) s
 LEFT JOIN b_movies m ON s.movie_id = m.movie_id""")
 def q_best_movie(spark, sf):
-    return R.best_movie(B.ratings(spark, sf), B.movies(spark, sf), min_support=BEST_MOVIE_SUPPORT)
+    return R.best_movie(B.ratings(spark, sf, with_user=False), B.movies(spark, sf), min_support=BEST_MOVIE_SUPPORT)
 
 
 _GENRE_SQL = RAT + """,
 g AS (SELECT movie_id, unnest(string_split(genres, '|')) AS genre FROM b_movies)
-SELECT g.genre, avg(r.rating) AS avg_rating, count(*) AS n_ratings
+SELECT g.genre, avg(r.rating) AS avg_rating, count(r.rating) AS n_ratings
 FROM b_ratings r JOIN g ON r.movie_id = g.movie_id
-WHERE g.genre <> ''
 GROUP BY g.genre"""
 
 
 @register("genre_avg_rating", _GENRE_SQL)
 def q_genre_avg_rating(spark, sf):
-    return R.genre_avg_rating(B.ratings(spark, sf), B.movies(spark, sf))
+    return R.genre_avg_rating(B.ratings(spark, sf, with_user=False), B.movies(spark, sf))
 
 
 @register("genre_avg_rating_ranked", "SELECT genre, avg_rating FROM (" + _GENRE_SQL + ") t")
 def q_genre_avg_rating_ranked(spark, sf):
-    return R.genre_avg_rating_ranked(B.ratings(spark, sf), B.movies(spark, sf))
+    return R.genre_avg_rating_ranked(B.ratings(spark, sf, with_user=False), B.movies(spark, sf))
 
 
 @register("gender_avg_pivot", RAT + """
@@ -151,7 +160,7 @@ def q_age_avg_long(spark, sf):
 @register("occupation_stats", RAT + """
 SELECT u.occupation_id,
        coalesce(o.name, 'Unknown (' || CAST(u.occupation_id AS VARCHAR) || ')') AS occupation,
-       avg(r.rating) AS avg_rating, count(*) AS n_ratings
+       avg(r.rating) AS avg_rating, count(r.rating) AS n_ratings
 FROM b_ratings r JOIN b_users u ON r.user_id = u.user_id
 LEFT JOIN b_occ o ON u.occupation_id = o.occupation_id
 GROUP BY u.occupation_id, o.name""")
@@ -160,10 +169,10 @@ def q_occupation_stats(spark, sf):
 
 
 @register("yearly_stats", RAT + """
-SELECT CAST(year(ts) AS INTEGER) AS year, avg(rating) AS avg_rating, count(*) AS n_ratings
+SELECT CAST(year(ts) AS INTEGER) AS year, avg(rating) AS avg_rating, count(rating) AS n_ratings
 FROM b_ratings GROUP BY year(ts)""")
 def q_yearly_stats(spark, sf):
-    return R.yearly_stats(B.ratings(spark, sf))
+    return R.yearly_stats(B.ratings(spark, sf, with_user=False))
 
 
 @register("lookup_with_default", RAT + """
@@ -175,14 +184,12 @@ def q_lookup_with_default(spark, sf):
 
 
 @register("union_ratings", RAT + """
-SELECT user_id, movie_id, rating, ts FROM b_ratings WHERE user_id % 2 = 0
+SELECT user_id, movie_id, rating, ts FROM b_ratings
 UNION ALL
-SELECT user_id, movie_id, rating, ts FROM b_ratings WHERE user_id % 2 = 1""")
+SELECT user_id, movie_id, rating, ts FROM b_event_ratings""")
 def q_union_ratings(spark, sf):
-    # The two "rating files" of the reference: the whole rating table cut
-    # in two by user parity and put back together; every row is kept.
-    r = B.ratings(spark, sf)
-    return R.union_ratings(r.filter(F.col("user_id") % 2 == 0), r.filter(F.col("user_id") % 2 == 1))
+    # The two rating inputs of the reference.
+    return R.union_ratings(B.ratings(spark, sf), B.event_ratings(spark, sf))
 
 
 # ================================================================= text =====
@@ -221,7 +228,7 @@ SELECT token AS word, count(*) AS n FROM b_tokens
 WHERE token NOT IN {O.STOPWORDS_SQL}
 GROUP BY token HAVING count(*) > 500""")
 def q_word_frequency(spark, sf):
-    return T.word_frequency(B.reviews(spark, sf, with_sentiment=False), _STOP)
+    return T.word_frequency(B.reviews(spark, sf, with_sentiment=False), B.stopwords(spark))
 
 
 _JTRIM = "regexp_replace({c}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
@@ -234,7 +241,7 @@ UNION ALL
 SELECT 'CATEGORY' AS kind, v AS value, count(*) AS n
 FROM (SELECT {_JTRIM.format(c='category')} AS v FROM b_reviews) c WHERE length(v) > 0 GROUP BY v""")
 def q_aspect_category_counts(spark, sf):
-    return T.aspect_category_counts(B.reviews(spark, sf, with_sentiment=False))
+    return T.aspect_category_counts(B.reviews(spark, sf, with_sentiment=False, with_comment=False))
 
 
 _ASPECT_SENT = f"""
@@ -248,7 +255,7 @@ GROUP BY aspect"""
 
 @register("aspect_sentiment", O.with_(O.B_REVIEWS) + _ASPECT_SENT)
 def q_aspect_sentiment(spark, sf):
-    return T.aspect_sentiment(B.reviews(spark, sf))
+    return T.aspect_sentiment(B.reviews(spark, sf, with_comment=False))
 
 
 @register("aspect_extremes", O.with_(O.B_REVIEWS, "c AS (" + _ASPECT_SENT + ")") + """
@@ -258,7 +265,7 @@ UNION ALL
 SELECT * FROM (SELECT 'most_positive' AS kind, aspect, positive AS n FROM c
                ORDER BY positive DESC, aspect ASC LIMIT 1)""")
 def q_aspect_extremes(spark, sf):
-    return T.aspect_extremes(B.reviews(spark, sf))
+    return T.aspect_extremes(B.reviews(spark, sf, with_comment=False))
 
 
 @register("category_sentiment_top_words", REV + f""",
@@ -273,7 +280,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY category, sentiment ORDER BY n D
 SELECT category, sentiment, string_agg(word || '(' || CAST(n AS VARCHAR) || ')', ' ' ORDER BY rn) AS top_words
 FROM r WHERE rn <= 5 GROUP BY category, sentiment""")
 def q_category_sentiment_top_words(spark, sf):
-    return T.category_sentiment_top_words(B.reviews(spark, sf), _STOP)
+    return T.category_sentiment_top_words(
+        B.reviews(spark, sf, with_sentiment=False), B.stopwords(spark), sentiments=B.sentiments(spark, sf))
 
 
 @register("category_top_words", REV + f""",
@@ -286,7 +294,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, word A
 SELECT category, string_agg(word || '(' || CAST(n AS VARCHAR) || ')', ' ' ORDER BY rn) AS top_words
 FROM r WHERE rn <= 5 GROUP BY category""")
 def q_category_top_words(spark, sf):
-    return T.category_top_words(B.reviews(spark, sf, with_sentiment=False), _STOP)
+    return T.category_top_words(B.reviews(spark, sf, with_sentiment=False), B.stopwords(spark))
 
 
 # ============================================================= commerce =====
@@ -489,19 +497,16 @@ def q_results_csv_roundtrip(spark, sf):
 
 # ============================================================ streaming =====
 
-def _staged_events(spark, sf):
-    """The events table written as time-ordered chunks of files (the
-    stream's input, arriving in event order): two micro-batches of four
-    files each."""
-    path = scratch_path(spark, "events-stream-input")
-    events = B.table(spark, sf, "events")
-    SD.stage_in_order(events, path, "event_id", chunks=2, files_per_chunk=4)
-    return SD.read_stream(spark, path, events.schema, files_per_trigger=4)
+def _event_stream(spark, sf):
+    """The events table as a file stream."""
+    schema = B.table(spark, sf, "events").schema
+    # A pattern, as the source takes folders and patterns but no single file.
+    return SD.read_stream(spark, f"{sf}/events.parque[t]", schema)
 
 
 @register("stream_person_counts", _PERSON_COUNT_SQL)
 def q_stream_person_counts(spark, sf):
-    stream = B.detections_from_events(_staged_events(spark, sf))
+    stream = B.detections_from_events(_event_stream(spark, sf))
     out, ckpt = SD.new_paths(spark, "stream-person-counts")
     SD.run_to_end(SD.stream_person_counts(stream, out, ckpt))
     return spark.read.parquet(out).select("frame_id", "person_count")
@@ -510,7 +515,7 @@ def q_stream_person_counts(spark, sf):
 @register("stream_running_total", """
 SELECT user_id AS source, count(*) AS total FROM events GROUP BY user_id""")
 def q_stream_running_total(spark, sf):
-    stream = _staged_events(spark, sf).withColumnRenamed("user_id", "source")
+    stream = _event_stream(spark, sf).withColumnRenamed("user_id", "source")
     out, ckpt = SD.new_paths(spark, "stream-running-total")
     SD.run_to_end(SD.stream_running_total(stream, out, ckpt, key="source"))
     return SD.read_running_total(spark, out, key="source")
@@ -518,7 +523,7 @@ def q_stream_running_total(spark, sf):
 
 @register("stream_results_sink", _RESULTS_SQL)
 def q_stream_results_sink(spark, sf):
-    stream = B.detections_from_events(_staged_events(spark, sf))
+    stream = B.detections_from_events(_event_stream(spark, sf))
     out, ckpt = SD.new_paths(spark, "stream-results")
     SD.run_to_end(SD.stream_results_sink(stream, out, ckpt, RESULTS_ZONE, trigger=None))
     return read_results_csv(spark, out, parse_boxes=False).select(*RESULTS_SCHEMA.fieldNames())
@@ -560,7 +565,18 @@ def q_drop_header_lines(spark, sf):
     return SRC.parse_delimited(kept, _CUSTOMER_COLS, sep=";", types=_CUSTOMER_TYPES)
 
 
-@register("report_lines")
+# Java's %.2f rounds half up on the decimal digits of the number.
+_F2 = "round({x}::VARCHAR::DECIMAL(38, 20), 2)::DECIMAL(38, 2)::VARCHAR"
+
+
+@register("report_lines", RAT + f""",
+s AS (SELECT r.movie_id, coalesce(m.title, 'Unknown ID') AS title, u.gender,
+       CASE u.gender WHEN 'M' THEN 'Nam (M)' WHEN 'F' THEN 'Nu (F)' ELSE u.gender END AS label, avg(r.rating) AS a
+  FROM b_ratings r JOIN b_users u ON r.user_id = u.user_id LEFT JOIN b_movies m ON r.movie_id = m.movie_id
+  GROUP BY r.movie_id, m.title, u.gender ORDER BY r.movie_id, u.gender LIMIT 30),
+c AS (SELECT *, CASE WHEN length(title) > 38 THEN substr(title, 1, 35) || '...' ELSE title END AS t FROM s)
+SELECT rpad(t, greatest(40, length(t))::INT, ' ') || ' | ' || rpad(label, greatest(10, length(label))::INT, ' ') || ' | '
+       || {_F2.format(x='a')} AS line FROM c""")
 def q_report_lines(spark, sf):
     stats = R.gender_avg_long(B.ratings(spark, sf), B.users(spark, sf), B.movies(spark, sf))
     return report_lines(
@@ -569,6 +585,100 @@ def q_report_lines(spark, sf):
     )
 
 
+@register("tsv_roundtrip", """
+SELECT CASE WHEN c_custkey % 3 = 0 THEN '#' || c_custkey ELSE ' ' || c_custkey END AS key,
+       CASE WHEN c_custkey % 5 = 0 THEN '' WHEN c_custkey % 5 = 1 THEN '  ' || c_name || '  '
+            WHEN c_custkey % 5 = 2 THEN c_name || chr(9) || '"' ELSE c_name END AS value FROM customer""")
+def q_tsv_roundtrip(spark, sf):
+    c, k = B.table(spark, sf, "customer"), F.col("c_custkey")
+    value = (
+        F.when(k % 5 == 0, "").when(k % 5 == 1, F.concat(F.lit("  "), "c_name", F.lit("  ")))
+        .when(k % 5 == 2, F.concat("c_name", F.lit('\t"'))).otherwise(F.col("c_name"))
+    )
+    key = F.concat(F.when(k % 3 == 0, "#").otherwise(" "), k.cast("string"))
+    path = scratch_path(spark, "tsv")
+    write_tsv(c.select(key.alias("key"), value.alias("value")), path, sort_by=["key"])
+    return read_tsv(spark, path)
+
+
+@register("semicolon_csv_by_name", O.with_(O.B_ORDERS) + """
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_trx_id AS VARCHAR) AS customer_trx_id,
+       order_purchase_timestamp, order_delivered_carrier_date FROM b_orders""")
+def q_semicolon_csv_by_name(spark, sf):
+    """Orders written as the shop exports them, columns in another order and
+    one that is not asked for, read back by their header names."""
+    path = scratch_path(spark, "orders-csv")
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    B.orders(spark, sf).select(
+        text("order_delivered_carrier_date").alias("Order_Delivered_Carrier_Date"),
+        F.lit("a;b").alias("Remark"),
+        F.col("customer_trx_id").alias("Customer_Trx_ID"),
+        text("order_purchase_timestamp").alias("Order_Purchase_Timestamp"),
+        F.col("order_id").alias("Order_ID"),
+    ).write.option("sep", ";").option("header", True).option("escape", '"').csv(path)
+    return SRC.read_semicolon_csv(spark, path, ECOMMERCE_SCHEMAS["orders"][1])
+
+
+def _write_lines(df, name, *cells, sep):
+    path = scratch_path(df.sparkSession, name)
+    df.select(F.concat_ws(sep, *cells)).write.text(path)
+    return path
+
+
+@register("rating_files_report", RAT + f""",
+s AS (SELECT movie_id, sum(CAST(rating AS DECIMAL(18,6)))::DOUBLE / count(*) AS a, count(*) AS n
+      FROM (SELECT movie_id, rating FROM b_ratings UNION ALL SELECT movie_id, rating FROM b_event_ratings) GROUP BY movie_id)
+SELECT coalesce(trim(m.title), 'Unknown') AS key,
+       'AverageRating: ' || {_F2.format(x='s.a')} || ' (TotalRatings: ' || s.n || ')' AS value
+FROM s LEFT JOIN b_movies m ON s.movie_id = m.movie_id""")
+def q_rating_files_report(spark, sf):
+    """Movies and two rating inputs as the reference's text files, and the
+    movie report through its text output."""
+    m, r, e = B.movies(spark, sf), B.ratings(spark, sf), B.event_ratings(spark, sf)
+    movies = _write_lines(m, "movies-txt", "movie_id", "title", F.concat("genres", F.lit(",more")), sep=",")
+    row = ["user_id", "movie_id", F.col("rating").cast("string"), F.unix_seconds(F.to_timestamp("ts"))]
+    ratings = [_write_lines(x, "ratings-txt", *row, sep=",") for x in (r, e)]
+    stats = R.movie_avg_rating(DS.read_ratings(spark, ratings), DS.read_movies(spark, movies))
+    path = scratch_path(spark, "movie-report")
+    write_tsv(FM.movie_lines(stats.orderBy("movie_id")), path)
+    return read_tsv(spark, path)
+
+
+@register("review_files_sentiment", """
+SELECT o_orderstatus AS aspect, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS positive,
+       count(*) FILTER (WHERE o_orderkey % 3 = 1) AS negative
+FROM orders WHERE o_orderkey % 3 IN (0, 1) GROUP BY o_orderstatus""")
+def q_review_files_sentiment(spark, sf):
+    """Orders as ``;`` review lines, a third of them without a sentiment."""
+    k = F.col("o_orderkey")
+    sentiment = F.when(k % 3 == 0, " Positive ").when(k % 3 == 1, "NEGATIVE").otherwise("")
+    path = _write_lines(
+        B.table(spark, sf, "orders"), "reviews-txt", k, "o_orderpriority", "o_orderstatus", F.lit("ROOMS"), sentiment, sep=";")
+    return T.aspect_sentiment(DS.read_reviews(spark, path, DS.REVIEW_MIN_FIELDS["sentiment"]))
+
+
+@register("parse_tolerant", """
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS c_nationkey FROM customer""")
+def q_parse_tolerant(spark, sf):
+    c = B.table(spark, sf, "customer")
+    number = F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey").cast("string")).otherwise(F.col("c_name"))
+    lines = c.select(F.concat_ws(",", "c_custkey", number).alias("value"))
+    return SRC.parse_delimited(lines, ["c_custkey", "c_nationkey"], types=_CUSTOMER_TYPES, strict=False)
+
+
+@register("stream_two_outputs", _PERSON_COUNT_SQL)
+def q_stream_two_outputs(spark, sf):
+    """The replies of the stream that also stores its results, for the frames
+    that both outputs hold."""
+    stream = B.detections_from_events(_event_stream(spark, sf))
+    out, ckpt = SD.new_paths(spark, "stream-two-outputs")
+    replies = scratch_path(spark, "stream-replies")
+    SD.run_to_end(SD.stream_results_sink(stream, out, ckpt, RESULTS_ZONE, replies=replies, trigger=None))
+    sent = spark.read.schema("frame_id long, person_count int").json(replies).select("frame_id", "person_count")
+    stored = read_results_csv(spark, out, parse_boxes=False).select("frame_id", "person_count")
+    return stored.join(sent, ["frame_id", "person_count"])
+
+
 @register("stream_score_frames", """
 SELECT doc_id AS frame_id, CAST(strlen(text) % 5 AS INTEGER) AS person_count FROM documents""")
 def q_stream_score_frames(spark, sf):
@@ -579,19 +689,26 @@ def q_stream_score_frames(spark, sf):
         # documents carry no capture time; the field is kept for the wire format
         "frame_id", F.lit(0.0).alias("timestamp"), S.b64encode("image").alias("image_b64")
     )
-    frames.repartitionByRange(4, "frame_id").write.json(path)
+    frames.write.json(path)
     out, ckpt = SD.new_paths(spark, "stream-score-frames")
     SD.run_to_end(SD.stream_score_frames(SD.read_frame_stream(spark, path), D.byte_length_scorer, out, ckpt))
     return spark.read.parquet(out).select("frame_id", "person_count")
 
 
-@register("stream_flush_batches", ORACLE["flush_batches"])
+@register("stream_flush_batches", DET + f""",
+t AS (SELECT source, frame_id, ts,
+             CAST(floor((epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events)) / {FLUSH_TICK_SECONDS * 1_000_000}) AS BIGINT) AS tick
+      FROM b_frames),
+r AS (SELECT *, row_number() OVER (PARTITION BY source, tick ORDER BY ts, frame_id) AS rn FROM t)
+SELECT source, frame_id, tick, CAST((rn - 1) // 5 AS BIGINT) AS batch, CAST((rn - 1) % 5 AS INTEGER) AS row_in_batch
+FROM r""")
 def q_stream_flush_batches(spark, sf):
-    """The flush rule as a stateful stream over the events (arrival order =
-    time order); must equal the batch closed form."""
+    """The flush rule of every source as a stateful stream over the events
+    (arrival order = time order); must equal the batch closed form."""
     t0 = B.table(spark, sf, "events").agg(F.unix_micros(F.to_timestamp(F.min("ts")))).first()[0]
-    stream = B.detections_from_events(_staged_events(spark, sf))
+    stream = B.detections_from_events(_event_stream(spark, sf))
     out, ckpt = SD.new_paths(spark, "stream-flush")
     SD.run_to_end(SD.stream_flush_batches(
-        stream, t0, out, ckpt, interval_seconds=FLUSH_TICK_SECONDS, max_rows=D.FLUSH_ROWS))
-    return spark.read.parquet(out).select("frame_id", "tick", "batch", "row_in_batch")
+        stream, t0, out, ckpt, interval_seconds=FLUSH_TICK_SECONDS, max_rows=D.FLUSH_ROWS, source_cols=["source"],
+        ticks_per_key=4096))
+    return spark.read.parquet(out).select("source", "frame_id", "tick", "batch", "row_in_batch")

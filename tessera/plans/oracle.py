@@ -12,19 +12,22 @@ B_RATINGS = """b_ratings AS (
   SELECT o_custkey AS user_id, l_partkey AS movie_id, l_quantity AS rating, l_shipdate AS ts
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
+B_EVENT_RATINGS = """b_event_ratings AS (
+  SELECT user_id, event_id AS movie_id, value AS rating, ts FROM events)"""
+
 B_USERS = """b_users AS (
   SELECT c_custkey AS user_id,
          CASE c_mktsegment WHEN 'BUILDING' THEN 'M' WHEN 'MACHINERY' THEN 'm'
               WHEN 'HOUSEHOLD' THEN 'F' ELSE c_mktsegment END AS gender,
          10 + c_custkey % 60 AS age, c_nationkey AS occupation_id
-  FROM customer WHERE c_custkey % 11 <> 0)"""
+  FROM customer)"""
 
 B_MOVIES = """b_movies AS (
   SELECT p_partkey AS movie_id, p_name AS title, concat(p_type, '|', p_brand) AS genres
-  FROM part WHERE p_partkey % 10 <> 0)"""
+  FROM part)"""
 
 B_OCC = """b_occ AS (
-  SELECT n_nationkey AS occupation_id, n_name AS name FROM nation WHERE n_nationkey <> 3)"""
+  SELECT n_nationkey AS occupation_id, n_name AS name FROM nation)"""
 
 B_REVIEWS = """b_reviews AS (
   SELECT d.doc_id AS id, d.text AS comment, d.source AS aspect, d.lang AS category,

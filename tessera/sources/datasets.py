@@ -7,6 +7,10 @@ operators expect. Ids stay strings (the reference keys on the text), numbers
 are cast strictly: a bad number fails the job, as ``parseInt`` did, unless
 ``strict=False`` turns it into null.
 
+Movies, users and occupations are lookup tables: of several lines with one
+key the last counts, as in the reference's maps, so that a join with them
+never multiplies rows.
+
 Headers are dropped only when given (``header=`` the exact line); every
 copy of that line is removed, as the reference's first-line filter did.
 """
@@ -18,7 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tessera.sources.delimited import drop_header_lines, parse_delimited, read_lines, read_semicolon_csv
+from tessera.operators.joins import unique_by_key
+from tessera.sources.delimited import LINE, drop_header_lines, parse_delimited, read_lines, read_semicolon_csv
 
 # ---- fixed values: field counts each reference job requires of a line ------
 REVIEW_MIN_FIELDS = {
@@ -30,11 +35,17 @@ REVIEW_MIN_FIELDS = {
 # -----------------------------------------------------------------------------
 
 
-def _lines(spark: SparkSession, paths: str | Sequence[str], header: str | None) -> DataFrame:
-    lines = read_lines(spark, paths)
+def _lines(spark: SparkSession, paths: str | Sequence[str], header: str | None, numbered: bool = False) -> DataFrame:
+    lines = read_lines(spark, paths, numbered)
     return drop_header_lines(lines, header) if header is not None else lines
 
 
+def _lookup(lines: DataFrame, columns: list[str], **parse) -> DataFrame:
+    """Parsed lines, the last one for each value of the first column."""
+    rows = parse_delimited(lines, columns, sep=",", keep=[LINE], **parse)
+    return unique_by_key(rows, columns[0], LINE).select(*columns)
+
+
 def read_movies(spark: SparkSession, paths: str | Sequence[str], header: str | None = None,
                 limit_split: bool = True, min_fields: int = 2) -> DataFrame:
     """``movie_id, title, genres`` from ``id,title,genres`` lines.
@@ -46,9 +57,8 @@ def read_movies(spark: SparkSession, paths: str | Sequence[str], header: str | N
     Lines with fewer than ``min_fields`` fields are skipped; a missing
     field is null.
     """
-    lines = _lines(spark, paths, header)
-    limit = 3 if limit_split else -1
-    return parse_delimited(lines, ["movie_id", "title", "genres"], sep=",", min_fields=min_fields, limit=limit)
+    lines = _lines(spark, paths, header, numbered=True)
+    return _lookup(lines, ["movie_id", "title", "genres"], min_fields=min_fields, limit=3 if limit_split else -1)
 
 
 def read_ratings(spark: SparkSession, paths: str | Sequence[str], header: str | None = None,
@@ -65,16 +75,14 @@ def read_ratings(spark: SparkSession, paths: str | Sequence[str], header: str |
 def read_users(spark: SparkSession, paths: str | Sequence[str], header: str | None = None,
                strict: bool = True) -> DataFrame:
     """``user_id, gender, age, occupation_id`` from comma lines."""
-    lines = _lines(spark, paths, header)
-    return parse_delimited(
-        lines, ["user_id", "gender", "age", "occupation_id"], sep=",", min_fields=3,
-        types={"age": T.IntegerType()}, strict=strict,
-    )
+    lines = _lines(spark, paths, header, numbered=True)
+    columns = ["user_id", "gender", "age", "occupation_id"]
+    return _lookup(lines, columns, min_fields=3, types={"age": T.IntegerType()}, strict=strict)
 
 
 def read_occupations(spark: SparkSession, paths: str | Sequence[str], header: str | None = None) -> DataFrame:
     """``occupation_id, name`` from ``id,name`` lines."""
-    return parse_delimited(_lines(spark, paths, header), ["occupation_id", "name"], sep=",", min_fields=2)
+    return _lookup(_lines(spark, paths, header, numbered=True), ["occupation_id", "name"], min_fields=2)
 
 
 def read_reviews(spark: SparkSession, paths: str | Sequence[str], min_fields: int = 2,
@@ -106,8 +114,8 @@ ECOMMERCE_SCHEMAS = {
 
 
 def read_ecommerce(spark: SparkSession, base_path: str) -> dict[str, DataFrame]:
-    """The five e-commerce tables (``;`` CSV with a header) with explicit
-    schemas -- no inference pass over the data. Keys: ``customers, items,
+    """The five e-commerce tables (``;`` CSV with a header), columns by their
+    header names with explicit types -- no inference pass over the data. Keys: ``customers, items,
     reviews, orders, products``."""
     base = base_path.rstrip("/")
     return {

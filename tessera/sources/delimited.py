@@ -19,10 +19,18 @@ from pyspark.sql import types as T
 from tessera.functions.text import java_split, java_trim
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+LINE = "__line"
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str], numbered: bool = False) -> DataFrame:
     """All lines of one or several files/directories as one ``value``
-    column (several paths are one table, as ``textFile("a,b")``)."""
-    return spark.read.text(list(paths) if not isinstance(paths, str) else paths)
+    column (several paths are one table, as ``textFile("a,b")``). With
+    ``numbered``, column ``LINE`` puts them in file order."""
+    lines = spark.read.text(list(paths) if not isinstance(paths, str) else paths)
+    if not numbered:
+        return lines
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    return lines.select("value", place.alias(LINE))
 
 
 def drop_header_lines(lines: DataFrame, header: str, col: str = "value") -> DataFrame:
@@ -41,6 +49,7 @@ def parse_delimited(
     types: dict[str, T.DataType | str] | None = None,
     strict: bool = True,
     col: str = "value",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Split each line on ``sep`` and name the first ``len(columns)`` fields.
 
@@ -49,12 +58,13 @@ def parse_delimited(
       kept when ``limit`` > 0);
     * every field is trimmed like ``String.trim()``;
     * ``types`` casts named columns; ``strict=True`` fails the job on a bad
-      number (ANSI cast), ``strict=False`` turns it into null.
+      number (ANSI cast), ``strict=False`` turns it into null;
+    * columns of ``lines`` named in ``keep`` pass through.
     """
     need = len(columns) if min_fields is None else min_fields
     parts = java_split(col, sep, limit)
-    arr = lines.select(parts.alias("_f")).filter(F.size("_f") >= need)
-    out = []
+    arr = lines.select(*keep, parts.alias("_f")).filter(F.size("_f") >= need)
+    out = [F.col(c) for c in keep]
     for i, name in enumerate(columns):
         field = java_trim(F.get(F.col("_f"), i))
         if types and name in types:
@@ -67,9 +77,7 @@ def parse_delimited(
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """A stop-word file (one entry per line, UTF-8) as a one-column
     DataFrame ``word``: trimmed, lower-cased, blanks and repeats dropped.
-
-    The list is small; for the in-task check collect it with
-    :func:`stopword_list`."""
+    The text operators take it as it is."""
     lines = spark.read.option("encoding", "UTF-8").text(path)
     return (
         lines.select(F.lower(java_trim("value")).alias("word"))
@@ -78,16 +86,15 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def stopword_list(stopwords: DataFrame, max_words: int = 10_000) -> list[str]:
-    """Bring a stop-word table to the driver, refusing more than
-    ``max_words`` entries (the check that keeps the literal array small)."""
-    rows = stopwords.limit(max_words + 1).collect()
-    if len(rows) > max_words:
-        raise ValueError(f"stop-word list has more than {max_words} entries")
-    return sorted(r[0] for r in rows)
-
-
 def read_semicolon_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """``;``-separated CSV with a header line, read with an explicit schema
-    (no inference pass over the data)."""
-    return spark.read.csv(path, sep=";", header=True, schema=schema, escape='"')
+    """The columns of ``schema`` from a ``;``-separated CSV with a header
+    line. Columns are found by their header names (in any case and order,
+    others are ignored) and cast as the schema says; a missing one is an
+    error. No inference pass over the data."""
+    raw = spark.read.csv(path, sep=";", header=True, escape='"')
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    at = {c.strip().lower(): c for c in raw.columns}
+    missing = [f.name for f in wanted if f.name.lower() not in at]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {raw.columns}")
+    return raw.select(*[raw["`" + at[f.name.lower()] + "`"].cast(f.dataType).alias(f.name) for f in wanted])

@@ -24,7 +24,8 @@ RESULTS_SCHEMA = T.StructType(
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", sort_by: Sequence[str] | None = None) -> None:
-    """Key TAB value text output (one part file per task), no header.
+    """Key TAB value text lines from the first two columns, just as they are
+    (one part file per task); a null is an empty field.
 
     ``sort_by`` gives the MapReduce output order: a range-partitioned sort,
     so part files are in key order (binary UTF-8 order, as Hadoop's Text
@@ -32,7 +33,14 @@ def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", sort_by: Sequen
     """
     if sort_by:
         df = df.orderBy(*sort_by)
-    df.write.mode(mode).option("sep", "\t").option("header", False).option("quote", "").csv(path)
+    key, value = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns[:2])
+    df.select(F.concat(key, F.lit("\t"), value)).write.mode(mode).text(path)
+
+
+def read_tsv(spark: SparkSession, path: str) -> DataFrame:
+    """``key, value`` of such lines; the key ends at the first tab."""
+    parts = F.split("value", "\t", 2)
+    return spark.read.text(path).select(parts[0].alias("key"), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("value"))
 
 
 def write_results_csv(df: DataFrame, path: str, mode: str = "append") -> None:

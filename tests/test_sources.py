@@ -3,7 +3,8 @@
 import pytest
 from pyspark.errors import PySparkException
 
-from tessera.sources.delimited import drop_header_lines, parse_delimited, read_stopwords, stopword_list
+from tessera.sources.delimited import drop_header_lines, parse_delimited, read_semicolon_csv, read_stopwords
+from tessera.sources.sinks import read_tsv, write_tsv
 from tests.conftest import rows
 
 
@@ -57,9 +58,7 @@ def test_read_stopwords(spark, tmp_path):
     p = tmp_path / "stop.txt"
     p.write_text("Và\n  của \n\nvà\nbởi vì\n", encoding="utf-8")
     sw = read_stopwords(spark, str(p))
-    assert stopword_list(sw) == ["bởi vì", "của", "và"]
-    with pytest.raises(ValueError):
-        stopword_list(sw, max_words=2)
+    assert rows(sw) == [("bởi vì",), ("của",), ("và",)]
 
 
 def test_multi_path_scan_is_one_table(spark, tmp_path):
@@ -90,3 +89,19 @@ def test_tsv_sink_key_tab_value(spark, tmp_path):
     write_tsv(df.coalesce(1), str(tmp_path / "out"))
     text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
     assert text == "Toy Story (1995)\tAverageRating: 4.25 (TotalRatings: 2)\n"
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('note;PRICE;Id\n"x;y";10.5;007\n;;8\n')
+    got = rows(read_semicolon_csv(spark, str(tmp_path / "a.csv"), "id string, price double"))
+    assert got == [("007", 10.5), ("8", None)]
+    with pytest.raises(ValueError, match="no column country"):
+        read_semicolon_csv(spark, str(tmp_path / "a.csv"), "id string, country string")
+
+
+def test_tsv_is_written_as_it_is(spark, tmp_path):
+    data = [("# key", "  blanks  "), ("b", ""), ("c", 'a\t"b"'), (" d", "#x"), ("e", None)]
+    write_tsv(spark.createDataFrame(data, "key string, value string"), str(tmp_path / "out"), sort_by=["key"])
+    assert rows(read_tsv(spark, str(tmp_path / "out"))) == sorted((k, v or "") for k, v in data)
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*")))
+    assert text == "".join(f"{k}\t{v or ''}\n" for k, v in sorted(data))
