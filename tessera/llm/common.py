@@ -1,5 +1,5 @@
-"""Helpers shared by the operators: frozen tables, exact ranks inside hot
-groups, and lookups that spread hot keys.
+"""Helpers shared by the operators: frozen tables, and lookups that spread
+hot keys.
 
 Internal columns start with ``__t_``; operators select the input columns they
 need before adding them, so other columns of the input never clash.
@@ -7,11 +7,10 @@ need before adding them, so other columns of the input never clash.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.sequence import columns, same
 from tessera.session import scratch_path
 
 #: A key is hot when it holds more than 1 / HOT_SHARE of all rows, so there
@@ -24,11 +23,6 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
-    """All columns of ``df`` but some, whatever characters their names have."""
-    return [df["`" + c.replace("`", "``") + "`"] for c in df.columns if c.lower() not in without]
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it
     back: the lineage ends here, and a lost executor costs no recomputation
@@ -51,33 +45,6 @@ def unit(seed, *cols: Column) -> Column:
     return F.shiftrightunsigned(h, 11) * F.lit(2.0**-53)
 
 
-def same(pairs) -> Column:
-    """Null-safe equality of all pairs of columns."""
-    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs])
-
-
-def rank_in_groups(df: DataFrame, groups: list[str], bucket: str, order: list, out: str) -> DataFrame:
-    """Position from 0 of each row in its group, the group being ordered by
-    (``bucket``, ``order``). No task holds a whole group: rows are numbered
-    inside (group, bucket) and shifted by the counts of the buckets before.
-    ``df`` is read twice, so it should be a frozen table. Pick ``bucket`` so
-    that its parts of a group fit a task.
-    """
-    names = [*groups, bucket]
-    before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("__t_n"))
-        .withColumn("__t_off", F.coalesce(F.sum("__t_n").over(before), F.lit(0)))
-        .select(*[F.col(c).alias(f"__t_k{i}") for i, c in enumerate(names)], "__t_off")
-    )
-    ranked = df.withColumn("__t_rn", F.row_number().over(Window.partitionBy(*names).orderBy(*order)))
-    on = same((ranked[c], offsets[f"__t_k{i}"]) for i, c in enumerate(names))
-    return ranked.join(offsets, on).select(
-        *columns(ranked, ("__t_rn",)), (F.col("__t_off") + F.col("__t_rn") - 1).alias(out)
-    )
-
-
 def skew_lookup(rows: DataFrame, table: DataFrame, keys: list[str], n: str, values: list[str], how: str = "left") -> DataFrame:
     """Join ``rows`` with the frozen ``table`` (unique ``keys``; ``n`` is the
     number of rows with that key), adding ``values``.

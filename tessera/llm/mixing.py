@@ -26,7 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import columns, materialize, skew_lookup
+from tessera.llm.common import materialize, skew_lookup
+from tessera.operators.sequence import columns
 
 PART = 16.0
 LONGEST = 80  # P(X > 80) with mean 16 is below 1e-27

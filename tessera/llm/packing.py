@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ROW, freeze, rank_in_groups, shuffle_width
+from tessera.llm.common import ROW, freeze, shuffle_width
+from tessera.operators.sequence import rank_in_groups
 
 CAPACITY = 1024
 END_ID = 2

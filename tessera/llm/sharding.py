@@ -28,7 +28,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ROW, columns, freeze, materialize, rank_in_groups, shuffle_width, unit
+from tessera.llm.common import ROW, freeze, materialize, shuffle_width, unit
+from tessera.operators.sequence import columns, rank_in_groups
 
 SHARDS = 16
 SEED = 5
