@@ -4,8 +4,11 @@ A text is the mean of the embeddings of the hashed byte n-grams of its words
 (runs of letters, lower-cased, with their ends marked); a linear softmax over
 that mean gives the language. Embeddings and softmax are trained together by
 stochastic gradient descent in numpy, on a bounded sample of labelled rows
-(``SAMPLE_PER_LANGUAGE`` rows of each language with the smallest hashed ids,
-none longer than ``SAMPLE_CHARS`` characters). One in five sampled rows is
+(``SAMPLE_PER_LANGUAGE`` rows of each of the ``LANGUAGES`` most frequent
+languages, those with the smallest hashes, none longer than ``SAMPLE_CHARS``
+characters). Languages are counted first, and only rows whose hash is small
+enough for their language's count are looked at further, so the sample is no
+larger to move in a large table than in a small one. One in five sampled rows is
 kept for calibration: a temperature that makes the scores honest, and the
 score below which a prediction is rejected, set so that at most ``MISSED`` of
 correct predictions fall below it (and never above one half).
@@ -31,11 +34,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import unit
+
 BUCKETS = 1 << 16
 WIDTH = 16
 NGRAMS = (1, 2, 3, 4)
 SAMPLE_PER_LANGUAGE = 800
 SAMPLE_CHARS = 20_000
+LANGUAGES = 1000
 EPOCHS = 4
 RATE = 0.5
 #: Each n-gram has a small share of a text, so its step is longer by this factor.
@@ -198,8 +204,14 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, chars: int = S
     usable = docs.select("doc_id", "text", "lang").filter(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out() & (F.char_length("text") <= chars) & F.col("text").rlike("\\p{L}")
     )
-    order = F.xxhash64("doc_id", "text")
-    sample = usable.withColumn("__t_n", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id", "text")))
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    if not counts:
+        return train([])
+    # Twice as many as needed may pass, so that enough do.
+    shares = docs.sparkSession.createDataFrame([(r[0], 2.0 * per_language / r[1]) for r in counts], "__t_lang string, __t_share double")
+    drawn = usable.withColumn("__t_u", unit(1, F.col("doc_id"), F.col("text")))
+    drawn = drawn.join(F.broadcast(shares), F.col("lang") == F.col("__t_lang")).filter(F.col("__t_u") < F.col("__t_share"))
+    sample = drawn.withColumn("__t_n", F.row_number().over(Window.partitionBy("lang").orderBy("__t_u", "doc_id", "text")))
     rows = sample.filter(F.col("__t_n") <= per_language).orderBy("__t_n", "lang").select("text", "lang").collect()
     return train([(r[0], r[1]) for r in rows])
 

@@ -17,7 +17,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import java_trim, normalise_stopwords, tokens, without_stopwords
+from tessera.functions import text
+from tessera.functions.text import java_trim, normalise_stopwords, tokens
 from tessera.operators.topk import ranked_text, top_k_per_group
 
 # ---- fixed values of the reference jobs -----------------------------------
@@ -62,7 +63,7 @@ def clean_text(reviews: DataFrame, stopwords: Stopwords) -> DataFrame:
         kept = each.join(stop, "word", "left_anti").groupBy("id", "row")
         parts = F.array_sort(F.collect_list(F.struct("pos", "word")))  # the tokens of one review
         return kept.agg(parts.alias("t")).select("id", F.array_join("t.word", " ").alias("clean"))
-    cleaned = F.array_join(without_stopwords(tokens("comment"), stopwords), " ")
+    cleaned = text.clean_text("comment", stopwords)
     # The emptiness test sits inside the generator: a plain filter on
     # ``clean`` would be pushed below the projection, re-deriving the whole
     # cleaned text (tokenize, filter, join) a second time in the filter.

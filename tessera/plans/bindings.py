@@ -12,6 +12,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.scalars import json_field
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -197,7 +199,7 @@ def detections_from_events(e: DataFrame) -> DataFrame:
         F.col("ts").alias("ts"),
         F.col("user_id").alias("source"),
         F.col("value").alias("process_ms"),
-        F.get_json_object("props", "$.k").cast("int").alias("_k"),
+        json_field("props", "$.k").cast("int").alias("_k"),
     )
     return with_k.select("frame_id", "ts", "source", "process_ms", _synthetic_boxes(F.col("_k")).alias("raw_boxes"))
 
