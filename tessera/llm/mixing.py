@@ -77,14 +77,15 @@ def draw(docs: DataFrame, rate: DataFrame, seed: int = SEED) -> DataFrame:
         F.col("source").alias("__t_source"), "n", F.struct("rate", parts.alias("parts"), _distribution(F.col("rate") / parts).alias("below")).alias("__t_mix")
     )
     known = materialize(known, "rates")
+    # What tells a row from others; its text counts, as ids may repeat or be
+    # null. Below the join, so that it is computed once a row.
+    me = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))).cast("binary"))
+    docs = docs.withColumn("__t_me", me)
     if known.count() <= BROADCAST_SOURCES:
         joined = docs.join(F.broadcast(known.drop("n")), docs["source"].eqNullSafe(known["__t_source"])).drop("__t_source")
     else:
         tagged = docs.withColumn("__t_source", F.col("source"))
         joined = skew_lookup(tagged, known, ["__t_source"], "n", ["__t_mix"]).drop("__t_source")
-    # What tells a row from others; its text counts, as ids may repeat or be null.
-    me = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))).cast("binary"))
-    joined = joined.withColumn("__t_me", me)
 
     def once(part: Column) -> Column:
         u = hashed(seed, F.col("__t_me"), part.cast("string")) / F.lit(2.0**52)
