@@ -11,7 +11,7 @@ enough for their language's count are looked at further, so the sample is no
 larger to move in a large table than in a small one. One in five sampled rows is
 kept for calibration: a temperature that makes the scores honest, and the
 score below which a prediction is rejected, set so that at most ``MISSED`` of
-correct predictions fall below it (and never above one half).
+correct predictions fall below it (and never above ``SURE``).
 
 Because the softmax is linear, every n-gram has fixed contributions to the
 scores; prediction adds these up over whole texts, each distinct word of a
@@ -47,15 +47,18 @@ RATE = 0.5
 #: Each n-gram has a small share of a text, so its step is longer by this factor.
 GRAM_RATE = 20.0
 MISSED = 0.001
+SURE = 0.4
 UNKNOWN = "und"
 #: Distinct words whose contributions a Python worker remembers at most.
-WORD_MEMORY = 400_000
+WORD_MEMORY = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    found = _WORD.findall(text.lower()) if text else []
+    # The pattern also takes numerals such as a superscript two.
+    return found if any(c.isalpha() for w in found for c in w) else []
 
 
 def word_grams(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +193,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel:
     p = _softmax(scores / temperature)
     right = p.argmax(axis=1) == target[check]
     low = float(np.quantile(p.max(axis=1)[right], MISSED)) if right.any() else 0.0
-    return LanguageModel(languages, weights, bias, temperature, min(low, 0.5))
+    return LanguageModel(languages, weights, bias, temperature, min(low, SURE))
 
 
 def held_out(doc_id: Column | str = "doc_id") -> Column:
