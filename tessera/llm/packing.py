@@ -42,7 +42,7 @@ CAPACITY = 1024
 END_ID = 2
 #: Distinct chunks whose ids a Python worker remembers, in two generations: when
 #: the young half is full it becomes the old one, and the old one is forgotten.
-CHUNK_MEMORY = 1_000_000
+CHUNK_MEMORY = 480_000
 
 # A byte-level BPE never merges over a single space or line feed that stands
 # between two visible characters, nor between a letter and a closing mark, so
@@ -95,7 +95,8 @@ class ChunkTokenizer:
     ``" "`` has the ids with that space, ``""`` those at the start of a line.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = CHUNK_MEMORY):
+        self.memory = memory
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
@@ -138,6 +139,10 @@ class ChunkTokenizer:
         mark = {m: self._ids(m).tobytes() for m in _MARKS}
         known.update((c, known[c[:-1]] + mark[c[-1]]) for c in marked)
 
+    def rest(self) -> None:
+        """Give up the old generation; between tasks other work needs the memory."""
+        self._old = {"": {}, " ": {}}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = []
         for text in texts:
@@ -151,7 +156,7 @@ class ChunkTokenizer:
                 seen[" "].update(words[1:])
         for lead, chunks in seen.items():
             fresh = chunks.difference(self._known[lead])
-            if len(self._known[lead]) + len(fresh) > CHUNK_MEMORY // 2:
+            if len(self._known[lead]) + len(fresh) > self.memory // 2:
                 self._old[lead], self._known[lead] = self._known[lead], {}
                 fresh = chunks
             self._learn(fresh, lead)
@@ -159,10 +164,11 @@ class ChunkTokenizer:
         return [line_feed.join(bare[w[0]] + b"".join(map(spaced, w[1:])) for w in lines) for lines in cut]
 
 
-def tokenizer(path: str) -> ChunkTokenizer:
+def tokenizer(path: str, memory: int = CHUNK_MEMORY) -> ChunkTokenizer:
     """One tokenizer for each Python worker and file."""
     if path not in _READY:
         _READY[path] = ChunkTokenizer(path)
+    _READY[path].memory = memory
     return _READY[path]
 
 
@@ -183,16 +189,18 @@ def tokenize_pieces(
     with_ids: bool = True,
     key: str = "doc_id",
     text: str = "text",
+    chunk_memory: int = CHUNK_MEMORY,
 ) -> DataFrame:
     """One row for each piece: key, piece, start, length, ids_crc32 and, with
-    ``with_ids``, the ids."""
+    ``with_ids``, the ids. ``chunk_memory`` is the number of chunks that a
+    Python worker may remember, a matter of time and memory only."""
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long"
     schema += ", ids array<int>" if with_ids else ""
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(tokenizer_path)
+        tok = tokenizer(tokenizer_path, chunk_memory)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
@@ -212,6 +220,7 @@ def tokenize_pieces(
                     arrays.append(pa.ListArray.from_arrays(pa.array(ends), flat))
                 names = [key, "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays(arrays, names=names[: len(arrays)])
+        tok.rest()
 
     return docs.select(key, text).mapInArrow(run, schema)
 
@@ -300,10 +309,18 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return frozen.join(placed, F.col(ROW) == F.col("__t_placed")).drop(ROW, "__t_placed")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+def pack_documents(
+    docs: DataFrame,
+    tokenizer_path: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    with_ids: bool = True,
+    chunk_memory: int = CHUNK_MEMORY,
+) -> DataFrame:
     """Tokenize, cut and pack ``docs``: doc_id, piece, start, length,
     ids_crc32 (, ids), sequence_id, offset."""
-    return pack_pieces(tokenize_pieces(docs, tokenizer_path, capacity, end_id, with_ids), capacity)
+    pieces = tokenize_pieces(docs, tokenizer_path, capacity, end_id, with_ids, chunk_memory=chunk_memory)
+    return pack_pieces(pieces, capacity)
 
 
 def assemble_sequences(packed: DataFrame) -> DataFrame:
