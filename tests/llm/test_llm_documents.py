@@ -39,7 +39,7 @@ def messy(copies=40):
     rows = [(i, text(rng.randint(1, 60))) for i in range(120)]
     rows += [(1000 + i, "the same text for many rows") for i in range(copies)]
     rows += [(2000 + i, "the  same\ttext for\nmany rows") for i in range(3)]
-    rows += [(3000, None), (3001, ""), (3002, " \t\n"), (3003, "!!! 123"), (None, "no id here"), (None, "no id here"), (5, rows[5][1])]
+    rows += [(3000, None), (3001, ""), (3002, " \t\n"), (3003, "!!! 123 ² Ⅷ"), (None, "no id here"), (None, "no id here"), (5, rows[5][1])]
     rows += [(4000, text(30_000)), (4001, "y" * 50_000), (4002, "a<|endoftext|>b c")]
     return rows
 
@@ -94,8 +94,8 @@ def check_runs(counts, capacity):
 @given(st.dictionaries(st.integers(1, 60), st.integers(0, 30), max_size=25))
 def test_plan_places_every_piece(counts):
     made = check_runs(counts, 60)
-    total = sum(n * c for n, c in counts.items())
-    assert made <= max(1, 11 / 9 * -(-total // 60) * 1.25 + 1)
+    # No two sequences would fit into one, so at most one is half empty.
+    assert made <= 2 * sum(n * c for n, c in counts.items()) / 60 + 1
 
 
 def test_plan_pairs_large_pieces():
@@ -227,7 +227,7 @@ def test_language_id_of_messy_texts(spark, docs):
     assert len(got) == len(messy())
     for r in got:
         text = dict(messy()).get(r.doc_id)
-        assert (r.lang_pred == "und" and r.score == 0 and r.rejected) == (r.doc_id is not None and not re.search(r"[^\W\d_]", text or ""))
+        assert (r.lang_pred == "und" and r.score == 0 and r.rejected) == (r.doc_id is not None and not any(c.isalpha() for c in text or ""))
     kept = langid.keep_identified(docs)
     assert kept.columns == docs.columns and kept.count() == sum(not r.rejected for r in got)
 
