@@ -142,7 +142,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, query_block: in
     lanes = shuffle_width(queries.sparkSession)
     asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
     held = held.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)))
-    work = asked.join(held, "lane").select("q_ids", "q_width", "q_data", "ids", "width", "data")
+    # A block is little to move but much to search: lanes are not to be merged by size.
+    work = asked.repartition(lanes, "lane").join(held.repartition(lanes, "lane"), "lane").select("q_ids", "q_width", "q_data", "ids", "width", "data")
     found = work.mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
