@@ -24,7 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    # Alone in its workers, it may remember more than a pipeline's stage.
+    docs = table(spark, sf_dir, "documents")
+    packed = packing.pack_documents(docs, tokenizer_path(), with_ids=False, chunk_memory=1_000_000)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
