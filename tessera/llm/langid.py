@@ -8,8 +8,9 @@ stochastic gradient descent in numpy, on a bounded sample of labelled rows
 languages, those with the smallest hashes, none longer than ``SAMPLE_CHARS``
 characters). Languages are counted first, and only rows whose hash is small
 enough for their language's count are looked at further, so the sample is no
-larger to move in a large table than in a small one. One in five sampled rows is
-kept for calibration: a temperature that makes the scores honest, and the
+larger to move in a large table than in a small one. Each fifth sampled row of a
+language is kept for calibration (a language of fewer rows is only learned):
+a temperature that makes the scores honest, and the
 score below which a prediction is rejected, set so that at most ``MISSED`` of
 correct predictions fall below it (and never above ``SURE``).
 
@@ -156,6 +157,17 @@ def _features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, share / share.sum()
 
 
+def held_back(target: np.ndarray) -> np.ndarray:
+    """Rows for calibration: each fifth row of a language. Without a language of
+    five rows, the last row of each that has two."""
+    order = np.argsort(target, kind="stable")
+    sizes = np.bincount(target)
+    place = np.empty(len(target), dtype=np.int64)
+    place[order] = np.arange(len(target)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    kept = place % 5 == 4
+    return kept if kept.any() else (place > 0) & (place == sizes[target] - 1)
+
+
 def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel:
     """``rows``: (text, language) pairs in a fixed order, the sample."""
     rows = [(t, g) for t, g in rows if words(t)]
@@ -165,9 +177,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 1.0)
     target = np.array([languages.index(g) for _, g in rows])
     data = [_features(t) for t, _ in rows]
-    kept = np.arange(len(rows)) % 5 == 4  # for calibration
-    if not kept.any() or len(set(target[~kept])) < k:
-        kept = np.zeros(len(rows), dtype=bool)
+    kept = held_back(target)
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH))
     out, bias = np.zeros((WIDTH, k)), np.zeros(k)

@@ -238,6 +238,37 @@ def test_language_id_without_labels(spark, docs, none):
     assert langid.identify(none).collect() == []
 
 
+@pytest.mark.parametrize("sizes", [[40] * 5, [40] * 10, [40, 40, 1, 1, 1], [7, 1, 300], [2, 3, 1]])
+def test_language_id_holds_back_rows_of_each_language(sizes):
+    target = np.array([g for n in range(max(sizes)) for g, size in enumerate(sizes) if n < size])
+    kept = langid.held_back(target)
+    for g, size in enumerate(sizes):
+        assert kept[target == g].sum() == (size // 5 if max(sizes) >= 5 else size > 1)
+
+
+def test_language_id_calibrates_on_rows_it_has_not_learned(monkeypatch):
+    rng = random.Random(3)
+    word = {g: ["".join(rng.choice(abc) for _ in range(5)) for _ in range(50)] for g, abc in enumerate(["abcde", "efghi", "ijklm", "mnopq", "qrstu"])}
+    rows = [(" ".join(rng.choice(word[g]) for _ in range(20)), str(g)) for _ in range(50) for g in word]
+    learned = []
+
+    class Generator:
+        def __init__(self, seed, real=np.random.default_rng):
+            self.real = real(seed)
+
+        def uniform(self, *a):
+            return self.real.uniform(*a)
+
+        def permutation(self, chosen):
+            learned.extend(chosen.tolist())
+            return self.real.permutation(chosen)
+
+    monkeypatch.setattr(langid.np.random, "default_rng", Generator)
+    langid.train(rows)
+    # Ten of the fifty rows of each language are held back.
+    assert Counter(rows[i][1] for i in set(learned)) == {str(g): 40 for g in word}
+
+
 # --- SimHash
 
 
