@@ -10,9 +10,12 @@ characters). Languages are counted first, and only rows whose hash is small
 enough for their language's count are looked at further, so the sample is no
 larger to move in a large table than in a small one. Each fifth sampled row of a
 language is kept for calibration (a language of fewer rows is only learned):
-a temperature that makes the scores honest, and the
-score below which a prediction is rejected, set so that at most ``MISSED`` of
-correct predictions fall below it (and never above ``SURE``).
+a temperature that makes the scores honest, and two bounds below which a
+prediction is rejected, each the quantile under which half of ``MISSED`` of the
+correct predictions lie. One is a bound of the score. A softmax over few
+languages is sure of any text, so the other is a bound of how familiar the text
+is: its n-grams' mean log-frequency in the training rows, all languages weighing
+the same, against what is usual for the language told and for its length.
 
 Because the softmax is linear, every n-gram has fixed contributions to the
 scores; prediction adds these up over whole texts, each distinct word of a
@@ -48,7 +51,6 @@ RATE = 0.5
 #: Each n-gram has a small share of a text, so its step is longer by this factor.
 GRAM_RATE = 20.0
 MISSED = 0.001
-SURE = 0.4
 UNKNOWN = "und"
 #: Distinct words whose contributions a Python worker remembers at most.
 WORD_MEMORY = 200_000
@@ -94,6 +96,14 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float
     threshold: float
+    familiar: np.ndarray  # log-frequency of each bucket
+    usual: np.ndarray  # mean familiarity of each language's texts
+    spread: float  # variance between texts, as a multiple of that of one n-gram
+    strange: float
+
+    def ease(self, familiarity, grams, language):
+        """How familiar texts are for their language and number of n-grams."""
+        return (familiarity - self.usual[language]) / np.sqrt(1 / grams + self.spread)
 
     def scorer(self) -> "Scorer":
         return Scorer(self)
@@ -104,12 +114,12 @@ class Scorer:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.weights = model.weights.astype(np.float32)
+        self.weights = np.column_stack([model.weights, model.familiar]).astype(np.float32)
         self.place: dict[str, int] = {}
-        self.sums = np.zeros((0, len(model.languages) + 1), dtype=np.float32)
+        self.sums = np.zeros((0, len(model.languages) + 2), dtype=np.float32)
 
     def _learn(self, fresh: list[str]) -> None:
-        """Rows of ``sums``: scores added up over a word's n-grams, and their number."""
+        """Rows of ``sums``: scores and familiarity added up over a word's n-grams, and their number."""
         rows = [self.sums]
         for at in range(0, len(fresh), 50_000):
             part = fresh[at : at + 50_000]
@@ -138,9 +148,10 @@ class Scorer:
                 continue
             at = np.fromiter(map(self.place.__getitem__, each), dtype=np.int64, count=len(each))
             total = self.sums[at].sum(axis=0, dtype=np.float64)
-            p = _softmax((total[:-1] / total[-1] + model.bias) / model.temperature)
+            p = _softmax((total[:-2] / total[-1] + model.bias) / model.temperature)
             best = int(p.argmax())
-            out.append((model.languages[best], float(p[best]), bool(p[best] < model.threshold)))
+            strange = model.ease(total[-2] / total[-1], total[-1], best) < model.strange
+            out.append((model.languages[best], float(p[best]), bool(p[best] < model.threshold or strange)))
         return out
 
 
@@ -149,12 +160,13 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _features(text: str) -> tuple[np.ndarray, np.ndarray]:
+def _features(text: str) -> tuple[np.ndarray, np.ndarray, float]:
+    """Buckets of a text, their shares and the number of its n-grams."""
     found, times = np.unique(np.array(words(text), dtype=object), return_counts=True)
     buckets, counts = word_grams(found.tolist())
     ids, at = np.unique(buckets, return_inverse=True)
     share = np.bincount(at, weights=np.repeat(times, counts))
-    return ids, share / share.sum()
+    return ids, share / share.sum(), float(share.sum())
 
 
 def held_back(target: np.ndarray) -> np.ndarray:
@@ -174,7 +186,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel:
     languages = sorted({g for _, g in rows})
     k = len(languages)
     if not k:
-        return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 1.0)
+        return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 1.0, np.zeros(BUCKETS), np.zeros(0), 0.0, 0.0)
     target = np.array([languages.index(g) for _, g in rows])
     data = [_features(t) for t, _ in rows]
     kept = held_back(target)
@@ -185,7 +197,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel:
     step, steps = 0, EPOCHS * len(chosen)
     for _ in range(EPOCHS):
         for i in rng.permutation(chosen):
-            ids, share = data[i]
+            ids, share, _ = data[i]
             rate = RATE * (1 - step / steps)
             step += 1
             hidden = share @ table[ids]
@@ -201,9 +213,39 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel:
     loss = lambda t: -np.log(np.maximum(_softmax(scores / t)[np.arange(len(check)), target[check]], 1e-12)).mean()
     temperature = float(min(np.geomspace(0.05, 20, 121), key=loss))
     p = _softmax(scores / temperature)
-    right = p.argmax(axis=1) == target[check]
-    low = float(np.quantile(p.max(axis=1)[right], MISSED)) if right.any() else 0.0
-    return LanguageModel(languages, weights, bias, temperature, min(low, SURE))
+    told = p.argmax(axis=1)
+    right = told == target[check]
+    # Each language's shares add up to one.
+    seen, rows_of = np.zeros(BUCKETS), np.bincount(target[chosen], minlength=k)
+    for i in chosen:
+        seen[data[i][0]] += data[i][1] / rows_of[target[i]]
+    familiar = np.log(seen / k + 1 / (BUCKETS * len(chosen)))
+    grams = np.array([data[i][2] for i in check])
+    found = np.array([data[i][1] @ familiar[data[i][0]] for i in check])
+    usual, spread = _usual(found[right], grams[right], told[right], k)
+    model = LanguageModel(languages, weights, bias, temperature, 0.0, familiar, usual, spread, -np.inf)
+    if kept.any() and right.any():
+        model.threshold = float(np.quantile(p.max(axis=1)[right], MISSED / 2))
+        model.strange = float(np.quantile(model.ease(found, grams, told)[right], MISSED / 2))
+    return model
+
+
+def _usual(found: np.ndarray, grams: np.ndarray, told: np.ndarray, k: int) -> tuple[np.ndarray, float]:
+    """Mean familiarity of each language, and the spread by which the variance
+    is in proportion to 1 / grams + spread."""
+    if not len(found):
+        return np.zeros(k), 0.0
+    sizes = np.bincount(told, minlength=k)
+    mean = np.bincount(told, weights=found, minlength=k) / np.maximum(sizes, 1)
+    # Nothing is known of a language without a text: as the least familiar.
+    usual = np.where(sizes > 0, mean, mean[sizes > 0].min())
+    square = (found - usual[told]) ** 2
+
+    def loss(r: float) -> float:
+        v = 1 / grams + r
+        return float(np.log(np.maximum((square / v).mean(), 1e-12)) + np.log(v).mean())
+
+    return usual, float(min(np.geomspace(1e-6, 1, 61), key=loss))
 
 
 def held_out(doc_id: Column | str = "doc_id") -> Column:

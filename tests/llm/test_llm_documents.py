@@ -269,6 +269,15 @@ def test_language_id_calibrates_on_rows_it_has_not_learned(monkeypatch):
     assert Counter(rows[i][1] for i in set(learned)) == {str(g): 40 for g in word}
 
 
+@pytest.mark.parametrize("known", [["en"], ["de", "en"]])
+def test_language_id_rejects_unlearned_languages(spark, known):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labelled = docs.withColumn("lang", F.when(F.col("lang").isin(known), F.col("lang")))
+    kept = langid.keep_identified(labelled, langid.fit(labelled)).select("doc_id")
+    share = {r.lang: r.share for r in docs.join(kept.withColumn("kept", F.lit(1)), "doc_id", "left").groupBy("lang").agg(F.mean(F.coalesce("kept", F.lit(0))).alias("share")).collect()}
+    assert all((share[g] > 0.95) if g in known else (share[g] < 0.05) for g in share), share
+
+
 # --- SimHash
 
 
