@@ -27,13 +27,14 @@ def same(pairs) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs])
 
 
-def rank_in_groups(df: DataFrame, groups: Sequence[str], bucket: str, order: Sequence[str | Column], out: str) -> DataFrame:
+def rank_in_groups(df: DataFrame, groups: Sequence[str], bucket: str, order: Sequence[str | Column], out: str, start: DataFrame | None = None) -> DataFrame:
     """Add ``out``, the position from 0 of each row in its group, the group
     being ordered by (``bucket``, ``order``).
 
     ``df`` is read twice, so an input that is expensive or not repeatable
     should be written first. Pick ``bucket`` so that its parts of a group fit
-    a task.
+    a task. ``start`` (``groups`` and a number ``__t_start``) has the groups
+    that do not begin at 0.
     """
     names = [*groups, bucket]
     before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
@@ -43,6 +44,10 @@ def rank_in_groups(df: DataFrame, groups: Sequence[str], bucket: str, order: Seq
         .withColumn("__t_off", F.coalesce(F.sum("__t_n").over(before), F.lit(0)))
         .select(*[F.col(c).alias(f"__t_k{i}") for i, c in enumerate(names)], "__t_off")
     )
+    if start is not None:
+        first = start.select(*[F.col(c).alias(f"__t_g{i}") for i, c in enumerate(groups)], "__t_start")
+        offsets = offsets.join(first, same((offsets[f"__t_k{i}"], first[f"__t_g{i}"]) for i in range(len(groups))), "left")
+        offsets = offsets.withColumn("__t_off", F.col("__t_off") + F.coalesce("__t_start", F.lit(0))).select(*[f"__t_k{i}" for i in range(len(names))], "__t_off")
     ranked = df.withColumn("__t_rn", F.row_number().over(Window.partitionBy(*names).orderBy(*order)))
     on = same((ranked[c], offsets[f"__t_k{i}"]) for i, c in enumerate(names))
     return ranked.join(offsets, on).select(

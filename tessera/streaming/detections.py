@@ -21,25 +21,24 @@ Checkpoints and outputs live under the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.operators.detections import (
     FLUSH_ROWS,
     FLUSH_SECONDS,
+    TICK_SLICES,
     Scorer,
     detection_records,
     results_table,
     score_frames,
 )
+from tessera.operators.sequence import rank_in_groups
 from tessera.sources.special import b64decode
-from tessera.session import delete_path, scratch_path
+from tessera.session import delete_path, path_exists, scratch_path
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1) -> DataFrame:
@@ -110,9 +109,6 @@ def stream_score_frames(
     return _run(writer, trigger)
 
 
-FLUSH_STATE = "ticks array<long>, seen array<long>"
-
-
 def stream_flush_batches(
     stream: DataFrame,
     t0_micros: int,
@@ -124,53 +120,60 @@ def stream_flush_batches(
     ticks_per_key: int = 64,
     trigger: str | None = None,
 ) -> StreamingQuery:
-    """The "5 rows or 10 s" flush of every source as a stateful stream.
+    """The "5 rows or 10 s" flush of every source as a stream.
 
     A row's position in its tick is the number of rows the source's tick has
     already seen plus its rank inside the micro-batch, and its write batch is
     ``(rn - 1) // max_rows`` -- the same numbers as the batch closed form
     :func:`tessera.operators.detections.flush_batches` when rows arrive in
     time order. Every row is numbered: a late one goes on counting where its
-    tick stopped. State is keyed by (source, span of ``ticks_per_key`` ticks),
-    one count per tick, and is kept, as a late row may need it.
+    tick stopped. Ranks are computed like the closed form's, so no source and
+    no tick is put in one task.
+
+    Each micro-batch files its rows per source and tick under the checkpoint
+    folder, by spans of ``ticks_per_key`` ticks; a later one adds up those of
+    the spans it touches. They are kept, as a late row may need them. A batch
+    that is replayed replaces its own counts and sees only earlier ones.
     ``t0_micros`` is the timer start (epoch microseconds).
     """
     step = interval_seconds * 1_000_000
     micros = F.unix_micros(F.to_timestamp("ts")) - F.lit(t0_micros)
-    tick = F.floor(micros / F.lit(step)).cast("long")
-    keyed = stream.select(
+    tick, within = F.floor(micros / F.lit(step)).cast("long"), F.pmod(micros, F.lit(step))
+    ticked = stream.select(
         *source_cols, "frame_id", F.to_timestamp("ts").alias("ts"), tick.alias("tick"),
-        F.floor(tick / F.lit(ticks_per_key)).cast("long").alias("span"),
+        F.floor(within * TICK_SLICES / F.lit(step)).cast("int").alias("__t_slice"),
     )
+    names = [*source_cols, "tick"]
+    counts = f"{checkpoint}/flush-counts"
+    span = F.coalesce(F.floor(F.col("tick") / F.lit(ticks_per_key)).cast("long"), F.lit(-1))
+
+    def earlier(spark: SparkSession, spans: list[int], batch_id: int) -> DataFrame | None:
+        if batch_id and not path_exists(spark, counts):
+            raise ValueError(f"the counts of the batches before {batch_id} are not in {counts}")
+        paths = [p for p in (f"{counts}/span={s}" for s in spans) if path_exists(spark, p)]
+        if not paths:
+            return None
+        seen = spark.read.option("basePath", counts).parquet(*paths).filter(F.col("microbatch") < batch_id)
+        return seen.groupBy(*names).agg(F.sum("__t_n").alias("__t_start"))
 
-    def assign(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "frame_id"], kind="stable")
-        seen = dict(zip(*state.get)) if state.exists else {}
-        before = pdf["tick"].map(seen).fillna(0).to_numpy(dtype=np.int64)
-        rn = before + pdf.groupby("tick", sort=False).cumcount().to_numpy(dtype=np.int64) + 1
-        for t, n in pdf["tick"].value_counts().items():
-            seen[int(t)] = seen.get(int(t), 0) + int(n)
-        ticks = sorted(seen)
-        state.update((ticks, [seen[t] for t in ticks]))
-        yield pd.DataFrame(
-            {
-                **{c: pdf[c].array for c in source_cols},
-                "frame_id": pdf["frame_id"].to_numpy(),
-                "tick": pdf["tick"].to_numpy(dtype=np.int64),
-                "batch": (rn - 1) // max_rows,
-                "row_in_batch": ((rn - 1) % max_rows).astype(np.int32),
-            }
-        )
-
-    sources = "".join(f"`{c}` {stream.schema[c].dataType.simpleString()}, " for c in source_cols)
-    assigned = keyed.groupBy(*source_cols, "span").applyInPandasWithState(
-        assign, f"{sources}frame_id long, tick long, batch long, row_in_batch int", FLUSH_STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    writer = (
-        assigned.writeStream.outputMode("append")
-        .foreachBatch(_batch_writer(out, lambda b, p: b.write.mode("overwrite").parquet(p)))
-        .option("checkpointLocation", checkpoint)
-    )
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            spans = [r[0] for r in batch.select(span).distinct().collect()]
+            start = earlier(batch.sparkSession, spans, batch_id)
+            ranked = rank_in_groups(batch, names, "__t_slice", ["ts", "frame_id"], "__t_rank", start)
+            ranked.select(
+                *names[:-1], "frame_id", "tick",
+                F.floor(F.col("__t_rank") / max_rows).cast("long").alias("batch"),
+                (F.col("__t_rank") % max_rows).cast("int").alias("row_in_batch"),
+            ).write.mode("overwrite").parquet(f"{out}/microbatch={batch_id}")
+            own = batch.groupBy(*names).agg(F.count(F.lit(1)).alias("__t_n"))
+            own = own.withColumns({"span": span, "microbatch": F.lit(batch_id)})
+            own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("span", "microbatch").parquet(counts)
+        finally:
+            batch.unpersist()
+
+    writer = ticked.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return _run(writer, trigger)
 
 

@@ -3,6 +3,8 @@ doubles rows (exactly once through the checkpoint)."""
 
 import os
 
+from pyspark.sql import functions as F
+
 from tessera.operators import detections as DET
 from tessera.plans import bindings as B
 from tessera.sources.sinks import RESULTS_SCHEMA, read_results_csv
@@ -141,3 +143,30 @@ def test_late_rows_are_numbered_too(spark, tmp_path):
     assert rows(got, "frame_id") == [(i,) for i in range(20)]
     late = rows(got.filter("frame_id between 10 and 14"), "source", "frame_id", "tick", "batch", "row_in_batch")
     assert late == [(1, 10 + i, 0, 0, i) for i in range(5)]
+
+
+def test_flush_numbers_a_hot_source_outside_python_and_again_after_a_replay(spark, tmp_path):
+    # A source with most rows is ranked by Spark; a batch run again gives the same.
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "frame_id long, ts timestamp, source string"
+    src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    data = [(i, t0 + dt.timedelta(milliseconds=7 * i), "hot" if i % 4 else None) for i in range(3000)]
+
+    def run_once():
+        stream = SD.read_stream(spark, src, spark.read.parquet(src).schema)
+        q = SD.stream_flush_batches(stream, int(t0.replace(tzinfo=dt.UTC).timestamp() * 1e6), out, ckpt, source_cols=["source"], ticks_per_key=1)
+        SD.run_to_end(q)
+        return q, rows(spark.read.parquet(out).select("source", "frame_id", "tick", "batch", "row_in_batch"))
+
+    for part in (data[:1000], data[1000:2000], data[2000:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        q, got = run_once()
+        assert q.lastProgress["stateOperators"] == []  # no group is handed to Python
+    expect = DET.flush_batches(spark.createDataFrame(data, schema), F.lit(t0), source_cols=["source"])
+    assert got == rows(expect.select("source", "frame_id", "tick", "batch", "row_in_batch"))
+    for name in ("2", ".2.crc"):  # as if the last batch had not been committed
+        if os.path.exists(f"{ckpt}/commits/{name}"):
+            os.remove(f"{ckpt}/commits/{name}")
+    assert run_once()[1] == got
