@@ -323,6 +323,23 @@ def pack_documents(
     return pack_pieces(pieces, capacity)
 
 
+def placed_crc32(packed: DataFrame) -> DataFrame:
+    """``packed`` with ids_crc32 taken from its ids, and without these."""
+    rest = [f for f in packed.schema.fields if f.name not in ("ids", "ids_crc32")]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", ids_crc32 long"
+    names = [f.name for f in rest]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(len(names))
+            flat, ends = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_pylist()
+            crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+            arrays = [batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(crc, pa.int64())], names=[*names, "ids_crc32"])
+
+    return packed.select(*names, "ids").mapInArrow(run, schema)
+
+
 def assemble_sequences(packed: DataFrame) -> DataFrame:
     """The training sequences themselves: sequence_id, ids (at most the
     capacity) and doc_ids / lengths of the pieces in order, for attention masks."""

@@ -26,8 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Alone in its workers, it may remember more than a pipeline's stage.
     docs = table(spark, sf_dir, "documents")
-    packed = packing.pack_documents(docs, tokenizer_path(), with_ids=False, chunk_memory=1_000_000)
-    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    packed = packing.pack_documents(docs, tokenizer_path(), chunk_memory=1_000_000)
+    return packing.placed_crc32(packed).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op2_branch_and_bound_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,12 +56,12 @@ def op4_rarest_token_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-    )
-    sharded = sharding.shard_rows(docs).withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+    sharded = sharding.shard_rows(table(spark, sf_dir, "documents")).withColumns({
+        "size": (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long"),
+        "text_crc32": F.crc32(F.coalesce("text", F.lit("")).cast("binary")),
+        "law": F.lit("rows"),
+        "grown_shard": F.lit(None).cast("int"),
+    })
     return sharded.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 

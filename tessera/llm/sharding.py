@@ -8,7 +8,8 @@ multivariate hypergeometric. The matrix is drawn in two steps, each one
 hypergeometric draw after the other: first for groups of partitions, as many
 as a group has members, then inside all groups side by side. Then each
 partition is permuted and cut by its row of the matrix, the
-pieces go to their shards, and each shard is permuted again.
+pieces go to their shards, and each shard is permuted again. This is done with
+the numbers of the rows; the whole rows then join their places.
 
 A draw inverts the distribution function outwards from the mode, with ratios
 of neighbouring probabilities; values more than ten standard deviations away
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import ROW, freeze, materialize, shuffle_width, unit
-from tessera.operators.sequence import columns, rank_in_groups
+from tessera.operators.sequence import rank_in_groups
 
 SHARDS = 16
 SEED = 5
@@ -139,7 +140,8 @@ def shard_rows(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, parts: i
     spark = rows.sparkSession
     parts = parts or shuffle_width(spark)
     frozen = freeze(rows.drop("shard", "slot"), "rows-to-shard")
-    placed = frozen.withColumn("__t_part", F.pmod(F.xxhash64(F.lit(seed), ROW), F.lit(parts)).cast("int"))
+    # Places are drawn for row numbers; then each whole row moves once.
+    placed = frozen.select(ROW).withColumn("__t_part", F.pmod(F.xxhash64(F.lit(seed), ROW), F.lit(parts)).cast("int"))
     sizes = materialize(placed.groupBy(F.col("__t_part").alias("part")).agg(F.count(F.lit(1)).alias("n")), "part-sizes")
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     quotas = [total // shards + (j < total % shards) for j in range(shards)]
@@ -153,9 +155,10 @@ def shard_rows(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, parts: i
     cut = cut.withColumn("shard", F.size(F.filter("__t_ends", lambda e: e <= F.col("__t_local"))).cast("int"))
     again = unit(seed + 2, F.col(ROW))
     sub = F.floor(again * (4 * parts)).cast("int")
-    sent = materialize(cut.select(*columns(cut, ("__t_part", "__t_local", "__t_p", "__t_ends", "shard")), "shard", again.alias("__t_again"), sub.alias("__t_sub")), "sharded")
-    out = rank_in_groups(sent, ["shard"], "__t_sub", [F.col("__t_again"), F.col(ROW)], "slot")
-    return out.drop(ROW, "__t_again", "__t_sub")
+    sent = materialize(cut.select(ROW, "shard", again.alias("__t_again"), sub.alias("__t_sub")), "sharded")
+    places = rank_in_groups(sent, ["shard"], "__t_sub", [F.col("__t_again"), F.col(ROW)], "slot")
+    places = places.select(F.col(ROW).alias("__t_placed"), "shard", "slot")
+    return frozen.join(places, F.col(ROW) == F.col("__t_placed")).drop(ROW, "__t_placed")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

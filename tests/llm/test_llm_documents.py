@@ -207,6 +207,21 @@ def test_mixing_nothing(none):
     assert mixing.poisson_mix(none).collect() == []
 
 
+def test_digests_come_from_what_was_placed(spark, monkeypatch):
+    plain = {(r.doc_id, r.piece): r for r in QUERIES["op1_best_fit_packing"](spark, SF).collect()}
+    pack, shard = packing.pack_pieces, sharding.shard_rows
+    monkeypatch.setattr(packing, "pack_pieces", lambda *a: pack(*a).withColumn("ids", F.reverse("ids")))
+    monkeypatch.setattr(sharding, "shard_rows", lambda rows: shard(rows).withColumn("text", F.concat("text", F.lit("!"))))
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in QUERIES["op1_best_fit_packing"](spark, SF).collect():
+        ids = (TOK.encode(texts[r.doc_id], add_special_tokens=False).ids + [packing.END_ID])[r.start : r.start + r.length]
+        assert plain[r.doc_id, r.piece].ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[::-1], dtype="<u4").tobytes())
+    for r in QUERIES["op5_hypergeometric_shards"](spark, SF).collect():
+        text = (texts[r.doc_id] + "!").encode()
+        assert (r.size, r.text_crc32) == (len(text) + 1, zlib.crc32(text))
+
+
 # --- language ID
 
 
