@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, exact_dedup, langid, mixing, packing, sharding, simhash, topk_search, url_rules, warc
+from tessera.llm import chat, concat_packing, exact_dedup, fim, langid, merkle, mixing, packing, sharding, simhash, topk_search, url_rules, warc
 
 #: Shipped with the Python environment of every worker, like the tokenizer library.
 TOKENIZER_FILE = "byte_bpe_50k.json"
+WORD_TOKENIZER_FILE = "word_bpe_49k.json"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER_FILE)
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +90,32 @@ def op10_block_naming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = concat_packing.concat_and_cut(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER_FILE))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", merkle.UPPER, merkle.UPPER.lower())
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = docs.select(
+        "doc_id", "lang", merkle.leaf_hash(*merkle.FIELDS).alias("leaf"),
+        F.when(hit, merkle.leaf_hash(*[lower if f == "text" else f for f in merkle.FIELDS])).alias("tampered"),
+    )
+    proofs = merkle.prove(leaves).withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf")))
+    proofs = proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", merkle.path_hash().alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_boundary_set_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(fim.restored()).alias("restored_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_branch_and_bound_topk": op2_branch_and_bound_topk,
@@ -100,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_simhash_anchors": op9_simhash_anchors,
     "op10_block_naming_dedup": op10_block_naming_dedup,
+    "op11_concatenate_and_cut": op11_concatenate_and_cut,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_boundary_set_fim": op13_boundary_set_fim,
 }
 
 _RULE_ROWS = ", ".join(str(r) for r in RULES)
@@ -136,4 +166,6 @@ ORACLE: dict[str, str] = {
            row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
     FROM t WINDOW w AS (PARTITION BY norm ORDER BY points DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
     """,
+    "op12_merkle_manifest": merkle.oracle(),
+    "op13_boundary_set_fim": fim.oracle(),
 }
