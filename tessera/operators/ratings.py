@@ -31,6 +31,7 @@ from tessera.functions.scalars import (
 )
 from tessera.functions.text import split_multi_value
 from tessera.operators.joins import lookup_with_default
+from tessera.operators.skew import join_spread
 
 # Ratings are summed at this scale.
 RATING = "decimal(18,6)"
@@ -85,6 +86,21 @@ def movie_avg_rating(ratings: DataFrame, movies: DataFrame, default: str = DEFAU
     )
 
 
+def rating_partials(ratings: DataFrame) -> DataFrame:
+    """``movie_id, s, n``: what a mean needs of a part of the ratings."""
+    return ratings.groupBy("movie_id").agg(F.sum(F.col("rating").cast(RATING)).alias("s"), F.count("rating").alias("n"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Partials of several parts as one row a movie."""
+    return partials.groupBy("movie_id").agg(F.sum("s").cast("decimal(28,6)").alias("s"), F.sum("n").alias("n"))
+
+
+def stats_of_partials(partials: DataFrame) -> DataFrame:
+    """:func:`movie_stats` from the partials of all parts."""
+    return merge_partials(partials).select("movie_id", (F.col("s").cast("double") / F.col("n")).alias("avg_rating"), F.col("n").alias("n_ratings"))
+
+
 def best_movie(
     ratings: DataFrame, movies: DataFrame, min_support: int = 5, default: str = DEFAULT_TITLE_BEST
 ) -> DataFrame:
@@ -132,21 +148,22 @@ def genre_avg_rating_ranked(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     )
 
 
-def _rated_by_users(ratings: DataFrame, users: DataFrame, *cols: str) -> DataFrame:
+def _rated_by_users(ratings: DataFrame, users: DataFrame, *cols: str, spread: bool = False) -> DataFrame:
     """Ratings with user attributes (inner: unknown users are dropped).
 
     A shuffle join on ``user_id``; AQE splits a user that holds a large
-    share of all ratings into several tasks.
+    share of all ratings into several tasks. With ``spread`` such users are
+    found beforehand (one more pass over the ids) and looked up by broadcast,
+    for sessions without AQE and inputs known to be skewed.
     """
-    return ratings.select("user_id", "movie_id", "rating").join(
-        users.select("user_id", *cols), "user_id"
-    )
+    rated, attributes = ratings.select("user_id", "movie_id", "rating"), users.select("user_id", *cols)
+    return join_spread(rated, attributes, "user_id") if spread else rated.join(attributes, "user_id")
 
 
-def gender_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+def gender_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame, spread: bool = False) -> DataFrame:
     """Per movie: mean rating by male users (``M``, any case) and by all
     others. A null mean means no rating in that class ("N/A")."""
-    rated = _rated_by_users(ratings, users, "gender")
+    rated = _rated_by_users(ratings, users, "gender", spread=spread)
     male = is_male("gender")
     stats = rated.groupBy("movie_id").agg(
         mean(F.when(male, F.col("rating"))).alias("male_avg"),
@@ -157,9 +174,9 @@ def gender_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame) ->
     )
 
 
-def gender_avg_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+def gender_avg_long(ratings: DataFrame, users: DataFrame, movies: DataFrame, spread: bool = False) -> DataFrame:
     """Mean per (movie, raw gender value), with the display label."""
-    rated = _rated_by_users(ratings, users, "gender")
+    rated = _rated_by_users(ratings, users, "gender", spread=spread)
     stats = rated.groupBy("movie_id", "gender").agg(mean("rating").alias("avg_rating"))
     return _with_title(stats, movies, F.lit(DEFAULT_TITLE_GENDER)).select(
         "movie_id", "title", "gender", gender_label("gender").alias("gender_label"), "avg_rating"
@@ -176,14 +193,14 @@ def age_buckets(users: DataFrame) -> DataFrame:
 AGE_PIVOT_COLUMNS = ["avg_0_18", "avg_18_35", "avg_35_50", "avg_50_plus"]
 
 
-def age_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+def age_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame, spread: bool = False) -> DataFrame:
     """Per movie: mean rating in each of the four age groups; all four
     columns are always present, null where the group has no rating.
 
     Written as conditional aggregates over a fixed group list: one
     aggregation, no pivot value discovery pass.
     """
-    rated = _rated_by_users(ratings, users, "age").withColumn("grp", age_group_4("age"))
+    rated = _rated_by_users(ratings, users, "age", spread=spread).withColumn("grp", age_group_4("age"))
     aggs = [
         mean(F.when(F.col("grp") == label, F.col("rating"))).alias(name)
         for label, name in zip(AGE_GROUPS_4, AGE_PIVOT_COLUMNS)
@@ -192,17 +209,17 @@ def age_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> Da
     return _with_title(stats, movies, _prefixed_default()).select("movie_id", "title", *AGE_PIVOT_COLUMNS)
 
 
-def age_avg_long(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
+def age_avg_long(ratings: DataFrame, users: DataFrame, movies: DataFrame, spread: bool = False) -> DataFrame:
     """Mean per (movie, seven-way age group)."""
-    rated = _rated_by_users(ratings, users, "age").withColumn("age_group", age_group_7("age"))
+    rated = _rated_by_users(ratings, users, "age", spread=spread).withColumn("age_group", age_group_7("age"))
     stats = rated.groupBy("movie_id", "age_group").agg(mean("rating").alias("avg_rating"))
     return _with_title(stats, movies, F.lit(DEFAULT_TITLE)).select("movie_id", "title", "age_group", "avg_rating")
 
 
-def occupation_stats(ratings: DataFrame, users: DataFrame, occupations: DataFrame) -> DataFrame:
+def occupation_stats(ratings: DataFrame, users: DataFrame, occupations: DataFrame, spread: bool = False) -> DataFrame:
     """Mean and count per occupation of the rating user, with the
     occupation's name (``Unknown (<id>)`` when it has none)."""
-    rated = _rated_by_users(ratings, users, "occupation_id")
+    rated = _rated_by_users(ratings, users, "occupation_id", spread=spread)
     stats = rated.groupBy("occupation_id").agg(
         mean("rating").alias("avg_rating"), F.count("rating").alias("n_ratings")
     )

@@ -154,18 +154,16 @@ def category_sentiment_top_words(
     than one character, as ``w(n) w(n) ...`` (ties by word).
 
     ``sentiments`` (``id, sentiment``) gives the sentiments where the reviews
-    have none of their own. Words are then counted per review first, so the
-    texts themselves never move for the join.
+    have none of their own. Only labelled reviews are tokenized, and their words
+    are counted per category and sentiment at once; with both tables in buckets
+    of the id (:mod:`tessera.sources.bucketed`) no text moves for the join.
     """
     category = java_trim("category").alias("category")
     wanted = F.lower(java_trim("sentiment"))
     if sentiments is not None:
         labelled = sentiments.select("id", wanted.alias("sentiment")).filter(F.col("sentiment").isin(*SENTIMENTS))
-        base = reviews.select("id", category, "comment").filter(F.length("category") > 0)
-        words = base.select("id", "category", F.explode(tokens("comment")).alias("word")).filter(F.length("word") > 1)
-        each = words.groupBy("id", "category", "word").agg(F.count(F.lit(1)).alias("n"))
-        counts = each.join(labelled, "id").groupBy("category", "sentiment", "word").agg(F.sum("n").alias("n"))
-        counts = counts.join(stopword_table(reviews.sparkSession, stopwords), "word", "left_anti")
+        base = reviews.select("id", category, "comment").filter(F.length("category") > 0).join(labelled, "id")
+        counts = _word_counts(base, stopwords, ["category", "sentiment"], 2)
         return _top_words(counts, ["category", "sentiment"], k)
     base = reviews.select(category, wanted.alias("sentiment"), "comment").filter(
         (F.length("category") > 0) & F.col("sentiment").isin(*SENTIMENTS)

@@ -209,3 +209,36 @@ def frames_as_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select(F.col("doc_id").alias("frame_id"), F.encode("text", "UTF-8").alias("image"))
 
+
+
+# ------------------------------------------------- documents as other inputs --
+
+def document_events(d: DataFrame) -> DataFrame:
+    """``documents`` in the columns of ``events``, a table that grows with the
+    corpus: one event a document, some without a source."""
+    k = F.col("doc_id")
+    return d.select(
+        k.alias("event_id"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + k * 1_500_000).alias("ts"),
+        F.when(k % 50 != 0, F.floor(k / 5)).alias("user_id"),
+        ((F.col("n_chars") % 1000) / F.lit(4.0)).alias("value"),
+        F.concat(F.lit('{"k": '), (F.col("n_chars") % 100).cast("string"), F.lit("}")).alias("props"),
+    )
+
+
+def document_ratings(d: DataFrame) -> DataFrame:
+    """One rating a document; a third of them by one user."""
+    k = F.col("doc_id")
+    return d.select(
+        F.when(k % 3 == 0, F.lit(-1).cast("long")).otherwise(k).alias("user_id"),
+        F.floor(k / 20).alias("movie_id"),
+        (F.col("n_chars") % 9 / 2 + 0.5).alias("rating"),
+        (F.lit(1_700_000_000) + k).alias("ts"),
+    )
+
+
+def label_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users from ``labels``, and the one of a third of all ratings."""
+    gender = F.when(F.col("quality") == 1, "M").otherwise("F")
+    own = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("user_id"), gender.alias("gender"))
+    return own.unionByName(spark.createDataFrame([(-1, "m")], "user_id long, gender string"))

@@ -536,6 +536,11 @@ _CUSTOMER_TYPES = {"c_custkey": "bigint", "c_nationkey": "int"}
 _CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
 
 
+def _line(sep, *cells):
+    """Cells joined to a line; a null is an empty field and moves no other."""
+    return F.concat_ws(sep, *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cells])
+
+
 def _customer_lines(spark, sf):
     """Customer rows as ``;`` lines with a trailing empty field (Java drops
     it, so the arity is 4), plus the nation rows as 2-field lines that the
@@ -543,9 +548,9 @@ def _customer_lines(spark, sf):
     c = B.table(spark, sf, "customer")
     n = B.table(spark, sf, "nation")
     long_lines = c.select(
-        F.concat_ws(";", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.lit("")).alias("value")
+        _line(";", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.lit("")).alias("value")
     )
-    short_lines = n.select(F.concat_ws(";", "n_nationkey", "n_name").alias("value"))
+    short_lines = n.select(_line(";", "n_nationkey", "n_name").alias("value"))
     return long_lines.unionByName(short_lines)
 
 
@@ -621,7 +626,7 @@ def q_semicolon_csv_by_name(spark, sf):
 
 def _write_lines(df, name, *cells, sep):
     path = scratch_path(df.sparkSession, name)
-    df.select(F.concat_ws(sep, *cells)).write.text(path)
+    df.select(_line(sep, *cells)).write.text(path)
     return path
 
 
@@ -662,7 +667,7 @@ SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS c_nationke
 def q_parse_tolerant(spark, sf):
     c = B.table(spark, sf, "customer")
     number = F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey").cast("string")).otherwise(F.col("c_name"))
-    lines = c.select(F.concat_ws(",", "c_custkey", number).alias("value"))
+    lines = c.select(_line(",", "c_custkey", number).alias("value"))
     return SRC.parse_delimited(lines, ["c_custkey", "c_nationkey"], types=_CUSTOMER_TYPES, strict=False)
 
 

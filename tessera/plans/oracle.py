@@ -89,5 +89,22 @@ B_TOKENS = """b_tokens AS (
 STOPWORDS_SQL = "('the', 'of', 'de', 'and', 'to', 'in', 'la', 'a', 'der', 'is')"
 
 
+# Documents in the columns of events, in the place of that table.
+B_DOCUMENT_EVENTS = """events AS (
+  SELECT doc_id AS event_id, make_timestamp(1700000000000000 + doc_id * 1500000) AS ts,
+         CASE WHEN doc_id % 50 <> 0 THEN doc_id // 5 END AS user_id, (n_chars % 1000) / 4.0::DOUBLE AS value,
+         '{"k": ' || (n_chars % 100) || '}' AS props
+  FROM documents)"""
+
+B_DOCUMENT_RATINGS = """b_document_ratings AS (
+  SELECT CASE WHEN doc_id % 3 = 0 THEN -1 ELSE doc_id END AS user_id, doc_id // 20 AS movie_id,
+         (n_chars % 9) / 2.0::DOUBLE + 0.5 AS rating, 1700000000 + doc_id AS ts
+  FROM documents)"""
+
+B_LABEL_USERS = """b_label_users AS (
+  SELECT doc_id AS user_id, CASE WHEN quality = 1 THEN 'M' ELSE 'F' END AS gender FROM labels
+  UNION ALL SELECT -1, 'm')"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

@@ -65,7 +65,11 @@ def read_ratings(spark: SparkSession, paths: str | Sequence[str], header: str |
                  strict: bool = True) -> DataFrame:
     """``user_id, movie_id, rating, ts`` from ``user,movie,rating,epoch``
     lines; several files (``ratings_1``, ``ratings_2``) are one table."""
-    lines = _lines(spark, paths, header)
+    return parse_ratings(_lines(spark, paths, header), strict)
+
+
+def parse_ratings(lines: DataFrame, strict: bool = True) -> DataFrame:
+    """:func:`read_ratings` of lines that are there already, or still to come."""
     return parse_delimited(
         lines, ["user_id", "movie_id", "rating", "ts"], sep=",", min_fields=3,
         types={"rating": T.DoubleType(), "ts": T.LongType()}, strict=strict,

@@ -11,8 +11,9 @@ line in its last field.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +41,54 @@ def drop_header_lines(lines: DataFrame, header: str, col: str = "value") -> Data
     return lines.filter(F.col(col) != F.lit(header))
 
 
+#: One row a file is broadcast up to so many files; more meet by shuffle.
+BROADCAST_FILES = 100_000
+
+
+def drop_file_headers(lines: DataFrame, is_header: Column | None = None, col: str = "value") -> DataFrame:
+    """Drop the first line of every file, and no other line, however equal to
+    it. ``lines`` are numbered (:func:`read_lines`); the first line of a file is
+    the one with the smallest block and number, whichever task reads it.
+
+    With ``is_header`` (a condition on the line) the first line goes only
+    where the condition holds, for files of which some have a header.
+    """
+    files = F.col(LINE + ".file_path").alias("__file")
+    first = lines.groupBy(files).agg(F.min(LINE).alias("__first"), F.min_by(col, LINE).alias(col))
+    if is_header is not None:
+        first = first.filter(is_header)
+    first = first.select("__first")
+    if len(lines.inputFiles()) <= BROADCAST_FILES:
+        first = F.broadcast(first)
+    return lines.join(first, F.col(LINE) == F.col("__first"), "left_anti")
+
+
+def unlike_types(columns: Sequence[str], types: dict[str, T.DataType | str], sep: str = ",", col: str = "value") -> Column:
+    """A condition for :func:`drop_file_headers`: a field of a typed column is
+    there and is not of its type, as a column's name is not a number."""
+    parts = java_split(col, sep)
+    fields = {c: java_trim(F.get(parts, F.lit(i))) for i, c in enumerate(columns)}
+    wrong = [(F.length(fields[c]) > 0) & fields[c].try_cast(t).isNull() for c, t in types.items()]
+    return F.coalesce(reduce(lambda a, b: a | b, wrong), F.lit(False))
+
+
+def number_lines(lines: DataFrame, out: str = "position") -> DataFrame:
+    """Numbered lines (:func:`read_lines`) with their place in the whole input
+    from 0: files in the order of their names, lines in the order of each file.
+
+    Lines of a file block are read by one task in order, so a block's count and
+    first number give every line its place; only a row a block is added up.
+    """
+    named = lines.withColumns({"__file": F.col(LINE + ".file_path"), "__block": F.col(LINE + ".file_block_start"), "__no": F.col(LINE + ".line")})
+    blocks = named.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("n"), F.min("__no").alias("first"))
+    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(
+        F.col("__file").alias("__f"), F.col("__block").alias("__b"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("__off")
+    )
+    joined = named.join(offsets, (F.col("__file") == F.col("__f")) & (F.col("__block") == F.col("__b")))
+    return joined.select(*lines.columns, (F.col("__no") + F.col("__off")).alias(out))
+
+
 def parse_delimited(
     lines: DataFrame,
     columns: Sequence[str],
