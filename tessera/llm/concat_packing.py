@@ -30,7 +30,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -42,26 +44,65 @@ from tessera.llm.common import materialize
 
 CAPACITY = 2048
 END_ID = 1
-#: Distinct chunks whose ids a Python worker remembers, in two generations.
-CHUNK_MEMORY = 400_000
+#: Distinct chunks other than simple ones whose ids a Python worker remembers.
+CHUNK_MEMORY = 100_000
 BATCH = 256  # texts tokenized at a time
 
-# Words that lower-casing and composing change letter by letter, and the marks
-# that end a word: there the tokenizer always cuts.
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+# What becomes of the characters of a simple text, so that every token of the
+# pre-tokenizer ends with a line feed: white space separates, a digit stands
+# alone, marks that touch form one token (their inner edges are taken out).
+_OPEN, _CLOSE, _QUOTE = "\x01", "\x02", "\x03"
+_CONTRACTION = re.compile(r"'(?:s|t|re|ve|m|ll|d)")
 _READY: dict[str, "WordTokenizer"] = {}
 
 
-def _word_engine(path: str):
-    """(engine, ids that end a word) for a BPE with word ends whose ids are in
-    merge order, or None. The engine takes lower-case words, each closed by a
-    line feed, which plays the part of the end mark."""
+def _repertoire() -> tuple[frozenset[str], dict[str, str]]:
+    """Letters, and what replaces other characters: Latin letters and marks
+    that composing leaves alone and that lower-casing maps one to one."""
+    letters, others = set(), {}
+    for c in map(chr, [*range(0x250), *range(0x2010, 0x2028)]):
+        kind = unicodedata.category(c)[0]
+        if c in " \t\r\n":
+            others[c] = "\n"
+        elif kind == "L":
+            letters.add(c)
+        elif kind == "N":
+            others[c] = f"\n{c}\n"
+        elif kind in "PS":
+            others[c] = f"{_OPEN}{c}{_CLOSE}"
+    return frozenset(letters), others
+
+
+_LETTERS, _OTHERS = _repertoire()
+_SIMPLE = _LETTERS | _OTHERS.keys()
+
+
+def _lines(text: str) -> str | None:
+    """The tokens of a simple text, lower-cased, a line each; None for others."""
+    low = text.lower()
+    there = set(low) - _LETTERS
+    if not there <= _OTHERS.keys():
+        return None
+    if "'" in there:
+
+        def contraction(m: re.Match) -> str:
+            before = _OTHERS.get(low[m.start() - 1], "") if m.start() else ""
+            return m[0] if before.startswith(_OPEN) else f"\n{_QUOTE}{m[0][1:]}\n"
+
+        low = _CONTRACTION.sub(contraction, low)
+    for c in there:
+        low = low.replace(c, _OTHERS[c])
+    return low.replace(_CLOSE + _OPEN, "").replace(_OPEN, "\n").replace(_CLOSE, "\n").replace(_QUOTE, "'") + "\n"
+
+
+def _line_engine(path: str):
+    """An engine for such lines with the ids of a BPE with word ends, or None
+    if the file holds another kind. A line feed plays the part of the end mark."""
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    model = spec["model"]
-    end = model.get("end_of_word_suffix")
+    model, end = spec["model"], spec["model"].get("end_of_word_suffix")
     if model.get("type") != "BPE" or not end or model.get("dropout"):
         return None
     vocab = model["vocab"]
@@ -72,18 +113,16 @@ def _word_engine(path: str):
     byte = {chr(b): b for b in shown}
     byte.update((chr(256 + i), b) for i, b in enumerate(sorted(set(range(256)) - set(shown))))
     ranks = {bytes(byte[c] for c in t.removesuffix(end)) + b"\n" * t.endswith(end): i for t, i in vocab.items()}
-    last = np.zeros(max(vocab.values()) + 1, dtype=bool)
-    last[[i for t, i in vocab.items() if t.endswith(end)]] = True
-    return tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={}), last
+    return tiktoken.Encoding("lines", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={})
 
 
 class WordTokenizer:
     """Ids of whole texts as little-endian 32-bit bytes.
 
-    A tokenizer that drops white space never merges over it, so texts are cut
-    at spaces and line feeds and every distinct chunk is encoded once. Latin
-    words with at most one closing mark go through :func:`_word_engine`, which
-    gives the same ids in less time; all others through ``tokenizers``.
+    Texts of Latin letters, digits and marks go through :func:`_line_engine`,
+    which gives the ids of the tokenizer file in less time. Others are cut at
+    spaces and line feeds, which the tokenizer drops: simple stretches go the
+    same way, other chunks through ``tokenizers``, each distinct one once.
     """
 
     def __init__(self, path: str, memory: int = CHUNK_MEMORY):
@@ -92,46 +131,34 @@ class WordTokenizer:
 
         self.memory = memory
         self._tok = Tokenizer.from_file(path)
-        self._engine = _word_engine(path)
-        self._mark = {m: self._plain([m])[0] for m in ".,;:!?"} | {"": b""}
-        self._known: dict[str, bytes] = {"": b""}
-        self._old: dict[str, bytes] = {}
-
-    def _plain(self, chunks: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self._tok.encode_batch(chunks, add_special_tokens=False)]
-
-    def _words(self, words: list[str]) -> Iterator[bytes]:
-        engine, last = self._engine
-        for at in range(0, len(words), 4000):
-            ids = np.asarray(engine.encode_ordinary("\n".join(words[at : at + 4000]) + "\n"), dtype="<u4")
-            ends, data = (4 * (np.flatnonzero(last[ids]) + 1)).tolist(), ids.tobytes()
-            yield from (data[a:b] for a, b in zip([0, *ends], ends, strict=False))
-
-    def _learn(self, chunks: set[str]) -> None:
-        again = chunks & self._old.keys()
-        self._known.update((c, self._old[c]) for c in again)
-        chunks = chunks - again
-        found = [(c, m) for c in chunks if (m := _WORD.fullmatch(c))] if self._engine else []
-        words = {m[1].lower() for _, m in found}
-        ids = dict(zip(words, self._words(list(words)), strict=True))
-        self._known.update((c, ids[m[1].lower()] + self._mark[m[2]]) for c, m in found)
-        odd = list(chunks.difference(c for c, _ in found))
-        self._known.update(zip(odd, self._plain(odd), strict=True))
-
-    def rest(self) -> None:
-        """Give up the old generation; between tasks other work needs the memory."""
-        self._old = {}
+        self._engine = _line_engine(path)
+        self._added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
+        self._known: dict[str, bytes] = {}
+
+    def _simple(self, text: str) -> bytes | None:
+        if self._engine is None or any(t in text for t in self._added) or (lines := _lines(text)) is None:
+            return None
+        return self._engine.encode_to_numpy(lines).astype("<u4", copy=False).tobytes()
+
+    def _odd(self, chunk: str) -> bytes:
+        ids = self._known.get(chunk)
+        if ids is None:
+            if len(self._known) >= self.memory:
+                self._known.clear()
+            ids = np.asarray(self._tok.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            self._known[chunk] = ids
+        return ids
+
+    def _mixed(self, text: str) -> Iterator[bytes]:
+        chunks = text.replace("\n", " ").split(" ")
+        for simple, run in groupby(chunks, lambda c: _SIMPLE.issuperset(c.lower()) and not any(t in c for t in self._added)):
+            if simple and self._engine is not None:
+                yield self._simple(" ".join(run))
+            else:
+                yield from map(self._odd, run)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        seen: set[str] = set().union(*cut)
-        fresh = seen.difference(self._known)
-        if len(self._known) + len(fresh) > self.memory // 2:
-            self._old, self._known = self._known, {"": b""}
-            fresh = seen.difference(self._known)
-        self._learn(fresh)
-        ids = self._known.__getitem__
-        return [b"".join(map(ids, chunks)) for chunks in cut]
+        return [b"".join(self._mixed(t)) if (ids := self._simple(t)) is None else ids for t in texts]
 
 
 def tokenizer(path: str, memory: int = CHUNK_MEMORY) -> WordTokenizer:
@@ -163,7 +190,6 @@ def token_stream(
                 before += int(sizes.sum())
                 arrays = [batch.column(0), pa.array(np.full(len(ids), part, dtype="int32")), pa.array(starts), pa.array(sizes), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
-        tok.rest()
 
     stream = docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, part int, before long, doc_tokens long, ids binary")
     return materialize(stream, "token-stream")
