@@ -10,10 +10,10 @@ and only if their texts are equal: no collision is possible, and no text is
 ever compared with more than its neighbours in a sort.
 
 Each text crosses the network once, as blocks of the first level. A block that
-holds more than 1 / HOT_SHARE of all block rows (copies, a common header) is
+holds more than 1 / ``hot_share`` of all block rows (copies, a common header) is
 named beforehand from its distinct values and its rows travel without their
 bytes, spread over all tasks. Names of pairs and the final groups are small
-rows; hot ones are looked up by broadcast (at most HOT_SHARE keys).
+rows; hot ones are looked up by broadcast.
 
 Defined cases: null text counts as empty; empty texts are one group; of
 repeated rows (same doc_id and text) one stays; a null doc_id comes after all
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import HOT_SHARE, ROW, keep_rows, materialize, shuffle_width, skew_lookup
+from tessera.llm.common import ROW, freeze, hot_share, materialize, shuffle_width, skew_lookup
 
 BLOCK = 4096
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -51,7 +51,8 @@ def _blocks(docs: DataFrame, block: int) -> DataFrame:
     """Block rows: ROW, pos, n_blocks, block, and (at pos 0) what the result
     needs of the document."""
     info = identity_columns()
-    data = docs.select("doc_id", "text").withColumn(ROW, F.monotonically_increasing_id())
+    own = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    data = docs.select("doc_id", "text", own.alias(ROW))
     data = data.withColumn("__t_norm", normalized("text"))
     data = data.select(
         ROW,
@@ -77,12 +78,12 @@ def name_blocks(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     count = rows.groupBy(F.xxhash64("block").alias("h")).agg(F.count(F.lit(1)).alias("n"))
     count = materialize(count, "block-counts")
     total = count.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # Hashes only choose which blocks are named beforehand, at most HOT_SHARE.
-    hot = [r[0] for r in count.filter(F.col("n") * HOT_SHARE > F.lit(total)).select("h").collect()]
+    # Hashes only choose which blocks are named beforehand: fewer than hot_share.
+    hot = [r[0] for r in count.filter(F.col("n") * hot_share(docs.sparkSession) > F.lit(total)).select("h").collect()]
     is_hot = F.xxhash64("block").isin(hot) if hot else F.lit(False)
     known = rows.filter(is_hot).groupBy("block").agg(F.count(F.lit(1)).alias("n")).select("block")
     if hot:
-        # The distinct values of at most HOT_SHARE hashes, numbered from -1 down.
+        # The distinct values of those hashes, numbered from -1 down.
         known = materialize(known, "hot-blocks")
         place = -F.row_number().over(Window.orderBy("block")).cast("long")
         known = F.broadcast(known.select(F.col("block").alias("__t_hot"), place.alias("__t_name")))
@@ -138,6 +139,7 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     groups = materialize(groups, "groups")
     rows = skew_lookup(named, groups.withColumn("group_size", F.col("n")), ["levels", "name"], "n", ["keep_id", "keep_row", "group_size"])
     return rows.select(
+        *([ROW] if ROW in docs.columns else []),
         F.col("info.doc_id").alias("doc_id"),
         "keep_id",
         "group_size",
@@ -149,5 +151,6 @@ def exact_dedup(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    chosen = exact_dedup(docs, block).filter("kept")
-    return keep_rows(docs, chosen, {"doc_id": F.col("doc_id"), **{k: v.cast("long") if k == "points" else v for k, v in identity_columns().items()}})
+    rows = freeze(docs, "rows-to-dedup")
+    chosen = exact_dedup(rows, block).filter("kept").select(ROW)
+    return rows.join(chosen, ROW, "left_semi").drop(ROW)

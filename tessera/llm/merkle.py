@@ -30,10 +30,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ROW, materialize, shuffle_width
+from tessera.llm.common import materialize, place_in_order
 from tessera.operators.sequence import same
 
 FAN = 8
@@ -42,7 +42,6 @@ DIGEST = 64  # hex digits of a digest
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: The letters that the tampering of the query lower-cases.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_PLACE = 33  # bits of monotonically_increasing_id below the partition
 
 
 def field(value: Column | str) -> Column:
@@ -55,24 +54,6 @@ def leaf_hash(*fields: Column | str) -> Column:
     return F.sha2(F.concat(*[field(f) for f in fields]), 256)
 
 
-def in_order(leaves: DataFrame, group: str, order: list[Column]) -> DataFrame:
-    """``leaves`` with ``__t_pos`` (place in the group, from 0) and ``__t_total``
-    (rows of the group)."""
-    spark = leaves.sparkSession
-    rows = materialize(leaves.withColumn(ROW, F.monotonically_increasing_id()), "leaves")
-    keys = [F.col(group).asc_nulls_first(), *order, F.col(ROW)]
-    dealt = rows.repartitionByRange(2 * shuffle_width(spark), *keys).sortWithinPartitions(*keys).drop(ROW)
-    dealt = materialize(dealt.withColumn("__t_id", F.monotonically_increasing_id()), "ordered-leaves")
-    dealt = dealt.withColumns({"__t_part": F.shiftright("__t_id", _PLACE), "__t_in": F.col("__t_id").bitwiseAND((1 << _PLACE) - 1)}).drop("__t_id")
-    # A row for each partition and group in it.
-    counts = dealt.groupBy(F.col(group).alias("__t_g"), F.col("__t_part").alias("__t_p")).agg(F.count(F.lit(1)).alias("n"), F.min("__t_in").alias("first"))
-    of_group = Window.partitionBy("__t_g")
-    before = F.coalesce(F.sum("n").over(of_group.orderBy("__t_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = counts.select("__t_g", "__t_p", (before - F.col("first")).alias("__t_off"), F.sum("n").over(of_group).alias("__t_total"))
-    joined = dealt.join(counts, F.col(group).eqNullSafe(F.col("__t_g")) & (F.col("__t_part") == F.col("__t_p")))
-    return joined.withColumn("__t_pos", F.col("__t_in") + F.col("__t_off")).drop("__t_g", "__t_p", "__t_part", "__t_in", "__t_off")
-
-
 def _levels(first: Column, steps: Column, fan: int) -> Column:
     """Level strings from the lowest up, as an array of binary values."""
     width = fan * DIGEST
@@ -154,12 +135,12 @@ def prove(leaves: DataFrame, group: str = "lang", key: str = "doc_id", leaf: str
     """``leaves`` with subroot, root and path, the siblings (left, right) of
     the leaf and of every node above it, up to the root. Columns of
     ``leaves`` should be narrow; they travel through the blocks."""
-    placed = in_order(leaves, group, [F.col(key).asc_nulls_first(), F.col(leaf)])
+    placed = place_in_order(leaves, [group], [F.col(key).asc_nulls_first(), F.col(leaf)], "leaves")
     item = F.struct(*[F.col(f"`{c}`") for c in leaves.columns])
     node = [F.col("__t_pos").alias("pos"), F.col("__t_total").alias("total")]
     tree = build(placed.select(F.col(group).alias("g"), *node, F.col(leaf).alias("digest"), item.alias("item")), fan, height)
 
-    groups = in_order(tree.roots.withColumn("all", F.lit(0)), "all", [F.col("g").asc_nulls_first()])
+    groups = place_in_order(tree.roots.withColumn("all", F.lit(0)), ["all"], [F.col("g").asc_nulls_first()], "subroots")
     groups = groups.select(F.col("all"), *node, F.col("root").alias("digest"), F.struct("g", "root").alias("item"))
     top = build(groups.withColumnRenamed("all", "g"), fan, height)
     no_path = F.expr("cast(array() as array<struct<left:string,right:string>>)")

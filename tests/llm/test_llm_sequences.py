@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm import concat_packing, fim, merkle
+from tessera.llm import common, concat_packing, fim, merkle
 from tessera.llm.queries import QUERIES, WORD_TOKENIZER_FILE, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -229,7 +229,7 @@ def test_order_is_global(spark):
     rows = spark.range(3000, numPartitions=16).select(
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("lang"), F.sha2(F.col("id").cast("string"), 256).alias("leaf")
     )
-    placed = merkle.in_order(rows, "lang", [F.col("doc_id"), F.col("leaf")]).collect()
+    placed = common.place_in_order(rows, ["lang"], [F.col("doc_id"), F.col("leaf")], "x").collect()
     for g in "ab":
         own = sorted((r["__t_pos"], r["doc_id"], r["leaf"]) for r in placed if r["lang"] == g)
         assert [x[0] for x in own] == list(range(len(own))) and [x[1:] for x in own] == sorted(x[1:] for x in own)
