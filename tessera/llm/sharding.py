@@ -1,21 +1,25 @@
 """Uniform shuffle into shards of exact sizes, by a communication matrix.
 
-Rows lie in logical partitions (by hash of a frozen row number). How many rows
-of each partition go to each shard is drawn first, as one matrix with the
-partitions' counts as row sums and the shards' exact sizes as column sums: the
-distribution that a uniform random assignment of rows to places has, which is
-multivariate hypergeometric. The matrix is drawn in two steps, each one
-hypergeometric draw after the other: first for groups of partitions, as many
-as a group has members, then inside all groups side by side. Then each
-partition is permuted and cut by its row of the matrix, the
-pieces go to their shards, and each shard is permuted again. This is done with
-the numbers of the rows; the whole rows then join their places.
+Rows lie in logical partitions. How many rows of each partition go to each
+shard is drawn first, as one matrix with the partitions' counts as row sums and
+the shards' exact sizes as column sums: the distribution that a uniform random
+assignment of rows to places has, which is multivariate hypergeometric. The
+matrix is drawn in two steps, each one hypergeometric draw after the other:
+first for groups of partitions, as many as a group has members, then inside all
+groups side by side. Then each partition is permuted and cut by its row of the
+matrix, the pieces go to their shards, and each shard is permuted again.
+
+A row knows its place in its partition, and permutations are computed, not
+sorted: a swap-or-not shuffle (Hoang, Morris and Rogaway, 2012) maps the numbers
+below n one to one onto themselves, for any n. So shard and slot of a row follow
+from its number and small tables, and whole rows move once, to the output
+partition of their shard and range of slots. Every output partition holds one
+shard.
 
 A draw inverts the distribution function outwards from the mode, with ratios
 of neighbouring probabilities; values more than ten standard deviations away
-are below the resolution of a double. Nothing but the counts of the
-partitions, whose number is a parameter, is ever in one row. Shards are
-ordered in hashed parts, so none is sorted in one task.
+are below the resolution of a double. The tables that are broadcast have a row
+for each partition read and at most ``TABLE`` numbers of the matrix.
 
 Defined cases: the law is ``rows`` (sizes differ by one at most, the first
 shards are the larger); null texts, repeated rows, equal and null ids are rows
@@ -29,11 +33,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ROW, freeze, materialize, shuffle_width, unit
-from tessera.operators.sequence import rank_in_groups
+from tessera.llm.common import ROW, freeze, materialize, partition_and_place, shuffle_width, unit
+from tessera.operators.sequence import columns
 
 SHARDS = 16
 SEED = 5
+ROUNDS = 32  # of a swap-or-not shuffle: a row is left alone by all with 2 ** -32
+TABLE = 1 << 20  # numbers of the matrix, at most, or one partition's row
 
 
 def _let(value: Column, use) -> Column:
@@ -134,33 +140,61 @@ def communication_matrix(sizes: DataFrame, quotas: list[int], parts: int, seed:
     return each.select("group", rows).select((F.col("group") * wide + F.col("i")).alias("part"), "counts")
 
 
+def permuted(i: Column, n: Column, *seed) -> Column:
+    """Where a random permutation of the numbers below ``n``, chosen by the
+    seed, puts ``i``: in every round a number and its partner, which add up to
+    a key of the round, change places or do not."""
+    hashed = lambda *x: F.xxhash64(*[c if isinstance(c, Column) else F.lit(c) for c in (*seed, *x)])
+
+    def swap(at: Column, round_: Column) -> Column:
+        def decide(partner: Column) -> Column:
+            coin = hashed("coin", round_, F.greatest(at, partner))
+            return F.when(coin.bitwiseAND(1) == 1, partner).otherwise(at)
+
+        return _let(F.pmod(F.pmod(hashed("key", round_), n) - at, n), decide)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), i, swap)
+
+
 def shard_rows(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, parts: int | None = None) -> DataFrame:
     """``rows`` with shard (int, from 0) and slot (long, gapless from 0 in the
-    shard), in the place of columns with these names."""
+    shard), in the place of columns with these names. A partition of the result
+    holds a range of the slots of one shard, in their order."""
     spark = rows.sparkSession
-    parts = parts or shuffle_width(spark)
+    width = shuffle_width(spark)
+    parts = parts or max(1, min(width, TABLE // shards))
     frozen = freeze(rows.drop("shard", "slot"), "rows-to-shard")
-    # Places are drawn for row numbers; then each whole row moves once.
-    placed = frozen.select(ROW).withColumn("__t_part", F.pmod(F.xxhash64(F.lit(seed), ROW), F.lit(parts)).cast("int"))
-    sizes = materialize(placed.groupBy(F.col("__t_part").alias("part")).agg(F.count(F.lit(1)).alias("n")), "part-sizes")
+    home, place = partition_and_place(F.col(ROW))
+    read = frozen.groupBy(home.alias("home")).agg(F.count(F.lit(1)).alias("n"))
+    read = read.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "home"), F.lit(parts)).cast("int"))
+    # Partitions read follow one another in their logical partition: a row each.
+    own = Window.partitionBy("part")
+    before = F.coalesce(F.sum("n").over(own.orderBy("home").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    read = materialize(read.select("home", "part", "n", before.alias("base"), F.sum("n").over(own).alias("size")), "partitions-read")
+    sizes = read.groupBy("part").agg(F.sum("n").alias("n"))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     quotas = [total // shards + (j < total % shards) for j in range(shards)]
-    matrix = communication_matrix(sizes, quotas, parts, seed)
-    ends = F.transform("counts", lambda _, i: F.aggregate(F.slice("counts", F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, x: a + x))
-    matrix = materialize(matrix.select(F.col("part").alias("__t_p"), ends.alias("__t_ends")), "matrix")
-    # A part is a hashed share of the rows, so it is permuted in one task.
-    order = Window.partitionBy("__t_part").orderBy(F.xxhash64(F.lit(seed + 1), ROW), ROW)
-    local = placed.withColumn("__t_local", F.row_number().over(order) - 1)
-    cut = local.join(F.broadcast(matrix), F.col("__t_part") == F.col("__t_p"))  # `parts` rows
-    cut = cut.withColumn("shard", F.size(F.filter("__t_ends", lambda e: e <= F.col("__t_local"))).cast("int"))
-    again = unit(seed + 2, F.col(ROW))
-    sub = F.floor(again * (4 * parts)).cast("int")
-    sent = materialize(cut.select(ROW, "shard", again.alias("__t_again"), sub.alias("__t_sub")), "sharded")
-    places = rank_in_groups(sent, ["shard"], "__t_sub", [F.col("__t_again"), F.col(ROW)], "slot")
-    places = places.select(F.col(ROW).alias("__t_placed"), "shard", "slot")
-    return frozen.join(places, F.col(ROW) == F.col("__t_placed")).drop(ROW, "__t_placed")
+    matrix = materialize(communication_matrix(sizes, quotas, parts, seed), "matrix")
+    cells = matrix.select("part", F.posexplode("counts").alias("to", "n"))
+    upto = lambda c, by: F.sum("n").over(Window.partitionBy(c).orderBy(by).rowsBetween(Window.unboundedPreceding, 0))
+    cells = cells.select("part", "to", upto("part", "to").alias("end"), (upto("to", "part") - F.col("n")).alias("at"), (upto("part", "to") - F.col("n")).alias("start"))
+    cuts = cells.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("to", "start", "end", "at"))).alias("__t_cuts"))  # a row of the matrix
+    cuts = materialize(cuts.withColumnRenamed("part", "__t_p"), "cuts")
+
+    known = F.broadcast(read.select(F.col("home").alias("__t_home"), F.col("part").alias("__t_part"), "base", "size"))
+    row = frozen.join(known, home == F.col("__t_home")).join(F.broadcast(cuts), F.col("__t_part") == F.col("__t_p"))
+    row = row.withColumn("__t_local", permuted(place + F.col("base"), F.col("size"), seed + 1, F.col("__t_part")))
+    piece = F.filter("__t_cuts", lambda c: (c["start"] <= F.col("__t_local")) & (F.col("__t_local") < c["end"]))[0]
+    row = row.withColumn("__t_piece", piece)
+    shard = F.col("__t_piece.to").cast("int")
+    quota = F.element_at(F.lit(quotas).cast("array<long>"), shard + 1)
+    again = permuted(F.col("__t_piece.at") + F.col("__t_local") - F.col("__t_piece.start"), quota, seed + 2, shard)
+    placed = row.select(*columns(frozen, (ROW,)), shard.alias("shard"), again.alias("slot"))
+    each = max(1, -(-width // shards))
+    target = F.col("shard") * each + F.floor(F.col("slot") * each / F.element_at(F.lit(quotas).cast("array<long>"), F.col("shard") + 1))
+    return placed.repartitionById(shards * each, target.cast("int")).sortWithinPartitions("slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
     """One folder for each shard, rows in slot order within every file."""
-    sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    sharded.write.partitionBy("shard").parquet(path)
