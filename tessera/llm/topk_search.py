@@ -8,14 +8,20 @@ remaining masses (norms over these dimensions), and at least minus that. The
 k-th best lower bound of a query is a score that k candidates reach, so
 candidates whose upper bound is below it are dropped, and the survivors are
 compacted before the next group. Survivors of the last group have exact scores.
+The bound starts high: after the first group the k best partial scores are
+finished, and a task that meets the same queries with one block of candidates
+after the other carries their k best scores along.
 
-Queries and candidates are dealt into blocks by hash; every pair of blocks is
-one row of work, so a task holds two blocks at a time, and each query keeps k
-candidates of each block before the blocks' results are merged. The queries
-are a stated share of the rows; both sides are distributed.
+Queries and candidates are dealt into blocks by hash, and blocks of candidates
+round robin into lanes, a task each. Every pair of blocks is one row of work, so
+a task holds two blocks at a time, and each query keeps k candidates of a lane
+before the lanes' results are merged. The queries are a stated share of the
+rows; both sides are distributed.
 
-Components are integers (``floor(scale * x)``). Scores are computed in doubles
-where they are exact (below 2^53), in Python integers elsewhere.
+Components are integers (``floor(scale * x)``; where the product exceeds a
+double, the largest double). Scores are computed in doubles where they are exact
+(below 2^53), in Python integers elsewhere; a score beyond the range of a long
+counts as that range's end.
 
 Defined cases: null vectors and those with null or non-finite components take
 no part; vectors of different lengths are compared over the dimensions that
@@ -30,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, shuffle_width
@@ -40,17 +46,24 @@ SCALE = 64
 QUERY_BLOCK = 512
 BLOCK = 8192
 DIMENSIONS = 16  # accumulated between two prunings
+LARGEST = 1.7976931348623157e308
+LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
 
 
 def integer_vectors(rows: DataFrame, scale: int = SCALE, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(vec_id, v): vectors that take part, as whole numbers in doubles."""
-    whole = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    def whole_number(x: Column) -> Column:
+        y = F.least(F.greatest(x.cast("double") * scale, F.lit(-LARGEST)), F.lit(LARGEST))
+        return F.when(F.abs(y) >= 2.0**53, y).otherwise(F.floor(y).cast("double"))  # from there on all are whole
+
+    whole = F.transform(F.col(vector), whole_number)
     usable = F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return rows.filter(F.col(key).isNotNull() & F.col(vector).isNotNull() & usable).select(F.col(key).alias("vec_id"), whole.alias("v"))
 
 
 def blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
-    """(block, ids, width, data): vertical matrices of about ``size`` vectors."""
+    """(number, block, ids, width, data): vertical matrices of about ``size``
+    vectors. Numbers run from 0 and may repeat, ``block`` does not."""
     vectors = materialize(vectors, name)
     n = max(1, -(-vectors.count() // size))
 
@@ -64,7 +77,7 @@ def blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
             matrix = np.zeros((width, len(held)), dtype="<f8")
             for i, (_, v) in enumerate(held):
                 matrix[: len(v), i] = v
-            return pa.RecordBatch.from_pydict({"block": [now], "ids": [ids.tobytes()], "width": [width], "data": [matrix.tobytes()]})
+            return pa.RecordBatch.from_pydict({"number": [now], "ids": [ids.tobytes()], "width": [width], "data": [matrix.tobytes()]})
 
         for batch in batches:
             for block, key, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -78,17 +91,20 @@ def blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
 
     dealt = vectors.select(F.pmod(F.xxhash64("vec_id"), F.lit(n)).alias("block"), "vec_id", "v")
     dealt = dealt.repartition("block").sortWithinPartitions("block", "vec_id")
-    packed = dealt.mapInArrow(run, "block long, ids binary, width long, data binary")
+    packed = dealt.mapInArrow(run, "number long, ids binary, width long, data binary")
     return materialize(packed.withColumn("block", F.monotonically_increasing_id()), f"{name}-blocks")
 
 
-def search_block(qids: np.ndarray, q: np.ndarray, cids: np.ndarray, c: np.ndarray, k: int = K, step: int = DIMENSIONS) -> list[tuple[int, int, int]]:
-    """(query, candidate, score) of the k best candidates of each query.
-    ``q`` and ``c`` are vertical: dimensions by vectors."""
+def search_block(
+    qids: np.ndarray, q: np.ndarray, cids: np.ndarray, c: np.ndarray, k: int = K, step: int = DIMENSIONS, floors: np.ndarray | None = None
+) -> list[tuple[int, int, int]]:
+    """(query, candidate, score) of the k best candidates of each query, of
+    those that reach the query's entry in ``floors``. ``q`` and ``c`` are
+    vertical: dimensions by vectors."""
     width = min(len(q), len(c))
     q, c = q[:width], c[:width]
     largest = (np.abs(q).max(initial=0.0) or 0.0) * (np.abs(c).max(initial=0.0) or 0.0)
-    if largest * max(width, 1) >= 2.0**53:
+    if not largest * max(width, 1) < 2.0**53:
         return _search_wide(qids, q, cids, c, k)
     cuts = list(range(0, width, step))
     mass = lambda m: np.array([np.sqrt((m[at + step :] ** 2).sum(axis=0)) for at in cuts]).reshape(len(cuts), m.shape[1])
@@ -98,12 +114,17 @@ def search_block(qids: np.ndarray, q: np.ndarray, cids: np.ndarray, c: np.ndarra
     for i, query in enumerate(qids.tolist()):
         alive = np.flatnonzero(cids != query)
         score = first[i, alive]
+        reached = -np.inf if floors is None else floors[i]
+        if len(alive) > k and width > step:  # the k most promising ones, to the end
+            ahead = np.argpartition(score, len(alive) - k)[len(alive) - k :]
+            reached = max(reached, (score[ahead] + q[step:, i] @ c[step:, alive[ahead]]).min())
         for j, at in enumerate(cuts):
             if j:
                 score = score + q[at : at + step, i] @ c[at : at + step, alive]
-            if len(alive) > k and at + step < width:
+            if at + step < width and len(alive):
                 slack = qmass[j, i] * cmass[j, alive] * (1 + 1e-9) + 1e-6  # covers rounding of the norms
-                reached = np.partition(score - slack, len(alive) - k)[len(alive) - k]
+                if len(alive) > k:
+                    reached = max(reached, np.partition(score - slack, len(alive) - k)[len(alive) - k])
                 keep = score + slack >= reached
                 alive, score = alive[keep], score[keep]
         best = np.lexsort((cids[alive], -score))[:k]
@@ -117,33 +138,84 @@ def _search_wide(qids, q, cids, c, k):
     out = []
     for query, v in zip(qids.tolist(), q.T, strict=True):
         v = [int(x) for x in v]
-        scored = ((-sum(a * b for a, b in zip(v, r, strict=True)), cid) for cid, r in zip(cids.tolist(), rows, strict=True) if cid != query)
+        exact = ((sum(a * b for a, b in zip(v, r, strict=True)), cid) for cid, r in zip(cids.tolist(), rows, strict=True) if cid != query)
+        scored = ((-max(LEAST_LONG, min(MOST_LONG, s)), cid) for s, cid in exact)
         out += [(query, cid, -s) for s, cid in sorted(scored)[:k]]
     return out
 
 
+class Leaders:
+    """The k best of each query of a block so far."""
+
+    def __init__(self, qids: np.ndarray, k: int):
+        self.k, self.qids = k, qids
+        self.best: list[list[tuple[int, int]]] = [[] for _ in qids]
+
+    def floors(self) -> np.ndarray:
+        return np.array([float(-b[-1][0]) if len(b) == self.k else -np.inf for b in self.best])
+
+    def add(self, found: list[tuple[int, int, int]]) -> None:
+        """``found`` has the queries in the order of the block."""
+        at = 0
+        for i, query in enumerate(self.qids.tolist()):
+            end = at
+            while end < len(found) and found[end][0] == query and end - at < self.k:
+                end += 1
+            if end > at:
+                self.best[i] = sorted([*self.best[i], *((-s, c) for _, c, s in found[at:end])])[: self.k]
+            at = end
+
+    def rows(self) -> list[tuple[int, int, int]]:
+        return [(q, c, -s) for q, b in zip(self.qids.tolist(), self.best, strict=True) for s, c in b]
+
+
+def lane_labels(spark: SparkSession, lanes: int) -> list[int]:
+    """A number for each lane that Spark's hash puts into a partition of its own."""
+    found: dict[int, int] = {}
+    n = 8 * lanes
+    while len(found) < lanes:
+        place = F.pmod(F.hash("id"), F.lit(lanes)).alias("place")
+        found = dict(spark.range(n).select("id", place).groupBy("place").agg(F.min("id").alias("id")).collect())  # a row a lane
+        n *= 4
+    return [found[i] for i in range(lanes)]
+
+
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, query_block: int = QUERY_BLOCK, block: int = BLOCK) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best candidates of each
     query. Both sides have (vec_id, v) as :func:`integer_vectors` gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["query_id", "vec_id", "score"]
+        now, leaders = None, None
+
+        def close() -> pa.RecordBatch:
+            found = leaders.rows()
+            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(3)], names=names)
+
         for batch in batches:
-            for qi, qw, qd, ci, cw, cd in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for which, qi, qw, qd, ci, cw, cd in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 qids, cids = np.frombuffer(qi, "<i8"), np.frombuffer(ci, "<i8")
                 q, c = (np.frombuffer(d, "<f8").reshape(w, len(ids)) for d, w, ids in ((qd, qw, qids), (cd, cw, cids)))
-                found = search_block(qids, q, cids, c, k)
-                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(3)], names=names)
+                if which != now:
+                    if leaders:
+                        yield close()
+                    now, leaders = which, Leaders(qids, k)
+                leaders.add(search_block(qids, q, cids, c, k, floors=leaders.floors()))
+        if leaders:
+            yield close()
 
+    spark = queries.sparkSession
     asked = blocks(queries, query_block, "queries").select(*[F.col(x).alias(f"q_{x}") for x in ("block", "ids", "width", "data")])
     held = blocks(candidates, block, "candidates")
-    # Every block of queries is sent once to each task's share of candidates:
-    # the pairs are spread over `lanes` by the candidate block.
-    lanes = shuffle_width(queries.sparkSession)
-    asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
-    held = held.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)))
+    # Every block of queries is sent once to each lane's share of candidates.
+    lanes = shuffle_width(spark)
+    labels = F.lit(lane_labels(spark, lanes)).cast("array<bigint>")
+    used = F.lit(min(lanes, (held.agg(F.max("number")).first()[0] or 0) + 1))
+    asked = asked.withColumn("lane", F.explode(F.slice(labels, F.lit(1), used)))
+    held = held.withColumn("lane", F.element_at(labels, (F.pmod("number", used) + 1).cast("int")))
     # A block is little to move but much to search: lanes are not to be merged by size.
-    work = asked.repartition(lanes, "lane").join(held.repartition(lanes, "lane"), "lane").select("q_ids", "q_width", "q_data", "ids", "width", "data")
+    work = asked.repartition(lanes, "lane").join(held.repartition(lanes, "lane"), "lane")
+    work = work.select("q_block", "q_ids", "q_width", "q_data", "ids", "width", "data")
     found = work.mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
