@@ -144,9 +144,12 @@ def plan_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFr
     """page_id, url, payload, digest, refers_to and revisit of every page."""
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
-    equal = rows.filter(F.octet_length("payload") >= revisit_bytes).groupBy("digest")
+    long = F.octet_length("payload") >= revisit_bytes
+    equal = rows.filter(long).groupBy("digest")
     equal = equal.agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first")).filter("n > 1 and first is not null")
-    rows = skew_lookup(rows, materialize(equal, "equal-payloads"), ["digest"], "n", ["first"])
+    found = skew_lookup(rows.filter(long), materialize(equal, "equal-payloads"), ["digest"], "n", ["first"])
+    # Short payloads repeat without end and look nothing up: they stay where they are.
+    rows = found.unionByName(rows.filter(~long), allowMissingColumns=True)
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return rows.select("page_id", "url", "payload", "digest", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
 

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from tessera.llm import chat, topk_search, url_rules, warc
+from tessera.llm import chat, common, topk_search, url_rules, warc
 from tessera.llm.queries import ORACLE, QUERIES, RULES
 from tessera.session import scratch_path
 
@@ -68,6 +68,38 @@ def test_top_k_repeats_and_wide_scores(spark):
     assert exact == [(9, 1, 2**58 + 2**29)]
 
 
+@pytest.mark.parametrize("big", [1e9, 1e30, 1.7e308])
+def test_top_k_of_any_finite_component(spark, big):
+    rows = [(0, [big, 1.0]), (1, [big, 2.0]), (2, [-big, 3.0]), (3, [0.25, -1.5])]
+    vectors = topk_search.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    whole = {r.vec_id: [int(x) for x in r.v] for r in vectors.collect()}
+    scale = lambda x: math.floor(64 * x) if abs(64 * x) < 2**53 else int(max(-topk_search.LARGEST, min(topk_search.LARGEST, 64 * x)))
+    assert whole == {i: [scale(x) for x in v] for i, v in rows}
+    clamp = lambda x: max(-(2**63), min(2**63 - 1, x))
+    got = Counter((r.query_id, r.vec_id, r.score) for r in topk_search.top_k(vectors, vectors).collect())
+    assert got == Counter((q, c, clamp(sum(a * b for a, b in zip(v, w, strict=True)))) for q, v in whole.items() for c, w in whole.items() if c != q)
+
+
+def test_lanes_are_dealt_round_robin(spark):
+    for lanes in (1, 5, 24):
+        labels = topk_search.lane_labels(spark, lanes)
+        dealt = spark.createDataFrame([(x,) for x in labels], "lane long").repartition(lanes, "lane")
+        assert dealt.select(F.spark_partition_id()).distinct().count() == lanes
+
+
+def test_bounds_are_carried_and_lose_nothing():
+    rng = np.random.default_rng(5)
+    c = np.floor(64 * rng.normal(size=(32, 600)))
+    q, qids, cids = c[:, :12].copy(), np.arange(12), np.arange(600)
+    whole = topk_search.search_block(qids, q, cids, c, 20, 8)
+    leaders = topk_search.Leaders(qids, 20)
+    for at in range(0, 600, 100):
+        part = topk_search.search_block(qids, q, cids[at : at + 100], c[:, at : at + 100], 20, 8, leaders.floors())
+        leaders.add(part)
+    assert leaders.rows() == whole
+    assert len(part) < 12 * 20  # the last block brings fewer than k a query
+
+
 def test_top_k_of_fewer_and_none(spark):
     few = topk_search.integer_vectors(spark.createDataFrame([(0, [1.0]), (5, [2.0])], "vec_id long, embedding array<double>"))
     assert [(r.query_id, r.vec_id) for r in topk_search.top_k(few, few).collect()] in ([(0, 5), (5, 0)], [(5, 0), (0, 5)])
@@ -109,6 +141,36 @@ def test_archives_round_trip(spark):
     assert got == want
 
 
+def test_short_payloads_are_not_looked_up(spark):
+    """A third of the pages with one short payload stay where they are read."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        html = F.when(F.col("id") % 3 == 0, None).otherwise(F.concat(F.lit("x" * 120), F.col("id") % 400))
+        pages = spark.range(1200, numPartitions=8).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+        planned = warc.plan_records(pages)
+        sizes = [n for (n,) in planned.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == 1200 and max(sizes) < 2.5 * 1200 / len(sizes)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hot_keys_are_spread_without_aqe(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(6000, numPartitions=8).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 2000).alias("k"), "id")
+        table = common.materialize(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top")), "table")
+        found = common.skew_lookup(rows, table, ["k"], "n", ["top"])
+        sizes = [n for (n,) in found.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == 6000 and len(sizes) == 8 and max(sizes) < 1.5 * 6000 / 8
+        assert found.filter("k = -1 and top <> 5997").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_archive_layout():
     records = [warc.make_record(str(i), f"http://a/{i}", b"<p>hello dictionary %d</p>" % i * 30, "0" * 64, None, False) for i in range(400)]
     out = io.BytesIO()
@@ -208,6 +270,8 @@ def test_rotation(spark, block):
     rows = [(1, i, ["user", "assistant", "bob", "system"][i % 4], f"turn {i}") for i in range(11)]
     rows += [(2, 0, None, "nobody"), (2, 1, "ann", None), (2, 1, "ann", None), (2, 1, "abe", "tie"), (2, None, "ann", "no number"), (3, 0, "system", "alone")]
     rows += [(None, 5, "user", "no conversation id"), (4, 0, "user", "x" * 50_000), (5, -3, "user", "early"), (5, 5000, "user", "late 🙂")]
+    rows += [(6, -3, "ann", "negative"), (6, None, "bob", "null comes first"), (6, -2000, "bob", "far below"), (6, None, None, "null, too"), (6, 0, "ann", "zero")]
+    rows += [(7, None, f"p{i % 3}", f"no number {i % 11}") for i in range(60)]  # one number, many turns
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], TURNS).repartition(4)
     parts = defaultdict(list)
     for r in chat.rotate_perspectives(df, block).collect():
@@ -221,6 +285,39 @@ def test_rotation(spark, block):
         assert (whole, "".join(whole[a:b] for r in blocks for a, b in r["mask"])) == want[key]
 
 
+def test_sql_orders_turns_alike(spark, tmp_path):
+    rows = [(1, t, r, f"{t} {r}") for t in (None, -3, -2000, 0, 5) for r in (None, "ann", "bob")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    cur = con.execute(ORACLE["op7_perspective_rotation"])
+    names = [d[0] for d in cur.description]
+    df = QUERIES["op7_perspective_rotation"](spark, str(tmp_path))
+    assert Counter(map(tuple, df.select(*names).collect())) == Counter(cur.fetchall())
+
+
+def test_a_hot_conversation_is_in_no_single_task(spark):
+    """Two thirds of all turns in one conversation, half of them without a number."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        turns = spark.range(9000, numPartitions=8).select(
+            F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id")).alias("conv_id"), F.when(F.col("id") % 2 > 0, F.col("id")).alias("turn"),
+            F.concat(F.lit("p"), F.col("id") % 2).alias("role"), F.lit("same words").alias("text"),
+        )
+        placed = common.place_in_order(turns, ["conv_id"], [F.col(c).asc_nulls_first() for c in ("turn", "role", "text")], "t")
+        sizes = [n for (n,) in placed.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert max(sizes) < 3 * 9000 / len(sizes) and placed.filter("conv_id = -1").select("__t_pos").distinct().count() == 6000
+        out = chat.rotate_perspectives(turns, 64)
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert text.count("<|im_start|>") <= 2 * text.count("<|im_start|>assistant") + 2  # rendered once
+        blocks = [n for (n,) in out.filter("conv_id = -1").groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(blocks) == 2 * -(-6000 // 64) and len(blocks) == 8 and max(blocks) < 2 * sum(blocks) / 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_no_turns(spark):
     assert chat.rotate_perspectives(spark.createDataFrame([], TURNS)).collect() == []
 
@@ -230,7 +327,7 @@ def test_no_turns(spark):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
-    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
