@@ -16,9 +16,10 @@ joined by ``skew_lookup``, which spreads hot sources.
 
 Defined cases: rows with a null source are a source of their own; without
 given weights a source weighs the power ``alpha`` of its rows, with them a
-source that is not named weighs 0 and its rows go; repeated rows (same doc_id
-and text) draw alike; a null text draws like an empty one; an empty table
-gives an empty result; other columns stay.
+source that is not named weighs 0 and its rows go; repeated rows draw one
+by one; a null text draws like an empty one; an empty table
+gives an empty result; other columns stay. Rows repeat when doc_id and text are
+equal: they are numbered, and the number is part of what is hashed.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, skew_lookup
-from tessera.operators.sequence import columns
+from tessera.llm.common import ROW, freeze, materialize, shuffle_width, skew_lookup
+from tessera.operators.sequence import columns, rank_in_groups
 
 PART = 16.0
 LONGEST = 80  # P(X > 80) with mean 16 is below 1e-27
@@ -70,6 +71,26 @@ def _distribution(mean: Column) -> Column:
     return F.aggregate(steps, start, add, lambda s: s["all"])
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__t_me``, a text that tells a row from all others: a
+    digest of id and text (ids may repeat or be null), and among equal rows
+    their number, for all but one of them."""
+    me = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))).cast("binary"))
+    docs = docs.withColumn("__t_me", me)
+    again = docs.groupBy("__t_me").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = materialize(again, "repeated-rows")
+    if again.isEmpty():
+        return docs
+    rows = freeze(docs, "rows-to-mix")
+    twins = skew_lookup(rows.select(ROW, "__t_me"), again, ["__t_me"], "n", ["n"], "inner")
+    part = F.pmod(F.xxhash64(ROW), F.lit(4 * shuffle_width(docs.sparkSession)))
+    twins = materialize(twins.select(ROW, "__t_me", part.alias("__t_part")), "twins")
+    nth = rank_in_groups(twins, ["__t_me"], "__t_part", [ROW], "__t_nth").filter("__t_nth > 0")
+    nth = nth.select(F.col(ROW).alias("__t_r"), "__t_nth")
+    told = rows.join(nth, F.col(ROW) == F.col("__t_r"), "left")
+    return told.withColumn("__t_me", F.concat_ws("#", "__t_me", F.col("__t_nth").cast("string"))).drop(ROW, "__t_r", "__t_nth")
+
+
 def draw(docs: DataFrame, rate: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` with ``__t_mix``: rate and copies of each row."""
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int")
@@ -77,10 +98,7 @@ def draw(docs: DataFrame, rate: DataFrame, seed: int = SEED) -> DataFrame:
         F.col("source").alias("__t_source"), "n", F.struct("rate", parts.alias("parts"), _distribution(F.col("rate") / parts).alias("below")).alias("__t_mix")
     )
     known = materialize(known, "rates")
-    # What tells a row from others; its text counts, as ids may repeat or be
-    # null. Below the join, so that it is computed once a row.
-    me = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))).cast("binary"))
-    docs = docs.withColumn("__t_me", me)
+    docs = _told_apart(docs)  # below the join, so that it is computed once a row
     if known.count() <= BROADCAST_SOURCES:
         joined = docs.join(F.broadcast(known.drop("n")), docs["source"].eqNullSafe(known["__t_source"])).drop("__t_source")
     else:
@@ -127,8 +145,9 @@ def oracle(alpha: float = ALPHA, seed: int = SEED) -> str:
             sum(exp(-rate / parts + k * ln(rate / parts) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS below
           FROM p, range(0, {LONGEST + 1}) x(k)),
     c AS (SELECT source, any_value(rate) AS rate, any_value(parts) AS parts, list(below ORDER BY k) AS below FROM d GROUP BY source),
-    m AS (SELECT documents.*, c.rate, c.parts, c.below, md5(concat_ws('|', doc_id::VARCHAR, coalesce(text, ''))) AS me
-          FROM documents JOIN c ON documents.source IS NOT DISTINCT FROM c.source),
+    i AS (SELECT *, md5(concat_ws('|', doc_id::VARCHAR, coalesce(text, ''))) AS one FROM documents),
+    e AS (SELECT *, one || coalesce('#' || nullif(row_number() OVER (PARTITION BY one) - 1, 0), '') AS me FROM i),
+    m AS (SELECT e.*, c.rate, c.parts, c.below FROM e JOIN c ON e.source IS NOT DISTINCT FROM c.source),
     u AS (SELECT m.*, list_sum(list_transform(range(1, parts + 1), lambda i: len(list_filter(below,
             lambda b: b <= ('0x' || substr(md5(concat_ws('|', '{seed}', me, i::VARCHAR)), 1, 13))::BIGINT / 4503599627370496.0))))::BIGINT AS copies FROM m)
     SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy, copies, round(rate, 9) AS rate
