@@ -5,8 +5,10 @@ A text is the mean of the embeddings of the hashed byte n-grams of its words
 that mean gives the language. Embeddings and softmax are trained together by
 stochastic gradient descent in numpy, on a bounded sample of labelled rows
 (``SAMPLE_PER_LANGUAGE`` rows of each of the ``LANGUAGES`` most frequent
-languages, those with the smallest hashes, none longer than ``SAMPLE_CHARS``
-characters). Languages are counted first, and only rows whose hash is small
+languages, those with the smallest hashes; of a text longer than
+``SAMPLE_CHARS`` characters a stretch of that length, at a hashed place; with
+many languages fewer rows and shorter stretches, so that the driver holds at most
+``SAMPLE_TOTAL`` characters). Languages are counted over all rows first, and only rows whose hash is small
 enough for their language's count are looked at further, so the sample is no
 larger to move in a large table than in a small one. Each fifth sampled row of a
 language is kept for calibration (a language of fewer rows is only learned):
@@ -45,7 +47,9 @@ WIDTH = 16
 NGRAMS = (1, 2, 3, 4)
 SAMPLE_PER_LANGUAGE = 800
 SAMPLE_CHARS = 20_000
-LANGUAGES = 1000
+SAMPLE_TOTAL = 128_000_000
+LEAST_PER_LANGUAGE = 100
+LANGUAGES = 200  # a model has BUCKETS doubles for each: 105 MB
 EPOCHS = 4
 RATE = 0.5
 #: Each n-gram has a small share of a text, so its step is longer by this factor.
@@ -253,19 +257,28 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
+def sample_bounds(languages: int, per_language: int = SAMPLE_PER_LANGUAGE, chars: int = SAMPLE_CHARS, total: int = SAMPLE_TOTAL) -> tuple[int, int]:
+    """Rows of each language, and characters of each row, within the total."""
+    rows = min(per_language, max(LEAST_PER_LANGUAGE, total // (languages * chars)))
+    return rows, min(chars, total // (languages * rows))
+
+
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, chars: int = SAMPLE_CHARS) -> LanguageModel:
-    """Train on a bounded sample of the labelled rows that are not held out.
-    The driver holds at most ``per_language`` texts of a language."""
-    usable = docs.select("doc_id", "text", "lang").filter(
-        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out() & (F.char_length("text") <= chars) & F.col("text").rlike("\\p{L}")
-    )
+    """Train on a bounded sample of the labelled rows that are not held out."""
+    letter = F.col("text").rlike("\\p{L}")
+    usable = docs.select("doc_id", "text", "lang").filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out() & letter)
     counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return train([])
+    per_language, chars = sample_bounds(len(counts), per_language, chars)
     # Twice as many as needed may pass, so that enough do.
     shares = docs.sparkSession.createDataFrame([(r[0], 2.0 * per_language / r[1]) for r in counts], "__t_lang string, __t_share double")
     drawn = usable.withColumn("__t_u", unit(1, F.col("doc_id"), F.col("text")))
     drawn = drawn.join(F.broadcast(shares), F.col("lang") == F.col("__t_lang")).filter(F.col("__t_u") < F.col("__t_share"))
+    # A long text is cut before it moves.
+    over = F.char_length("text") - chars
+    start = F.floor(unit(2, F.col("doc_id"), F.col("text")) * (over + 1)).cast("int") + 1
+    drawn = drawn.withColumn("text", F.when(over > 0, F.substring(F.col("text"), start, F.lit(chars))).otherwise(F.col("text"))).filter(letter)
     sample = drawn.withColumn("__t_n", F.row_number().over(Window.partitionBy("lang").orderBy("__t_u", "doc_id", "text")))
     rows = sample.filter(F.col("__t_n") <= per_language).orderBy("__t_n", "lang").select("text", "lang").collect()
     return train([(r[0], r[1]) for r in rows])
