@@ -172,6 +172,24 @@ def q_file_headers(spark, sf):
     return SRC.parse_delimited(lines, columns)
 
 
+@register("rejected_rating_lines", """
+WITH l AS (SELECT doc_id, CASE doc_id % 11 WHEN 1 THEN doc_id || ',7' WHEN 4 THEN doc_id || ',7,,' WHEN 6 THEN doc_id || ',7,five,0'
+    WHEN 9 THEN doc_id || ',7,5.0,noon' ELSE doc_id || ',7,' || (n_chars % 9) || '.5,0' END AS value FROM documents)
+SELECT value, CASE WHEN doc_id % 11 IN (1, 4) THEN 2 ELSE 4 END AS n_fields,
+  CASE doc_id % 11 WHEN 6 THEN 'bad rating' WHEN 9 THEN 'bad ts' ELSE 'few fields' END AS reason FROM l WHERE doc_id % 11 IN (1, 4, 6, 9)""")
+def q_rejected_rating_lines(spark, sf):
+    """Rating lines that are skipped or cannot be read, with the reason."""
+    k = F.col("doc_id")
+    rest = (
+        F.when(k % 11 == 1, ",7").when(k % 11 == 4, ",7,,").when(k % 11 == 6, ",7,five,0").when(k % 11 == 9, ",7,5.0,noon")
+        .otherwise(F.concat(F.lit(",7,"), (F.col("n_chars") % 9).cast("string"), F.lit(".5,0")))
+    )
+    path = scratch_path(spark, "rating-lines")
+    B.table(spark, sf, "documents").select(F.concat(k.cast("string"), rest)).write.text(path)
+    types = {"rating": "double", "ts": "bigint"}
+    return SRC.rejected_lines(SRC.read_lines(spark, path), ["user_id", "movie_id", "rating", "ts"], min_fields=3, types=types)
+
+
 #: Columns of the inferred file: (name, SQL text of a value, SQL of the typed value, type).
 _INFERRED = [
     ("c_int", "n_chars", "n_chars::INT", "int"),

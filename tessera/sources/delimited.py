@@ -123,6 +123,29 @@ def parse_delimited(
     return arr.select(*out)
 
 
+def rejected_lines(
+    lines: DataFrame,
+    columns: Sequence[str],
+    sep: str = ",",
+    min_fields: int | None = None,
+    limit: int = -1,
+    types: dict[str, T.DataType | str] | None = None,
+    col: str = "value",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """The lines that :func:`parse_delimited` skips, or ends at when strict:
+    ``value, n_fields, reason`` (``few fields`` or ``bad <column>``, the first of
+    them). With its rows they make up all lines."""
+    need = len(columns) if min_fields is None else min_fields
+    parts = lines.select(*keep, F.col(col).alias("value"), java_split(col, sep, limit).alias("_f"))
+    reason = F.when(F.size("_f") < need, F.lit("few fields"))
+    for i, name in enumerate(columns):
+        if types and name in types:
+            field = java_trim(F.get(F.col("_f"), i))
+            reason = reason.when(field.isNotNull() & field.try_cast(types[name]).isNull(), F.lit(f"bad {name}"))
+    return parts.select(*keep, "value", F.size("_f").alias("n_fields"), reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """A stop-word file (one entry per line, UTF-8) as a one-column
     DataFrame ``word``: trimmed, lower-cased, blanks and repeats dropped.

@@ -98,6 +98,16 @@ def test_key_order_is_that_of_the_files(spark, tmp_path):
     assert [r.value for r in sorted(got, key=lambda r: r.position)] == want
 
 
+def test_rows_and_rejects_are_all_lines(spark):
+    lines = ["1,2,3.5,9", "1,2", "1,2,,", "", "1,2,x,9", "1,2,3,y", "1,2,3", "1,2,,9", None]
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(lines)], "value string, no int")
+    args = dict(columns=["u", "m", "r", "t"], min_fields=3, types={"r": "double", "t": "long"}, keep=["no"])
+    bad = {r.no: (r.n_fields, r.reason) for r in SRC.rejected_lines(df, **args).collect()}
+    assert bad == {1: (2, "few fields"), 2: (2, "few fields"), 3: (1, "few fields"), 4: (4, "bad r"), 5: (4, "bad t"), 7: (4, "bad r")}
+    good = SRC.parse_delimited(df.filter(~df.no.isin(*bad)), **args).collect()
+    assert {r.no for r in good} | set(bad) == set(range(8))  # a null is no line
+
+
 # --- inferred types
 
 
