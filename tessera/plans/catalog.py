@@ -122,6 +122,7 @@ def q_gender_avg_long(spark, sf):
     return R.gender_avg_long(B.ratings(spark, sf), B.users(spark, sf), B.movies(spark, sf))
 
 
+# The labels of the reports, as in tessera.functions.scalars.
 _AGE4 = """CASE WHEN age < 18 THEN '0-18' WHEN age <= 35 THEN '18-35'
             WHEN age <= 50 THEN '35-50' ELSE '50+' END"""
 _AGE7 = """CASE WHEN age < 18 THEN 'Duoi 18' WHEN age <= 24 THEN '18-24' WHEN age <= 34 THEN '25-34'

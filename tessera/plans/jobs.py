@@ -31,6 +31,11 @@ def _write(lines: DataFrame, out_dir: str, name: str, sort: bool = True) -> str:
     return path
 
 
+# ---- fixed values: what the best-movie report prints before its four cells --
+BEST_MOVIE_LABELS = ("ID Phim: ", "Ten Phim: ", "Diem TB: ", "Luot danh gia: ")
+# -----------------------------------------------------------------------------
+
+
 def run_rating_jobs(
     spark: SparkSession,
     movies: str,
@@ -81,12 +86,8 @@ def run_report_jobs(
     u = DS.read_users(spark, users, header=users_header)
     o = DS.read_occupations(spark, occupations)
     mean, movie = ("avg_rating", "f2", None), F.col("movie_id").asc()
-    best = F.explode(F.array(
-        F.concat(F.lit("ID Phim: "), F.col("movie_id")),
-        F.concat(F.lit("Ten Phim: "), F.col("title")),
-        F.concat(F.lit("Diem TB: "), fixed2("avg_rating")),
-        F.concat(F.lit("Luot danh gia: "), F.col("n_ratings").cast("string")),
-    ))
+    shown = (F.col("movie_id"), F.col("title"), fixed2("avg_rating"), F.col("n_ratings").cast("string"))
+    best = F.explode(F.array(*[F.concat(F.lit(label), c) for label, c in zip(BEST_MOVIE_LABELS, shown, strict=True)]))
     gender = [("title", "s", 40), ("gender_label", "s", 10), mean]
     age = [("title", "s", 40), ("age_group", "s", 12), mean]
     occupation = [("occupation", "s", 25), ("avg_rating", "f2", 12), ("n_ratings", "d", None)]

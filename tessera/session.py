@@ -31,8 +31,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Reliable checkpoints (exact ranks) are deleted once their DataFrame is
-    # garbage-collected, so a long session does not fill the shared folder.
+    # Reliable checkpoints of the caller's own are deleted once their DataFrame
+    # is garbage-collected; written tables stay until clear_scratch().
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -38,7 +38,8 @@ from tessera.operators.detections import (
 )
 from tessera.operators.sequence import rank_in_groups
 from tessera.sources.special import b64decode
-from tessera.session import delete_path, path_exists, scratch_path
+from tessera.session import path_exists, scratch_path
+from tessera.streaming.totals import TotalsTable, stream_totals
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1) -> DataFrame:
@@ -178,27 +179,17 @@ def stream_flush_batches(
 
 
 def stream_running_total(
-    stream: DataFrame, out: str, checkpoint: str, key: str = "source", trigger: str | None = None
+    stream: DataFrame, out: str, checkpoint: str, key: str = "source", trigger: str | None = None, buckets: int = 8
 ) -> StreamingQuery:
-    """Running number of records per source (stateful ``count``). Each
-    micro-batch writes the current totals as a new version of the table and
-    deletes the one before the last, so readers see one row per source
-    however old the stream is."""
-    counts = stream.groupBy(key).agg(F.count(F.lit(1)).alias("total"))
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
-        delete_path(batch.sparkSession, f"{out}/version={batch_id - 2}")
-
-    writer = counts.writeStream.outputMode("complete").foreachBatch(each).option("checkpointLocation", checkpoint)
-    return _run(writer, trigger)
+    """Running number of records per source: each micro-batch writes the new
+    totals of the sources that it holds, and no others
+    (:class:`tessera.streaming.totals.TotalsTable`)."""
+    return stream_totals(stream, TotalsTable(stream.sparkSession, out, [key], buckets), checkpoint, trigger)
 
 
 def read_running_total(spark: SparkSession, out: str, key: str = "source") -> DataFrame:
-    """Current totals: the latest version of the table."""
-    versions = spark.read.parquet(out)
-    latest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == latest).select(key, "total")
+    """Current totals, one row a source."""
+    return TotalsTable(spark, out, [key]).read()
 
 
 def stream_results_sink(
@@ -256,11 +247,14 @@ def new_paths(spark: SparkSession, name: str) -> tuple[str, str]:
 
 
 __all__ = [
+    "new_paths",
+    "read_frame_stream",
+    "read_running_total",
     "read_stream",
+    "run_to_end",
+    "stream_flush_batches",
     "stream_person_counts",
-    "stream_running_total",
-    "read_running_total",
     "stream_results_sink",
-    "run_to_end",
-    "new_paths",
+    "stream_running_total",
+    "stream_score_frames",
 ]
