@@ -63,8 +63,9 @@ def _plain(text: str) -> bool:
 
 
 def _merge_engine(path: str):
-    """The same vocabulary in a faster BPE engine, or None if the file holds
-    more than plain byte-level BPE with ids in merge order."""
+    """The same vocabulary in a faster BPE engine, for any text and for plain
+    ones, or None if the file holds more than plain byte-level BPE with ids in
+    merge order."""
     import public_tokenizers
     import tiktoken
 
@@ -82,15 +83,18 @@ def _merge_engine(path: str):
     merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
     if [model["vocab"][m] for m in merged] != list(range(256, 256 + len(merged))):
         return None
-    return tiktoken.Encoding("merges", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    # Without the look-ahead for runs of white space, which plain texts do not have.
+    pattern = public_tokenizers.PATTERN.replace(r"|\s+(?!\S)", "")
+    return [tiktoken.Encoding(n, pat_str=p, mergeable_ranks=ranks, special_tokens={}) for n, p in (("merges", public_tokenizers.PATTERN), ("plain", pattern))]
 
 
 class ChunkTokenizer:
-    """Ids of whole texts as little-endian 32-bit bytes, chunk by chunk.
+    """Ids of whole texts as little-endian 32-bit bytes.
 
-    The tokenizer file decides the ids. Chunks of Latin letters, digits and
-    marks go through :func:`_merge_engine`, which gives the same ids in less
-    time; all others, and whatever looks like an added token, through the
+    The tokenizer file decides the ids. Plain texts of Latin letters, digits
+    and marks go whole through :func:`_merge_engine`, which gives the same ids
+    in less time. Others go chunk by chunk: simple chunks through the engine,
+    and all others, and whatever looks like an added token, through the
     ``tokenizers`` library. A chunk is kept without the space before it:
     ``" "`` has the ids with that space, ``""`` those at the start of a line.
     """
@@ -101,7 +105,7 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
-        self._fast = _merge_engine(path)
+        self._fast, self._whole = _merge_engine(path) or (None, None)
         self._added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
         self._line_feed = np.asarray(self._tok.encode("\n", add_special_tokens=False).ids, dtype="<u4")
         self._known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
@@ -144,6 +148,11 @@ class ChunkTokenizer:
         self._old = {"": {}, " ": {}}
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        whole = [self._fast and not _NOT_LATIN.search(t) and not any(a in t for a in self._added) and _plain(t) for t in texts]
+        rest = iter(self._chunked([t for t, w in zip(texts, whole, strict=True) if not w]))
+        return [self._whole.encode_to_numpy(t).astype("<u4", copy=False).tobytes() if w else next(rest) for t, w in zip(texts, whole, strict=True)]
+
+    def _chunked(self, texts: list[str]) -> list[bytes]:
         cut = []
         for text in texts:
             if _plain(text):
@@ -191,12 +200,12 @@ def tokenize_pieces(
     text: str = "text",
     chunk_memory: int = CHUNK_MEMORY,
 ) -> DataFrame:
-    """One row for each piece: key, piece, start, length, ids_crc32 and, with
-    ``with_ids``, the ids. ``chunk_memory`` is the number of chunks that a
+    """One row for each piece: key, piece, start, length and, with
+    ``with_ids``, the ids (little-endian unsigned 32-bit, in one binary value),
+    else their ids_crc32. ``chunk_memory`` is the number of chunks that a
     Python worker may remember, a matter of time and memory only."""
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long"
-    schema += ", ids array<int>" if with_ids else ""
+    schema = f"`{key}` {kind}, piece int, start long, length long, {'ids binary' if with_ids else 'ids_crc32 long'}"
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,21 +214,16 @@ def tokenize_pieces(
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 texts = [t or "" for t in batch.column(1).to_pylist()]
-                cols: list[list] = [[], [], [], [], [], []]
+                cols: list[list] = [[], [], [], [], []]
                 for row, data in enumerate(tok.encode(texts)):
                     data += end
                     for i, (start, length) in enumerate(cut_points(len(data) // 4, capacity)):
                         ids = data[4 * start : 4 * (start + length)]
-                        for c, v in zip(cols, (row, i, start, length, zlib.crc32(ids), ids), strict=True):
+                        for c, v in zip(cols, (row, i, start, length, ids if with_ids else zlib.crc32(ids)), strict=True):
                             c.append(v)
-                arrays = [batch.column(0).take(pa.array(cols[0], pa.int32())), pa.array(cols[1], pa.int32())]
-                arrays += [pa.array(c, pa.int64()) for c in cols[2:5]]
-                if with_ids:
-                    flat = pa.array(np.frombuffer(b"".join(cols[5]), dtype="<i4"))
-                    ends = np.concatenate([[0], np.cumsum(cols[3])]).astype("int32")
-                    arrays.append(pa.ListArray.from_arrays(pa.array(ends), flat))
-                names = [key, "piece", "start", "length", "ids_crc32", "ids"]
-                yield pa.RecordBatch.from_arrays(arrays, names=names[: len(arrays)])
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary() if with_ids else pa.int64()]
+                arrays = [batch.column(0).take(pa.array(cols[0], pa.int32())), *(pa.array(c, k) for c, k in zip(cols[1:], kinds, strict=True))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[key, "piece", "start", "length", "ids" if with_ids else "ids_crc32"])
         tok.rest()
 
     return docs.select(key, text).mapInArrow(run, schema)
@@ -291,7 +295,7 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> list[tup
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length``."""
     spark = pieces.sparkSession
-    frozen = freeze(pieces, "pieces")
+    frozen = freeze(pieces, "pieces", "zstd")  # half of every id is zeros
     counts = {r[0]: r[1] for r in frozen.groupBy("length").count().collect()}  # at most `capacity` rows
     schema = "__t_len long, __t_from long, __t_to long, __t_first long, __t_each long, __t_at long"
     runs = spark.createDataFrame(plan_sequences(counts, capacity), schema)
@@ -318,35 +322,19 @@ def pack_documents(
     chunk_memory: int = CHUNK_MEMORY,
 ) -> DataFrame:
     """Tokenize, cut and pack ``docs``: doc_id, piece, start, length,
-    ids_crc32 (, ids), sequence_id, offset."""
+    ids_crc32 (, ids), sequence_id, offset. The digest is that of the placed ids."""
     pieces = tokenize_pieces(docs, tokenizer_path, capacity, end_id, with_ids, chunk_memory=chunk_memory)
-    return pack_pieces(pieces, capacity)
-
-
-def placed_crc32(packed: DataFrame) -> DataFrame:
-    """``packed`` with ids_crc32 taken from its ids, and without these."""
-    rest = [f for f in packed.schema.fields if f.name not in ("ids", "ids_crc32")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", ids_crc32 long"
-    names = [f.name for f in rest]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(len(names))
-            flat, ends = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_pylist()
-            crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
-            arrays = [batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(crc, pa.int64())], names=[*names, "ids_crc32"])
-
-    return packed.select(*names, "ids").mapInArrow(run, schema)
+    packed = pack_pieces(pieces, capacity)
+    return packed.withColumn("ids_crc32", F.crc32("ids")) if with_ids else packed
 
 
 def assemble_sequences(packed: DataFrame) -> DataFrame:
-    """The training sequences themselves: sequence_id, ids (at most the
+    """The training sequences themselves: sequence_id, ids (binary, at most the
     capacity) and doc_ids / lengths of the pieces in order, for attention masks."""
     parts = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "length", "ids")))
     return packed.groupBy("sequence_id").agg(parts.alias("parts")).select(
         "sequence_id",
-        F.flatten(F.col("parts.ids")).alias("ids"),
+        F.aggregate("parts.ids", F.lit(b""), lambda a, x: F.concat(a, x)).alias("ids"),
         F.col("parts.doc_id").alias("doc_ids"),
         F.col("parts.length").alias("lengths"),
     )

@@ -25,10 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Alone in its workers, it may remember more than a pipeline's stage.
-    docs = table(spark, sf_dir, "documents")
-    packed = packing.pack_documents(docs, tokenizer_path(), chunk_memory=1_000_000)
-    return packing.placed_crc32(packed).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op2_branch_and_bound_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

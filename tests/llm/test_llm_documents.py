@@ -112,10 +112,11 @@ def test_packing(spark, docs):
         cuts = [0, *range(first, len(ids) + 1, 1024)] if first else list(range(0, len(ids) + 1, 1024))
         for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             want[doc_id, i, a, tuple(ids[a:b])] += 1
-    assert Counter((r.doc_id, r.piece, r.start, tuple(r.ids)) for r in rows) == want
+    numbers = lambda ids: np.frombuffer(ids, "<u4").tolist()
+    assert Counter((r.doc_id, r.piece, r.start, tuple(numbers(r.ids))) for r in rows) == want
     used = defaultdict(list)
     for r in rows:
-        assert r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())
+        assert 4 * r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(r.ids)
         used[r.sequence_id].append((r.offset, r.length, r.ids))
     for parts in used.values():
         at = 0
@@ -124,7 +125,8 @@ def test_packing(spark, docs):
             at += length
         assert at <= 1024
     assert len(used) <= -(-sum(r.length for r in rows) // 1024) + 1
-    made = {r.sequence_id: r.ids for r in packing.assemble_sequences(packed).collect()}
+    made = {r.sequence_id: numbers(r.ids) for r in packing.assemble_sequences(packed).collect()}
+    assert all(made[k] == [i for _, _, ids in sorted(parts) for i in numbers(ids)] for k, parts in used.items())
     assert {len(v) for v in made.values()} <= set(range(1, 1025)) and len(made) == len(used)
 
 
@@ -154,6 +156,41 @@ def test_sharding(spark, docs):
         assert sorted(r.slot for r in out if r.shard == s) == list(range(n))
 
 
+def test_matrix_has_its_sums(spark):
+    sizes = [(p, n) for p, n in enumerate([0, 700, 3, 1200, 55, 1, 0, 410]) if n]
+    total = sum(n for _, n in sizes)
+    quotas = [total // 5 + (j < total % 5) for j in range(5)]
+    rows = sharding.communication_matrix(spark.createDataFrame(sizes, "part int, n long"), quotas, 8, seed=9).collect()
+    assert {r.part: sum(r.counts) for r in rows} == dict.fromkeys(range(8), 0) | dict(sizes)
+    assert [sum(r.counts[j] for r in rows) for j in range(5)] == quotas
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000])
+def test_permutations_are_one_to_one(spark, n):
+    place = sharding.permuted(F.col("id"), F.lit(n).cast("long"), 4, F.col("s"))
+    rows = spark.range(n).crossJoin(spark.range(3).withColumnRenamed("id", "s")).select("s", "id", place.alias("to")).collect()
+    made = {s: [r.to for r in sorted(rows) if r.s == s] for s in range(3)}
+    assert all(sorted(x) == list(range(n)) for x in made.values())
+    if n == 1000:
+        assert made[0] != made[1] != made[2]
+        assert abs(np.corrcoef(made[0], range(n))[0, 1]) < 0.1
+        assert sum(abs(a - b) == 1 for a, b in zip(made[0], made[0][1:], strict=False)) < 15  # neighbours part
+
+
+def test_rows_move_to_their_shards(spark, docs, tmp_path):
+    out = sharding.shard_rows(docs, shards=3)
+    found = out.select(F.spark_partition_id().alias("p"), "shard", "slot").collect()
+    where = defaultdict(list)
+    for r in found:
+        where[r.p].append((r.shard, r.slot))
+    for rows in where.values():
+        assert len({s for s, _ in rows}) == 1 and rows == [(rows[0][0], i) for i in range(rows[0][1], rows[0][1] + len(rows))]
+    assert len(where) == 9  # 8 tasks: three for each shard
+    sharding.write_shards(out.drop("a.b"), str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert Counter((r.doc_id, r.text, r.shard, r.slot) for r in back.collect()) == Counter((r.doc_id, r.text, r.shard, r.slot) for r in out.collect())
+
+
 def test_sharding_is_uniform(spark):
     rows = spark.range(8000).withColumnRenamed("id", "doc_id")
     out = sharding.shard_rows(rows, shards=4, parts=9).collect()
@@ -193,10 +230,29 @@ def test_mixing_keeps_columns_and_sources(spark, docs):
         by_row[r.doc_id, r.text].append((r["copy"], r.copies))
     for (doc_id, text), got in by_row.items():
         times = Counter(messy())[doc_id, text]
-        assert Counter(c for c, _ in got) == Counter({i + 1: times for i in range(got[0][1])})
+        firsts = [copies for c, copies in got if c == 1]  # repeated rows draw one by one
+        assert len(firsts) <= times and Counter(c for c, _ in got) == Counter(c for n in firsts for c in range(1, n + 1))
     assert mixing.poisson_mix(docs, weights={"other": 1.0}).collect() == []
 
 
+def test_equal_rows_draw_one_by_one(spark):
+    """1000 and 2000 equal rows: their sources meet the weights all the same."""
+    rows = spark.range(3000, numPartitions=6).select(
+        F.when(F.col("id") < 1000, "a").otherwise("b").alias("source"), F.when(F.col("id") < 1000, 1).otherwise(2).cast("long").alias("doc_id"),
+        F.lit("same text").alias("text"),
+    )
+    rows = rows.unionByName(spark.createDataFrame([("c", None, None)] * 200, "source string, doc_id long, text string"))
+    mixed = mixing.poisson_mix(rows).collect()
+    rate = {r.source: r.rate for r in mixed}
+    for source, n in (("a", 1000), ("b", 2000), ("c", 200)):
+        got = [r for r in mixed if r.source == source]
+        mean = rate[source] * n
+        assert abs(len(got) - mean) < 4 * mean**0.5
+        assert len({r.copies for r in got}) > 1 and {r["copy"] for r in got} == set(range(1, max(r.copies for r in got) + 1))
+    again = mixing.poisson_mix(rows.repartition(3)).collect()
+    assert Counter((r.source, r["copy"], r.copies) for r in again) == Counter((r.source, r["copy"], r.copies) for r in mixed)
+
+
 def test_many_sources_take_the_shuffle_join(spark, docs, monkeypatch):
     want = sorted(map(str, mixing.poisson_mix(docs, details=False).collect()))
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
@@ -210,13 +266,13 @@ def test_mixing_nothing(none):
 def test_digests_come_from_what_was_placed(spark, monkeypatch):
     plain = {(r.doc_id, r.piece): r for r in QUERIES["op1_best_fit_packing"](spark, SF).collect()}
     pack, shard = packing.pack_pieces, sharding.shard_rows
-    monkeypatch.setattr(packing, "pack_pieces", lambda *a: pack(*a).withColumn("ids", F.reverse("ids")))
+    monkeypatch.setattr(packing, "pack_pieces", lambda *a: pack(*a).withColumn("ids", F.concat("ids", "ids")))
     monkeypatch.setattr(sharding, "shard_rows", lambda rows: shard(rows).withColumn("text", F.concat("text", F.lit("!"))))
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op1_best_fit_packing"](spark, SF).collect():
         ids = (TOK.encode(texts[r.doc_id], add_special_tokens=False).ids + [packing.END_ID])[r.start : r.start + r.length]
         assert plain[r.doc_id, r.piece].ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
-        assert r.ids_crc32 == zlib.crc32(np.array(ids[::-1], dtype="<u4").tobytes())
+        assert r.ids_crc32 == zlib.crc32(2 * np.array(ids, dtype="<u4").tobytes())
     for r in QUERIES["op5_hypergeometric_shards"](spark, SF).collect():
         text = (texts[r.doc_id] + "!").encode()
         assert (r.size, r.text_crc32) == (len(text) + 1, zlib.crc32(text))
@@ -247,6 +303,25 @@ def test_language_id_of_messy_texts(spark, docs):
     assert kept.columns == docs.columns and kept.count() == sum(not r.rejected for r in got)
 
 
+def test_language_id_sample_is_bounded():
+    assert langid.sample_bounds(4) == (langid.SAMPLE_PER_LANGUAGE, langid.SAMPLE_CHARS)
+    for n in (1, 7, 8, 30, 64, 65, langid.LANGUAGES):
+        rows, chars = langid.sample_bounds(n)
+        assert n * rows * chars <= langid.SAMPLE_TOTAL and rows >= langid.LEAST_PER_LANGUAGE and chars > 1000
+
+
+def test_language_id_learns_a_language_of_long_texts(spark, monkeypatch):
+    """Rows that are all longer than the bound are learned from a stretch of each."""
+    rng = random.Random(2)
+    voices = {"aa": ["kalo", "mira", "tuno", "sela"], "bb": ["wexy", "qort", "zjub", "vygh"]}
+    rows = [(i, " ".join(rng.choice(voices[lang]) for _ in range(400 if lang == "bb" else 30)), lang) for i in range(160) for lang in [["aa", "bb"][i % 2]]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, chars=500)
+    assert model.languages == ["aa", "bb"]
+    got = langid.identify(df, model).collect()
+    assert all(r.lang_pred == ["aa", "bb"][r.doc_id % 2] for r in got)
+
+
 def test_language_id_without_labels(spark, docs, none):
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {(r.lang_pred, r.score) for r in langid.identify(unlabelled).collect()} == {("und", 0.0)}
