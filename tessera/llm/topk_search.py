@@ -7,7 +7,9 @@ remaining dimensions can add to a score is at most the product of the two
 remaining masses (norms over these dimensions), and at least minus that. The
 k-th best lower bound of a query is a score that k candidates reach, so
 candidates whose upper bound is below it are dropped, and the survivors are
-compacted before the next group. Survivors of the last group have exact scores.
+compacted before the next group: for all queries of the block together while
+most are alive, for each on its own when few are. Survivors of the last group
+have exact scores.
 The bound starts high: after the first group the k best partial scores are
 finished, and a task that meets the same queries with one block of candidates
 after the other carries their k best scores along.
@@ -46,6 +48,9 @@ SCALE = 64
 QUERY_BLOCK = 512
 BLOCK = 8192
 DIMENSIONS = 16  # accumulated between two prunings
+#: Candidates are compacted when fewer than this share is alive for any query of
+#: the block, and worked on query by query when fewer pairs than that share are.
+COMPACT, SPARSE = 0.75, 0.2
 LARGEST = 1.7976931348623157e308
 LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
 
@@ -109,26 +114,52 @@ def search_block(
     cuts = list(range(0, width, step))
     mass = lambda m: np.array([np.sqrt((m[at + step :] ** 2).sum(axis=0)) for at in cuts]).reshape(len(cuts), m.shape[1])
     qmass, cmass = mass(q), mass(c)
+    score = q[:step].T @ c[:step] if width else np.zeros((q.shape[1], c.shape[1]))
+    score[qids[:, None] == cids[None, :]] = -np.inf  # no candidate of its own id; as are those that are dropped
+    reached = np.full(len(qids), -np.inf) if floors is None else floors.copy()
+    if len(cids) > k and width > step:  # the k most promising ones of each query, to the end
+        ahead = np.argpartition(score, len(cids) - k, axis=1)[:, len(cids) - k :]
+        exact = np.take_along_axis(score, ahead, axis=1) + np.einsum("dq,dqk->qk", q[step:], c[step:, ahead])
+        reached = np.maximum(reached, exact.min(axis=1))
+    for j, at in enumerate(cuts):
+        if j:
+            score += q[at : at + step].T @ c[at : at + step]
+        if at + step < width:
+            slack = np.multiply.outer(qmass[j], cmass[j]) * (1 + 1e-9) + 1e-6  # covers rounding of the norms
+            keep = score + slack >= reached[:, None]
+            score[~keep] = -np.inf
+            live = keep.any(axis=0)
+            if live.mean() < COMPACT:
+                score, c, cmass, cids, keep = score[:, live], c[:, live], cmass[:, live], cids[live], keep[:, live]
+            if keep.mean() < SPARSE:
+                return _finish_sparse(qids, q, cids, c, k, step, score, reached, qmass, cmass, cuts[j + 1 :], j + 1)
+    return [row for i, query in enumerate(qids.tolist()) for row in _best(query, cids, score[i], k)]
+
+
+def _best(query: int, cids: np.ndarray, score: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    at = np.flatnonzero(score > -np.inf)
+    if len(at) > k:
+        at = at[score[at] >= np.partition(score[at], len(at) - k)[len(at) - k]]  # ties at the end are told by id
+    at = at[np.lexsort((cids[at], -score[at]))[:k]]
+    return list(zip([query] * len(at), cids[at].tolist(), score[at].astype(np.int64).tolist(), strict=True))
+
+
+def _finish_sparse(qids, q, cids, c, k, step, scores, reached, qmass, cmass, cuts, first):
+    """The other groups for few survivors: those of each query on their own."""
+    width = len(q)
     out: list[tuple[int, int, int]] = []
-    first = q[:step].T @ c[:step] if width else np.zeros((q.shape[1], c.shape[1]))
     for i, query in enumerate(qids.tolist()):
-        alive = np.flatnonzero(cids != query)
-        score = first[i, alive]
-        reached = -np.inf if floors is None else floors[i]
-        if len(alive) > k and width > step:  # the k most promising ones, to the end
-            ahead = np.argpartition(score, len(alive) - k)[len(alive) - k :]
-            reached = max(reached, (score[ahead] + q[step:, i] @ c[step:, alive[ahead]]).min())
-        for j, at in enumerate(cuts):
-            if j:
-                score = score + q[at : at + step, i] @ c[at : at + step, alive]
+        alive = np.flatnonzero(scores[i] > -np.inf)
+        score, bound = scores[i, alive], reached[i]
+        for j, at in enumerate(cuts, first):
+            score = score + q[at : at + step, i] @ c[at : at + step, alive]
             if at + step < width and len(alive):
-                slack = qmass[j, i] * cmass[j, alive] * (1 + 1e-9) + 1e-6  # covers rounding of the norms
+                slack = qmass[j, i] * cmass[j, alive] * (1 + 1e-9) + 1e-6
                 if len(alive) > k:
-                    reached = max(reached, np.partition(score - slack, len(alive) - k)[len(alive) - k])
-                keep = score + slack >= reached
+                    bound = max(bound, np.partition(score - slack, len(alive) - k)[len(alive) - k])
+                keep = score + slack >= bound
                 alive, score = alive[keep], score[keep]
-        best = np.lexsort((cids[alive], -score))[:k]
-        out += zip([query] * len(best), cids[alive[best]].tolist(), score[best].astype(np.int64).tolist(), strict=True)
+        out += _best(query, cids[alive], score, k)
     return out
 
 

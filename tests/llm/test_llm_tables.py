@@ -100,6 +100,20 @@ def test_bounds_are_carried_and_lose_nothing():
     assert len(part) < 12 * 20  # the last block brings fewer than k a query
 
 
+@pytest.mark.parametrize("compact, sparse", [(0.0, 0.0), (1.1, 0.0), (1.1, 1.1), (0.75, 0.2)])
+@pytest.mark.parametrize("spread", [1.0, 30.0])
+def test_every_way_of_pruning_gives_the_best(monkeypatch, compact, sparse, spread):
+    monkeypatch.setattr(topk_search, "COMPACT", compact)
+    monkeypatch.setattr(topk_search, "SPARSE", sparse)
+    rng = np.random.default_rng(6)
+    c = np.floor(rng.normal(size=(24, 500)) * np.exp(rng.normal(size=500)) * spread)
+    c[:, 100:160] = c[:, :1]  # many equal scores
+    cids = rng.permutation(500)
+    some = np.flatnonzero(cids % 20 == 0)
+    want = [r for i in some for r in [(int(cids[i]), int(d), int(x)) for x, d in sorted(((c[:, i] @ c[:, o], cids[o]) for o in range(500) if o != i), key=lambda p: (-p[0], p[1]))[:20]]]
+    assert topk_search.search_block(cids[some], c[:, some], cids, c, 20, 5) == want
+
+
 def test_top_k_of_fewer_and_none(spark):
     few = topk_search.integer_vectors(spark.createDataFrame([(0, [1.0]), (5, [2.0])], "vec_id long, embedding array<double>"))
     assert [(r.query_id, r.vec_id) for r in topk_search.top_k(few, few).collect()] in ([(0, 5), (5, 0)], [(5, 0), (0, 5)])
