@@ -147,21 +147,29 @@ def _top_words(counts: DataFrame, group: list[str], k: int) -> DataFrame:
     return ranked_text(ranked, group, item, output="top_words")
 
 
+#: Rows (id, sentiment) that are sent to every task rather than texts to them.
+BROADCAST_LABELS = 1_000_000
+
+
 def category_sentiment_top_words(
-    reviews: DataFrame, stopwords: Stopwords, k: int = TOP_WORDS, sentiments: DataFrame | None = None
+    reviews: DataFrame, stopwords: Stopwords, k: int = TOP_WORDS, sentiments: DataFrame | None = None, broadcast_labels: int = BROADCAST_LABELS
 ) -> DataFrame:
     """Per (category, positive|negative): the k most frequent words longer
     than one character, as ``w(n) w(n) ...`` (ties by word).
 
     ``sentiments`` (``id, sentiment``) gives the sentiments where the reviews
     have none of their own. Only labelled reviews are tokenized, and their words
-    are counted per category and sentiment at once; with both tables in buckets
-    of the id (:mod:`tessera.sources.bucketed`) no text moves for the join.
+    are counted per category and sentiment at once. Up to ``broadcast_labels``
+    labels (some 30 MB) are counted and broadcast, so that texts stay where they
+    are; more meet the texts by shuffle, or, with both tables in buckets of the id
+    (:mod:`tessera.sources.bucketed`), without one.
     """
     category = java_trim("category").alias("category")
     wanted = F.lower(java_trim("sentiment"))
     if sentiments is not None:
         labelled = sentiments.select("id", wanted.alias("sentiment")).filter(F.col("sentiment").isin(*SENTIMENTS))
+        if broadcast_labels and labelled.count() <= broadcast_labels:
+            labelled = F.broadcast(labelled)
         base = reviews.select("id", category, "comment").filter(F.length("category") > 0).join(labelled, "id")
         counts = _word_counts(base, stopwords, ["category", "sentiment"], 2)
         return _top_words(counts, ["category", "sentiment"], k)

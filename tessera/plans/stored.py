@@ -137,7 +137,7 @@ def q_bucketed_top_words(spark, sf):
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     reviews = write_bucketed(B.reviews(spark, sf, with_sentiment=False), "id", buckets)
     labels = write_bucketed(B.sentiments(spark, sf), "id", buckets)
-    return TX.category_sentiment_top_words(reviews, B.stopwords(spark), sentiments=labels)
+    return TX.category_sentiment_top_words(reviews, B.stopwords(spark), sentiments=labels, broadcast_labels=0)
 
 
 # ================================================================ files =====

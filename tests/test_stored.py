@@ -158,7 +158,7 @@ def test_labelled_words_are_counted_without_an_exchange_of_texts(spark, conf):
     reviews = spark.createDataFrame([*reviews, (None, "no id", "x", "hotel")], "id long, comment string, aspect string, category string")
     labels = spark.createDataFrame([(i, "positive" if i % 2 else "Negative") for i in range(0, 60, 3)], "id long, sentiment string")
     a, b = (write_bucketed(df, "id", 4) for df in (reviews, labels))
-    got = TX.category_sentiment_top_words(a, ["the"], sentiments=b)
+    got = TX.category_sentiment_top_words(a, ["the"], sentiments=b, broadcast_labels=0)
     assert rows(got) == rows(TX.category_sentiment_top_words(reviews, ["the"], sentiments=labels))
     assert rows(got) == [("hotel", "negative", "noise(20) bad(10) bath(10)"), ("hotel", "positive", "good(20) bed(10) room(10) view(10)")]
     below = plan(got).split("functions=[partial_count(1)")[1]
@@ -177,8 +177,10 @@ def test_only_labelled_reviews_are_tokenized(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
     reviews = spark.createDataFrame([(1, "a b", "x", "c")], "id long, comment string, aspect string, category string")
     labels = spark.createDataFrame([(1, "positive")], "id long, sentiment string")
-    text = plan(TX.category_sentiment_top_words(reviews, [], sentiments=labels))
-    assert re.search(r"Generate.*SortMergeJoin", text, re.S)  # words are made above the join
+    for bound, join in ((0, "SortMergeJoin"), (1, "BroadcastHashJoin")):
+        got = TX.category_sentiment_top_words(reviews, [], sentiments=labels, broadcast_labels=bound)
+        assert re.search(rf"Generate.*{join}", plan(got), re.S)  # words are made above the join
+        assert rows(got) == []  # of one letter each
 
 
 # --- hot keys
