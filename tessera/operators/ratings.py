@@ -160,10 +160,33 @@ def _rated_by_users(ratings: DataFrame, users: DataFrame, *cols: str, spread: bo
     return join_spread(rated, attributes, "user_id") if spread else rated.join(attributes, "user_id")
 
 
+# Places that movies are dealt to; only their spread over tasks depends on it.
+PLACES = 1 << 16
+
+
+def _movies_together(rated: DataFrame) -> DataFrame:
+    """The same rows, those of a movie beside each other, for aggregates with
+    one group or more a movie.
+
+    AQE merges the shuffle partitions of the user join by their bytes, up to one
+    per core, so such a task meets nearly all movies and held a group of each
+    (hundreds of bytes) besides the sorts of the join. Here the narrow rows
+    move first and a task holds the groups of its own movies only. AQE splits
+    the place of a hot movie; what is left of each movie (a row a task) moves
+    to the final aggregate. Without AQE nothing is merged or split, and the
+    rows stay where they are.
+    """
+    if rated.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() != "true":
+        return rated
+    # A place, not the movie itself: rows dealt by a grouping key would have to stay whole, and nothing be split.
+    place = F.pmod(F.xxhash64("movie_id"), F.lit(PLACES)).cast("int")
+    return rated.withColumn("__t_place", place).hint("rebalance", F.col("__t_place")).drop("__t_place")
+
+
 def gender_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame, spread: bool = False) -> DataFrame:
     """Per movie: mean rating by male users (``M``, any case) and by all
     others. A null mean means no rating in that class ("N/A")."""
-    rated = _rated_by_users(ratings, users, "gender", spread=spread)
+    rated = _movies_together(_rated_by_users(ratings, users, "gender", spread=spread))
     male = is_male("gender")
     stats = rated.groupBy("movie_id").agg(
         mean(F.when(male, F.col("rating"))).alias("male_avg"),
@@ -176,7 +199,7 @@ def gender_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame, sp
 
 def gender_avg_long(ratings: DataFrame, users: DataFrame, movies: DataFrame, spread: bool = False) -> DataFrame:
     """Mean per (movie, raw gender value), with the display label."""
-    rated = _rated_by_users(ratings, users, "gender", spread=spread)
+    rated = _movies_together(_rated_by_users(ratings, users, "gender", spread=spread))
     stats = rated.groupBy("movie_id", "gender").agg(mean("rating").alias("avg_rating"))
     return _with_title(stats, movies, F.lit(DEFAULT_TITLE_GENDER)).select(
         "movie_id", "title", "gender", gender_label("gender").alias("gender_label"), "avg_rating"
@@ -200,7 +223,7 @@ def age_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame, sprea
     Written as conditional aggregates over a fixed group list: one
     aggregation, no pivot value discovery pass.
     """
-    rated = _rated_by_users(ratings, users, "age", spread=spread).withColumn("grp", age_group_4("age"))
+    rated = _movies_together(_rated_by_users(ratings, users, "age", spread=spread)).withColumn("grp", age_group_4("age"))
     aggs = [
         mean(F.when(F.col("grp") == label, F.col("rating"))).alias(name)
         for label, name in zip(AGE_GROUPS_4, AGE_PIVOT_COLUMNS)
@@ -211,7 +234,7 @@ def age_avg_pivot(ratings: DataFrame, users: DataFrame, movies: DataFrame, sprea
 
 def age_avg_long(ratings: DataFrame, users: DataFrame, movies: DataFrame, spread: bool = False) -> DataFrame:
     """Mean per (movie, seven-way age group)."""
-    rated = _rated_by_users(ratings, users, "age", spread=spread).withColumn("age_group", age_group_7("age"))
+    rated = _movies_together(_rated_by_users(ratings, users, "age", spread=spread)).withColumn("age_group", age_group_7("age"))
     stats = rated.groupBy("movie_id", "age_group").agg(mean("rating").alias("avg_rating"))
     return _with_title(stats, movies, F.lit(DEFAULT_TITLE)).select("movie_id", "title", "age_group", "avg_rating")
 

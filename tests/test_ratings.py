@@ -1,6 +1,8 @@
 """Rating operators on hand-made tables: support, ties, buckets, years,
 defaults, duplicate dimensions (H12-H14, H16, A3-A11)."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +93,69 @@ def test_age_pivot_all_four_columns(spark, small):
     assert got[11] == (3.0, None, None, 4.0)
 
 
+@pytest.fixture()
+def few_tasks(spark):
+    """AQE as on a large table: shuffles stay shuffles, their partitions are
+    merged, those of more than 16 KB are split."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+REPORTS = [R.age_avg_pivot, R.age_avg_long, R.gender_avg_pivot, R.gender_avg_long]
+
+
+def _many_movies(spark):
+    # Movie 7 has half of the ratings; movies 0 to 2 and every 50th user are missing, some ratings and ids are null.
+    n = F.col("id")
+    ratings = spark.range(0, 40000, 1, 8).select(
+        (n % 500).alias("user_id"),
+        F.when(n % 2 == 0, 7).when(n % 1001 != 0, n % 3000).alias("movie_id"),
+        F.when(n % 11 != 0, n % 10 / 2).alias("rating"),
+    )
+    users = spark.range(500).filter("id % 50 != 0").select(
+        n.alias("user_id"), F.element_at(F.array(*map(F.lit, ("M", "f", "m"))), (n % 3 + 1).cast("int")).alias("gender"),
+        (n % 70).cast("int").alias("age"),
+    )
+    movies = spark.range(3, 3000).select(n.alias("movie_id"), F.concat(F.lit("t"), n).alias("title"))
+    return ratings, users, movies
+
+
+@pytest.mark.parametrize("report", REPORTS)
+def test_a_task_aggregates_its_own_movies_only(spark, few_tasks, report):
+    got = report(*_many_movies(spark))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    # From the top down: title join, aggregates, movies dealt to tasks, user join. None is dealt between the last two otherwise.
+    partial, dealt, users = text.index("partial_sum"), text.find("REBALANCE_PARTITIONS_BY_COL"), text.rindex("SortMergeJoin")
+    assert partial < dealt < users
+
+
+@pytest.mark.parametrize("report", REPORTS)
+def test_dealt_movies_give_the_same_report(spark, few_tasks, report):
+    tables = _many_movies(spark)
+    got = rows(report(*tables))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain = report(*tables)
+        assert "REBALANCE" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert rows(plain) == got and len({r[0] for r in got}) == 1501  # odd ids and null
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_only_the_partition_of_a_hot_movie_is_split(spark, few_tasks):
+    ratings = _many_movies(spark)[0].withColumn("rating", F.rand(1))  # takes its bytes in the shuffle, too
+    dealt = R._movies_together(ratings)
+    assert dealt.columns == ["user_id", "movie_id", "rating"]
+    tasks = Counter(r[0] for r in dealt.groupBy("movie_id", F.spark_partition_id()).agg(F.max("rating")).collect())
+    assert tasks.pop(7) > 1 and [*tasks.values()].count(1) > 0.9 * len(tasks)  # all but those of its partition
+
+
 def test_year_edge_in_utc(spark):
     ratings = spark.createDataFrame([(1, 1, 3.0, 1609459199), (1, 1, 5.0, 1609459200)], RATINGS)
     assert rows(R.yearly_stats(ratings)) == [(2020, 3.0, 1), (2021, 5.0, 1)]
